@@ -23,6 +23,7 @@ HIDDEN_STYLE = r"display:\s?none"
 END_MARKER = "End of Article"
 TITLE_JUNK = rf"<[\s\S]*?>|[\t\r\f\x0B]|^[{BLANK_CHARS}]+|[{BLANK_CHARS}]+$"
 RATIO_SKIPPED_TAGS = ("a", "noscript")
+RATIO_UNSEEN_TAGS = ("img", "body", "html")
 RATIO_ATTRIBUTES = r"\s*[^=\s+]+\s*=\s*([^=>]+)?(?=(\s+|>))"
 RATIO_TAGS_AND_BLANKS = r"</?\w+[^>]*>|\s"
 
@@ -366,7 +367,7 @@ def ratio_source(toks: Column, els: Column, first: Column, last: Column) -> Colu
         def show(token: Column, i: Column) -> Column:
             dropped = (
                 token["kind"].isin(COMMENT, RAW)
-                | (token["tag"] == "img")
+                | token["tag"].isin(*RATIO_UNSEEN_TAGS)
                 | covered(first + 1 + i, skipped)
             )
             return F.when(dropped, "").otherwise(token["text"])

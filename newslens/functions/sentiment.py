@@ -60,18 +60,21 @@ class Lexicon:
 
 def load_lexicon(table: DataFrame, max_words: int = MAX_WORDS_IN_PLAN) -> Lexicon:
     """Read a lexicon table that is known to be small; raise when it is not."""
-    distinct = table.select("word", "score", "kind").distinct()
-    size = distinct.limit(max_words + 1).count()
-    if size > max_words:
+    rows = (
+        table.select("word", "score", "kind", F.hash("word").alias("hash"))
+        .distinct()
+        .limit(max_words + 1)
+        .collect()
+    )
+    if len(rows) > max_words:
         raise LexiconTooLarge(f"lexicon holds more than {max_words} words")
-    slots = max(16, 1 << (2 * size - 1).bit_length())
-    rows = distinct.withColumn("slot", F.pmod(F.hash("word"), F.lit(slots))).collect()
+    slots = max(16, 1 << (2 * len(rows)).bit_length())
     polar: list[dict[str, int]] = [{} for _ in range(slots)]
     intensifiers: dict[str, int] = {}
     negators = []
     for row in rows:
         if row["kind"] == "polar":
-            polar[row["slot"]][row["word"]] = row["score"]
+            polar[row["hash"] % slots][row["word"]] = row["score"]
         elif row["kind"] == "intensifier":
             intensifiers[row["word"]] = row["score"]
         elif row["kind"] == "negator":

@@ -156,7 +156,7 @@ def metric_rows(rows: DataFrame, processing_type: str, parts: int = 1) -> DataFr
         rows.groupBy(*window, part.alias("part"))
         .agg(F.sort_array(F.collect_list(item)).alias("items"))
         .select(
-            F.md5(F.concat_ws("|", *window, F.lit(processing_type), "part")).alias("id"),
+            F.md5(F.concat_ws("|", F.unix_seconds("window_start"), "metric_name", F.lit(processing_type), "part")).alias("id"),
             "window_start",
             "window_end",
             "metric_name",

@@ -44,13 +44,27 @@ def bounded_run(
     windows: int = RUN_WINDOWS,
     minutes: int = WINDOW_MINUTES,
 ) -> DataFrame:
-    """Rows of a run of ``windows`` windows from ``start`` on, with ``window_no``.
+    """Rows of a run of ``windows`` windows from ``start`` on.
 
     A plain range filter, so it reaches the scan and prunes files by time.
     """
     begin = F.lit(start)
-    inside = since(df, begin, ts).where(F.col(ts) < plus_windows(begin, windows, minutes))
-    seconds = F.unix_micros(F.col(ts)) - F.unix_micros(begin)
-    return inside.withColumn(
-        "window_no", (F.floor(seconds / F.lit(minutes * 60 * 1_000_000)) + 1).cast("int")
+    return since(df, begin, ts).where(F.col(ts) < plus_windows(begin, windows, minutes))
+
+
+def with_run(
+    df: DataFrame,
+    start: datetime | Column,
+    ts: str = "timestamp",
+    windows: int = RUN_WINDOWS,
+    minutes: int = WINDOW_MINUTES,
+) -> DataFrame:
+    """Add ``run`` and ``window_no`` for back-to-back runs of ``windows`` windows, both
+    from 1; rows before ``start`` belong to no run and are dropped."""
+    micros = F.unix_micros(F.col(ts)) - F.unix_micros(F.lit(start))
+    index = F.floor(micros / F.lit(minutes * 60 * 1_000_000)).cast("int")
+    return (
+        since(df, start, ts)
+        .withColumn("run", F.floor(index / windows).cast("int") + 1)
+        .withColumn("window_no", F.pmod(index, F.lit(windows)) + 1)
     )
