@@ -41,10 +41,15 @@ CLOSES_PARAGRAPH = (
     "section", "summary", "table", "ul",
 )
 CELL_TAGS = ("button", "object", "table", "td", "th")
+TABLE_TAGS = ("table", "tbody", "tfoot", "thead", "tr", "td", "th")
+BLOCK_TAGS = (*CLOSES_PARAGRAPH, "body", "dd", "dt", "html", "li", *TABLE_TAGS)
+ITEM_SCOPE = tuple(
+    t for t in (*BLOCK_TAGS, *CELL_TAGS) if t not in ("address", "dd", "div", "dt", "li", "p")
+)
 IMPLIED_END = {
     CLOSES_PARAGRAPH: (("p",), CELL_TAGS),
-    ("li",): (("li", "p"), ("ul", "ol", "menu", *CELL_TAGS)),
-    ("dt", "dd"): (("dt", "dd", "p"), ("dl", *CELL_TAGS)),
+    ("li",): (("li", "p"), ITEM_SCOPE),
+    ("dt", "dd"): (("dt", "dd", "p"), ITEM_SCOPE),
     ("td", "th"): (("td", "th"), ("tr", "table")),
     ("tr",): (("tr",), ("tbody", "thead", "tfoot", "table")),
     ("tbody", "thead", "tfoot"): (("tbody", "thead", "tfoot"), ("table",)),
@@ -166,20 +171,7 @@ def elements(body: Column) -> Column:
     ends first. ``until`` is the position after the element: past its own end tag, but
     not past another's. A pass over the tags with a stack of open elements.
     """
-    closes = F.create_map(
-        *[
-            item
-            for names, (ends, scope) in IMPLIED_END.items()
-            for name in names
-            for item in (
-                F.lit(name),
-                F.struct(
-                    F.array(*map(F.lit, ends)).alias("ends"),
-                    F.array(*map(F.lit, scope)).alias("scope"),
-                ),
-            )
-        ]
-    )
+    closes = F.expr(_implied_end_map())
 
     def as_event(token: Column, i: Column) -> Column:
         opens = token["kind"] == OPEN
@@ -210,15 +202,33 @@ def elements(body: Column) -> Column:
             start = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("found"))
             return F.aggregate(stack, start, look, lambda acc: acc["found"])
 
-        own = F.array_position(
-            F.reverse(F.transform(stack, lambda open_: open_["tag"])), event["tag"]
-        ).cast("int")
         size = F.size(stack)
         found = F.when(
             event["opens"], F.when(implied.isNotNull(), let(implied, find)).otherwise(0)
-        ).otherwise(F.when(own > 0, size - own + 1).otherwise(0))
+        ).otherwise(
+            F.when(F.get(stack, size - 1)["tag"] == event["tag"], size).otherwise(
+                let(innermost(stack, event["tag"]), lambda own: reach(stack, own, event["tag"]))
+            )
+        )
         return let(found, lambda f: F.when(f > 0, f - 1).otherwise(size))
 
+    def innermost(stack: Column, tag: Column) -> Column:
+        """One-based position of the last open element of that name, 0 for none."""
+        names = F.reverse(F.transform(stack, lambda open_: open_["tag"]))
+        at = F.array_position(names, tag).cast("int")
+        return F.when(at > 0, F.size(stack) - at + 1).otherwise(0)
+
+    def reach(stack: Column, own: Column, tag: Column) -> Column:
+        """0 where an end tag may not end what was opened in between: an inline one ends
+        no block, and only a table's own tags end its cells."""
+        between_ = F.slice(stack, own + 1, F.size(stack))
+        stops = F.exists(
+            between_,
+            lambda e: (e["tag"].isin(*CELL_TAGS) & ~tag.isin(*TABLE_TAGS))
+            | (e["tag"].isin(*BLOCK_TAGS) & ~tag.isin(*BLOCK_TAGS)),
+        )
+        return F.when((own > 0) & ~stops, own).otherwise(0)
+
     def ended(popped: Column, at: Column, end_tag: Column) -> Column:
         tracked = F.filter(popped, lambda e: e["removed"] | e["tag"].isin(*TRACKED))
         return F.transform(
@@ -272,6 +282,20 @@ def elements(body: Column) -> Column:
     return let(body, walk)
 
 
+def _implied_end_map() -> str:
+    """``IMPLIED_END`` as a map literal from tag to struct(ends, scope)."""
+
+    def array(names: tuple[str, ...]) -> str:
+        return "array({})".format(", ".join(f"'{n}'" for n in names))
+
+    entries = [
+        f"'{name}', named_struct('ends', {array(ends)}, 'scope', {array(scope)})"
+        for names, (ends, scope) in IMPLIED_END.items()
+        for name in names
+    ]
+    return f"map({', '.join(entries)})"
+
+
 def removed_ranges(els: Column) -> Column:
     return F.filter(els, lambda e: e["removed"])
 
@@ -449,17 +473,28 @@ def dense_blocks(toks: Column, els: Column, repeat_nested: bool = False) -> Colu
     return let(body_ratio(toks, els), choose)
 
 
-def fallback_pieces(toks: Column, els: Column, repeat_nested: bool = False) -> Column:
-    """Text of a page without an article: its dense blocks, or all of it."""
-    blocks = dense_blocks(toks, els, repeat_nested)
-    return let(
-        blocks,
-        lambda bs: F.when(
-            F.size(bs) > 0,
-            F.flatten(
-                F.transform(bs, lambda b: text_pieces(toks, els, b["first"], b["last"]))
-            ),
-        ).otherwise(text_pieces(toks, els, F.lit(-1), F.size(toks))),
+def article_spans(toks: Column, els: Column, article: Column, repeat_nested: bool = False) -> Column:
+    """Where the article text stands: ``array<struct<first, last>>``.
+
+    The article element; without one the dense blocks; without those the whole body.
+    """
+
+    def span(first: Column, last: Column) -> Column:
+        return F.struct(first.alias("first"), last.alias("last"))
+
+    def fallback(blocks: Column) -> Column:
+        return F.when(
+            F.size(blocks) > 0, F.transform(blocks, lambda b: span(b["first"], b["last"]))
+        ).otherwise(F.array(span(F.lit(-1), F.size(toks))))
+
+    return F.when(article.isNotNull(), F.array(article)).otherwise(
+        let(dense_blocks(toks, els, repeat_nested), fallback)
+    )
+
+
+def pieces_of(toks: Column, els: Column, spans: Column) -> Column:
+    return F.flatten(
+        F.transform(spans, lambda s: text_pieces(toks, els, s["first"], s["last"]))
     )
 
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,78 +19,105 @@ def tag_events(pages: DataFrame) -> DataFrame:
     ).select("page_id", "pos", "t.kind", "t.tag", F.col("t.text").alias("token"))
 
 
-def _with_body(page: Column, use) -> Column:
+@lru_cache(maxsize=32)
+def _kept(application: str, build: Callable[..., Column], *args) -> Column:
+    """A column over ``html``, composed once per application.
+
+    Composing one of these takes longer than extracting thousands of pages, and every
+    micro-batch needs it again.
+    """
+    return build(*args)
+
+
+def _column(pages: DataFrame, build: Callable[..., Column], *args) -> Column:
+    return _kept(pages.sparkSession.sparkContext.applicationId, build, *args)
+
+
+def _page() -> Column:
+    return H.tokens(F.col("html"))
+
+
+def _with_body(page: Column, use: Callable[[Column, Column], Column]) -> Column:
     """``use(tokens, elements)`` of the body, each computed once."""
     body = let(page, H.body_tokens)
     return let(body, lambda toks: let(H.elements(toks), lambda els: use(toks, els)))
 
 
+def _elements_column() -> Column:
+    return let(let(_page(), H.body_tokens), H.elements)
+
+
 def element_spans(pages: DataFrame) -> DataFrame:
-    """One row per tracked element: (page_id, tag, first, last, removed)."""
-    spans = let(H.body_tokens(H.tokens(F.col("html"))), H.elements)
-    return pages.select("page_id", F.inline(spans))
+    """One row per tracked element: (page_id, tag, first, last, until, removed)."""
+    return pages.select("page_id", F.inline(_column(pages, _elements_column)))
 
 
-def clean_text(pages: DataFrame) -> DataFrame:
-    """Text of the whole body without removed elements."""
-    text = _with_body(
-        H.tokens(F.col("html")),
+def _clean_text_column() -> Column:
+    return _with_body(
+        _page(),
         lambda toks, els: H.join_text(H.text_pieces(toks, els, F.lit(-1), F.size(toks))),
     )
-    return pages.select("page_id", F.coalesce(text, F.lit("")).alias("text"))
 
 
-def removed_counts(pages: DataFrame) -> DataFrame:
-    """Removed and hidden elements per page, and how many of the removed are nested."""
+def clean_text(pages: DataFrame) -> DataFrame:
+    """Text of the whole body without removed elements."""
+    text = _column(pages, _clean_text_column)
+    return pages.select("page_id", F.coalesce(text, F.lit("")).alias("text"))
 
-    def count(toks: Column, els: Column) -> Column:
-        gone = H.removed_ranges(els)
-        return let(
-            gone,
-            lambda g: F.struct(
-                F.size(g).alias("removed"),
-                F.size(F.filter(g, lambda e: H.inside(e["first"], g))).alias("nested"),
-                F.size(
-                    F.filter(g, lambda e: H.is_hidden(F.get(toks, e["first"])))
-                ).alias("hidden"),
-            ),
+
+def _removed_column() -> Column:
+    def count(gone: Column, toks: Column) -> Column:
+        return F.struct(
+            F.size(gone).alias("removed"),
+            F.size(F.filter(gone, lambda e: H.inside(e["first"], gone))).alias("nested"),
+            F.size(F.filter(gone, lambda e: H.is_hidden(F.get(toks, e["first"])))).alias("hidden"),
         )
 
-    counts = _with_body(H.tokens(F.col("html")), count)
-    return pages.select("page_id", counts.alias("c")).select(
-        "page_id",
-        *[F.coalesce(f"c.{name}", F.lit(0)).alias(name) for name in ("removed", "nested", "hidden")],
+    return _with_body(
+        _page(), lambda toks, els: let(H.removed_ranges(els), lambda gone: count(gone, toks))
     )
 
 
-def articles(pages: DataFrame, repeat_nested: bool = False) -> DataFrame:
-    """Title and text of each page, the other columns kept; '' where there is none."""
+def removed_counts(pages: DataFrame) -> DataFrame:
+    """Removed elements per page, how many of them are nested and how many hidden."""
+    counts = pages.select("page_id", _column(pages, _removed_column).alias("c"))
+    names = ("removed", "nested", "hidden")
+    return counts.select(
+        "page_id", *[F.coalesce(f"c.{name}", F.lit(0)).alias(name) for name in names]
+    )
+
+
+def _article_column(repeat_nested: bool) -> Column:
+    """``struct(title, content)`` of a page, null without a body."""
 
     def extract(page: Column) -> Column:
         def from_body(toks: Column, els: Column) -> Column:
-            def read(span: Column) -> Column:
-                pieces = F.when(
-                    span.isNotNull(), H.text_pieces(toks, els, span["first"], span["last"])
-                ).otherwise(H.fallback_pieces(toks, els, repeat_nested))
+            def read(article: Column) -> Column:
+                spans = H.article_spans(toks, els, article, repeat_nested)
 
-                def finish(ps: Column) -> Column:
+                def finish(pieces: Column) -> Column:
                     # A heading counts only where the article still stands in its page:
                     # a rebuilt text has nothing before it.
-                    in_place = span.isNotNull() & H.marker_at(ps).isNull()
-                    heading = F.when(in_place, H.heading_before(toks, els, span["first"]))
+                    in_place = article.isNotNull() & H.marker_at(pieces).isNull()
+                    heading = F.when(in_place, H.heading_before(toks, els, article["first"]))
                     return F.struct(
                         H.clean_title(F.coalesce(heading, H.page_title(page))).alias("title"),
-                        H.readable_text(ps).alias("content"),
+                        H.readable_text(pieces).alias("content"),
                     )
 
-                return let(pieces, finish)
+                return let(H.pieces_of(toks, els, spans), finish)
 
             return F.when(H.has_content(toks), let(H.first_article(els), read))
 
         return _with_body(page, from_body)
 
-    found = let(H.tokens(F.col("html")), extract)
+    return let(_page(), extract)
+
+
+def articles(pages: DataFrame, repeat_nested: bool = False) -> DataFrame:
+    """Title and text of each page, the other columns kept; '' where there is none."""
     others = [c for c in pages.columns if c != "html"]
+    found = _column(pages, _article_column, repeat_nested)
     return (
         pages.select(*others, found.alias("_found"))
         .withColumn("title", F.coalesce("_found.title", F.lit("")))
@@ -96,30 +126,20 @@ def articles(pages: DataFrame, repeat_nested: bool = False) -> DataFrame:
     )
 
 
-def article_text(pages: DataFrame) -> DataFrame:
-    """Text of the first article element of each page, up to the end marker."""
+def _title_column() -> Column:
+    return let(_page(), lambda toks: H.clean_title(H.page_title(toks)))
 
-    def read(toks: Column, els: Column) -> Column:
-        return let(
-            H.first_article(els),
-            lambda a: F.when(
-                a.isNotNull(), H.readable_text(H.text_pieces(toks, els, a["first"], a["last"]))
-            ),
-        )
 
-    text = _with_body(H.tokens(F.col("html")), read)
-    return pages.select("page_id", F.coalesce(text, F.lit("")).alias("text"))
+def with_title(pages: DataFrame) -> DataFrame:
+    """Add ``title``, the cleaned title-element title."""
+    return pages.withColumn("title", _column(pages, _title_column))
 
 
 def titles(pages: DataFrame) -> DataFrame:
-    """The title-element title of each page, cleaned."""
-    title = let(H.tokens(F.col("html")), lambda toks: H.clean_title(H.page_title(toks)))
-    return pages.select("page_id", title.alias("title"))
+    return with_title(pages).select("page_id", "title")
 
 
-def text_blocks(pages: DataFrame) -> DataFrame:
-    """One row per kept p and div with its text ratio and the text it holds."""
-
+def _blocks_column() -> Column:
     def rows(toks: Column, els: Column) -> Column:
         return let(
             H.body_ratio(toks, els),
@@ -135,26 +155,34 @@ def text_blocks(pages: DataFrame) -> DataFrame:
             ),
         )
 
-    return pages.select("page_id", F.inline(_with_body(H.tokens(F.col("html")), rows)))
+    return _with_body(_page(), rows)
 
 
-def end_markers(pages: DataFrame) -> DataFrame:
-    """Pieces of text in the first article, and how many are left after the end marker."""
+def text_blocks(pages: DataFrame) -> DataFrame:
+    """One row per kept p and div with its text ratio and the text it holds."""
+    return pages.select("page_id", F.inline(_column(pages, _blocks_column)))
+
 
+def _marker_column() -> Column:
     def count(toks: Column, els: Column) -> Column:
-        def of(a: Column) -> Column:
+        def of(article: Column) -> Column:
             return let(
-                H.text_pieces(toks, els, a["first"], a["last"]),
-                lambda ps: F.struct(
-                    F.size(ps).alias("pieces"),
-                    F.coalesce(H.marker_at(ps), F.size(ps)).alias("kept"),
+                H.text_pieces(toks, els, article["first"], article["last"]),
+                lambda pieces: F.struct(
+                    F.size(pieces).alias("pieces"),
+                    F.coalesce(H.marker_at(pieces), F.size(pieces)).alias("kept"),
                 ),
             )
 
         return let(H.first_article(els), lambda a: F.when(a.isNotNull(), of(a)))
 
-    counts = _with_body(H.tokens(F.col("html")), count)
-    return pages.select("page_id", counts.alias("c")).select(
+    return _with_body(_page(), count)
+
+
+def end_markers(pages: DataFrame) -> DataFrame:
+    """Pieces of text in the first article, and how many are left after the end marker."""
+    counts = pages.select("page_id", _column(pages, _marker_column).alias("c"))
+    return counts.select(
         "page_id",
         F.coalesce("c.pieces", F.lit(0)).alias("pieces"),
         F.coalesce("c.kept", F.lit(0)).alias("kept"),

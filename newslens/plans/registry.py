@@ -9,9 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newslens import schemas as S
-from newslens.functions import html as H
 from newslens.functions.sentiment import Lexicon, load_lexicon
-from newslens.functions.text import let, preview, word_count
+from newslens.functions.text import preview, word_count
 from newslens.functions.times import next_minute, ratio_or_zero, seconds_between
 from newslens.operators import extraction as X
 from newslens.operators import metrics as M
@@ -299,9 +298,8 @@ def source_of(url: Column) -> Column:
 
 def page_feed(spark: SparkSession, folder: str) -> DataFrame:
     """Feed records that announce the pages: (page_id, source, title, url)."""
-    title = let(H.tokens(F.col("html")), lambda toks: H.clean_title(H.page_title(toks)))
-    return tables.pages(spark, folder).select(
-        "page_id", source_of(F.col("url")).alias("source"), title.alias("title"), "url"
+    return X.with_title(tables.pages(spark, folder)).select(
+        "page_id", source_of(F.col("url")).alias("source"), "title", "url"
     )
 
 

@@ -348,12 +348,12 @@ whole AS (
   FROM seen GROUP BY page_id
 ),
 limits AS (
-  SELECT page_id, CAST(length(regexp_replace(html, '</?\\w+[^>]*>|[\\s\\x{{0B}}]', '', 'g')) AS DOUBLE) / length(html) AS ratio
-  FROM whole
+  SELECT page_id, CAST(length(regexp_replace(bare, '</?\\w+[^>]*>|[\\s\\x{{0B}}]', '', 'g')) AS DOUBLE) / length(bare) AS ratio
+  FROM (SELECT *, regexp_replace(html, '\\s*[^=\\s+]+\\s*=\\s*(?:[^=>]*(>)|[^=>]*(\\s))', '\\1\\2', 'g') AS bare FROM whole)
 ),
 ratios AS (
-  SELECT *, CAST(length(regexp_replace(html, '</?\\w+[^>]*>|[\\s\\x{{0B}}]', '', 'g')) AS DOUBLE) / length(html) AS ratio
-  FROM markup
+  SELECT *, CAST(length(regexp_replace(bare, '</?\\w+[^>]*>|[\\s\\x{{0B}}]', '', 'g')) AS DOUBLE) / length(bare) AS ratio
+  FROM (SELECT *, regexp_replace(html, '\\s*[^=\\s+]+\\s*=\\s*(?:[^=>]*(>)|[^=>]*(\\s))', '\\1\\2', 'g') AS bare FROM markup)
 ),
 texts AS (
   SELECT b.page_id, b.first, string_agg(x.s, ' ' ORDER BY x.pos) AS text

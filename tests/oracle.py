@@ -48,11 +48,12 @@ def rows_of(columns: list[str], rows: list) -> tuple[list[str], list]:
 
 
 def compare(spark, con, name: str, folder: str) -> str:
-    """'' when both agree, else what differs."""
+    """'' when both agree, else what differs. Prints the number of rows."""
     df = entry.queries()[name](spark, folder)
     got_columns, got = rows_of(df.columns, df.collect())
     relation = con.execute(entry.oracle_sql()[name])
     want_columns, want = rows_of([d[0] for d in relation.description], relation.fetchall())
+    print(f"{len(got):>8}", end=" ")
     if got_columns != want_columns:
         return f"columns {got_columns} != {want_columns}"
     if len(got) != len(want):
