@@ -214,7 +214,7 @@ def parts(of):
 
 
 @settings(
-    max_examples=5,
+    max_examples=3,
     deadline=None,
     phases=[Phase.generate],
     suppress_health_check=list(HealthCheck),
