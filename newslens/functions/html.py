@@ -13,7 +13,7 @@ from html.entities import name2codepoint
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from newslens.functions.text import BLANK_CHARS, let, strip
+from newslens.functions.text import BLANK, let, strip
 
 # What is removed, where an article ends, how titles are cleaned.
 UNWANTED_TAGS = ("aside", "nav", "footer")
@@ -21,7 +21,7 @@ UNWANTED_DIV_CLASS = "ad|ads|sponsored|promo|related|recommendation|footer"
 UNWANTED_SECTION_CLASS = "related|recommendations"
 HIDDEN_STYLE = r"display:\s?none"
 END_MARKER = "End of Article"
-TITLE_JUNK = rf"<[\s\S]*?>|[\t\r\f\x0B]|^[{BLANK_CHARS}]+|[{BLANK_CHARS}]+$"
+TITLE_JUNK = rf"(?U)<[\s\S]*?>|[\t\r\f\x0B]|^[{BLANK}]+|[{BLANK}]+$"
 RATIO_SKIPPED_TAGS = ("a", "noscript")
 RATIO_UNSEEN_TAGS = ("img", "body", "html")
 RATIO_ATTRIBUTES = r"\s*[^=\s+]+\s*=\s*([^=>]+)?(?=(\s+|>))"

@@ -15,13 +15,11 @@ STOP_WORDS = (
     "at", "to", "for", "is", "are", "was", "were",
 )
 
-# Fixed value: the characters that Python's str.split() and str.strip() treat as blank.
-# The regex engine's own \s covers only the ASCII ones.
-BLANK_CHARS = (
-    r"\x09-\x0D\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
-    r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
-)
-OUTER_BLANKS = f"^[{BLANK_CHARS}]+|[{BLANK_CHARS}]+$"
+# Blanks are what Python's str.split() and str.strip() take for blank: the
+# Unicode white space that (?U) lets \s match, and four separators of ASCII.
+BLANK = r"\s\x1C-\x1F"
+OUTER_BLANKS = f"(?U)^[{BLANK}]+|[{BLANK}]+$"
+BLANK_SEPARATED = f"(?U)[^{BLANK}]+"
 
 
 def raw_words(content: Column) -> Column:
@@ -39,15 +37,20 @@ def is_long_word(word: Column) -> Column:
     return (F.length(word) >= MIN_WORD_LENGTH) & word.rlike(ASCII_LETTERS)
 
 
+def is_stop_word(word: Column) -> Column:
+    """Whether a word in lower case is a stop word."""
+    return word.isin(*STOP_WORDS)
+
+
 def clean_word(word: Column) -> Column:
     """Word in lower case without outer blanks; '' for null and for stop words."""
     cleaned = F.lower(strip(word))
-    return F.when(word.isNull() | cleaned.isin(*STOP_WORDS), "").otherwise(cleaned)
+    return F.when(word.isNull() | is_stop_word(cleaned), "").otherwise(cleaned)
 
 
 def word_count(content: Column) -> Column:
     """Number of blank-separated words."""
-    return F.regexp_count(content, F.lit(f"[^{BLANK_CHARS}]+"))
+    return F.regexp_count(content, F.lit(BLANK_SEPARATED))
 
 
 def strip(text: Column) -> Column:

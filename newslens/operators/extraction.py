@@ -116,13 +116,12 @@ def _article_column(repeat_nested: bool) -> Column:
 
 def articles(pages: DataFrame, repeat_nested: bool = False) -> DataFrame:
     """Title and text of each page, the other columns kept; '' where there is none."""
-    others = [c for c in pages.columns if c != "html"]
-    found = _column(pages, _article_column, repeat_nested)
-    return (
-        pages.select(*others, found.alias("_found"))
-        .withColumn("title", F.coalesce("_found.title", F.lit("")))
-        .withColumn("content", F.coalesce("_found.content", F.lit("")))
-        .drop("_found")
+    nothing = F.struct(F.lit("").alias("title"), F.lit("").alias("content"))
+    found = F.coalesce(_column(pages, _article_column, repeat_nested), nothing)
+    # Generated rows: a filter on title or content stays above the extraction, where a
+    # filter on a projected column would be pushed into it and extract a second time.
+    return pages.select(
+        *[c for c in pages.columns if c != "html"], F.inline(F.array(found))
     )
 
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from newslens.functions.text import clean_word, is_long_word, lower_words, raw_words
+from newslens.functions.text import is_long_word, is_stop_word, lower_words, raw_words
 
 # Length of the streaming and of the batch ranking.
 STREAM_TOP = 10
@@ -29,7 +29,8 @@ def all_words(articles: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 def content_words(articles: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """One row per word in lower case, stop words left out."""
     words = articles.select(*by, F.explode(raw_words(F.col("content"))).alias("word"))
-    return words.withColumn("word", clean_word(F.col("word"))).where(F.col("word") != "")
+    lower = words.select(*by, F.lower("word").alias("word"))
+    return lower.where((F.col("word") != "") & ~is_stop_word(F.col("word")))
 
 
 def count_words(words: DataFrame, by: Sequence[str] = ()) -> DataFrame:

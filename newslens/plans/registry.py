@@ -47,7 +47,7 @@ def scored(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def article_count(spark, folder):
-    return M.article_count(tables.articles(spark, folder))
+    return M.article_count(tables.articles(spark, folder, spread=False))
 
 
 def word_counts(spark, folder):
@@ -77,7 +77,8 @@ def word_count_per_article(spark, folder):
 
 
 def article_preview(spark, folder):
-    return tables.articles(spark, folder).select("raw_id", preview(F.col("content")).alias("preview"))
+    articles = tables.articles(spark, folder, spread=False)
+    return articles.select("raw_id", preview(F.col("content")).alias("preview"))
 
 
 def top_words_overall(spark, folder):
@@ -138,7 +139,7 @@ def sentiment_share(spark, folder):
 
 
 def source_statistics(spark, folder):
-    return M.source_statistics(tables.articles(spark, folder))
+    return M.source_statistics(tables.articles(spark, folder, spread=False))
 
 
 def source_avg_length(spark, folder):
@@ -158,7 +159,7 @@ def batch_metric_rows(spark, folder):
 
 
 def scan_processed(spark, folder):
-    return tables.processed_articles(tables.articles(spark, folder))
+    return tables.processed_articles(tables.articles(spark, folder, spread=False))
 
 
 # Windows and roll-ups
@@ -179,7 +180,7 @@ def sentiment_per_window(spark, folder):
 
 
 def source_stats_per_window(spark, folder):
-    framed = Win.with_window(tables.articles(spark, folder))
+    framed = Win.with_window(tables.articles(spark, folder, spread=False))
     return M.source_statistics(framed, ["window_start"])
 
 
@@ -192,7 +193,7 @@ def three_windows(spark, folder):
 def filter_since(spark, folder):
     """Messages from the second run on."""
     begin = start_time() + F.expr("INTERVAL 45 MINUTES")
-    return Win.since(tables.articles(spark, folder), begin).select("raw_id", "timestamp")
+    return Win.since(tables.articles(spark, folder, spread=False), begin).select("raw_id", "timestamp")
 
 
 def next_minutes(spark, folder):
@@ -391,7 +392,7 @@ def scraped_messages(spark, folder):
 
 
 def raw_documents(spark: SparkSession, folder: str) -> DataFrame:
-    return tables.articles(spark, folder).select(
+    return tables.articles(spark, folder, spread=False).select(
         F.col("raw_id").alias("id"),
         "source",
         "title",
@@ -426,7 +427,9 @@ def cascade_delete(spark, folder):
 
 
 def conform_schema(spark, folder):
-    articles = tables.articles(spark, folder).withColumnRenamed("raw_id", "raw_article_id")
+    articles = tables.articles(spark, folder, spread=False).withColumnRenamed(
+        "raw_id", "raw_article_id"
+    )
     return Q.conform(articles, S.PROCESSED_ARTICLES)
 
 

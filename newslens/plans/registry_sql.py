@@ -6,14 +6,16 @@ cut with one alternative per raw-text element.
 
 from __future__ import annotations
 
-from newslens.functions.text import BLANK_CHARS, STOP_WORDS
+from newslens.functions.text import STOP_WORDS
 from newslens.functions.times import RUN_WINDOWS
 from newslens.functions.sentiment import NEGATED, PLAIN
 from newslens.sources.lexicon import SAMPLE
 
-BLANKS = BLANK_CHARS.replace(r"\x09", r"\x{09}").replace(r"\x0D", r"\x{0D}").replace(
-    r"\x1C", r"\x{1C}"
-).replace(r"\x20", r"\x{20}")
+# Fixed value: the characters Python takes for blank.
+BLANKS = (
+    r"\x{09}-\x{0D}\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
+    r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+)
 
 ARTICLES = """
 articles AS (

@@ -15,9 +15,14 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def articles(spark: SparkSession, folder: str) -> DataFrame:
-    """Documents as articles: raw_id, source, title (first line), content, timestamp."""
-    documents = spread_small(read_table(spark, folder, "documents"))
+def articles(spark: SparkSession, folder: str, spread: bool = True) -> DataFrame:
+    """Documents as articles: raw_id, source, title (first line), content, timestamp.
+
+    ``spread`` helps operators that work on the text where a small table has one split.
+    """
+    documents = read_table(spark, folder, "documents")
+    if spread:
+        documents = spread_small(documents)
     minutes = F.make_dt_interval(mins=F.col("doc_id").cast("int"))
     return documents.select(
         F.col("doc_id").alias("raw_id"),
