@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from newslens.functions.text import is_long_word, lower_words, raw_words
+from newslens.functions.times import RUN_WINDOWS, plus_windows
 from newslens.operators.words import top_words_per
 
 # Names of the stored metrics; batch rows carry the suffix.
@@ -156,7 +158,15 @@ def metric_rows(rows: DataFrame, processing_type: str, parts: int = 1) -> DataFr
         rows.groupBy(*window, part.alias("part"))
         .agg(F.sort_array(F.collect_list(item)).alias("items"))
         .select(
-            F.md5(F.concat_ws("|", F.unix_seconds("window_start"), "metric_name", F.lit(processing_type), "part")).alias("id"),
+            F.md5(
+                F.concat_ws(
+                    "|",
+                    F.unix_micros("window_start"),
+                    "metric_name",
+                    F.lit(processing_type),
+                    "part",
+                )
+            ).alias("id"),
             "window_start",
             "window_end",
             "metric_name",
@@ -179,6 +189,16 @@ def recent_metrics(results: DataFrame, processing_type: str = "streaming", n: in
     )
 
 
+def of_run(
+    results: DataFrame, start: datetime | Column, windows: int = RUN_WINDOWS
+) -> DataFrame:
+    """The stored rows of one run of ``windows`` windows from ``start`` on."""
+    begin = F.lit(start)
+    return results.where(
+        (F.col("window_start") >= begin) & (F.col("window_end") <= plus_windows(begin, windows))
+    )
+
+
 def metric_items(results: DataFrame, metric_name: str, items: str, by: Sequence[str] = ()) -> DataFrame:
     """The JSON arrays of one stored metric as rows."""
     return results.where(F.col("metric_name") == metric_name).select(

@@ -71,8 +71,19 @@ def invalid_types(results: DataFrame) -> DataFrame:
     return results.where(~F.coalesce(F.col("processing_type").isin(*PROCESSING_TYPES), F.lit(False)))
 
 
+def is_ready(tables: dict[str, tuple[DataFrame, T.StructType]]) -> bool:
+    """Whether every table has its columns, and values where they are required."""
+    return schema_gaps(tables).isEmpty()
+
+
 # The joins below meet on ids. Spark picks the join by size; where one id holds a large
-# part of the rows, adaptive execution splits its partition over several tasks.
+# part of the rows that are kept, adaptive execution splits its partition over several
+# tasks. The side that is only looked up is reduced to its distinct ids first: each task
+# drops its own repeats before the shuffle, and the join then needs no further one.
+
+
+def ids(table: DataFrame, column: str, name: str) -> DataFrame:
+    return table.select(F.col(column).alias(name)).distinct()
 
 
 def raw_with_processed(raw: DataFrame, processed: DataFrame) -> DataFrame:
@@ -83,16 +94,14 @@ def raw_with_processed(raw: DataFrame, processed: DataFrame) -> DataFrame:
 
 def unprocessed(raw: DataFrame, processed: DataFrame) -> DataFrame:
     """Raw articles without a processed one: extraction failed or has not run."""
-    return raw.join(
-        processed.select(F.col("raw_article_id").alias("id")), "id", "left_anti"
-    )
+    return raw.join(ids(processed, "raw_article_id", "id"), "id", "left_anti")
 
 
 def orphans(processed: DataFrame, raw: DataFrame) -> DataFrame:
     """Processed articles whose raw article is gone."""
-    return processed.join(raw.select(F.col("id").alias("raw_article_id")), "raw_article_id", "left_anti")
+    return processed.join(ids(raw, "id", "raw_article_id"), "raw_article_id", "left_anti")
 
 
 def cascade_delete(processed: DataFrame, raw: DataFrame) -> DataFrame:
     """Processed articles that remain when those without a raw article go."""
-    return processed.join(raw.select(F.col("id").alias("raw_article_id")), "raw_article_id", "left_semi")
+    return processed.join(ids(raw, "id", "raw_article_id"), "raw_article_id", "left_semi")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+import uuid
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame
@@ -14,7 +15,7 @@ from newslens.operators import words as W
 from newslens.operators.timing import timing_metrics
 from newslens.operators.windows import with_window
 from newslens.schemas import TIMING_METRICS
-from newslens.sources.sinks import append_metrics, append_rows
+from newslens.sources.sinks import append_rows, read_metrics, write_metrics
 
 
 def batch_report(scored: DataFrame, top: int = W.BATCH_TOP) -> DataFrame:
@@ -81,9 +82,9 @@ def run_batch(scored: DataFrame, metrics_path: str, timing_path: str) -> DataFra
     spark = scored.sparkSession
     start = time.time()
     now = F.lit(datetime.fromtimestamp(start, timezone.utc))
-    rows = batch_metric_rows(scored, now)
-    append_metrics(rows, metrics_path)
-    written = spark.read.parquet(metrics_path).where(F.col("window_start") == now)
+    run = f"batch-{uuid.uuid4().hex}"
+    write_metrics(batch_metric_rows(scored, now), metrics_path, run)
+    written = read_metrics(spark, metrics_path).where(F.col("run") == run)
     items = M.metric_items(written, M.SENTIMENTS + M.BATCH_SUFFIX, M.SENTIMENT_ITEMS)
     log = items.agg(F.coalesce(F.sum("count"), F.lit(0)).alias("records")).select(
         F.lit("batch").alias("processing_type"),

@@ -76,6 +76,23 @@ def ingest(
     return outputs(raw, extracted, lexicon)
 
 
+def write_ingested(out: Ingested, lexicon: Lexicon, folder: str, part: str = "") -> None:
+    """Write all outputs under ``folder``: the extracted articles first, the others from
+    them. With ``part`` they go to a folder of that name, replacing an earlier try."""
+    spark = out.raw.sparkSession
+    part = f"/{part}" if part else ""
+    extracted = f"{folder}/extracted{part}"
+    out.extracted.write.mode("overwrite").parquet(extracted)
+    done = out.from_extracted(spark.read.schema(out.extracted.schema).parquet(extracted), lexicon)
+    for name, table in (
+        ("raw", done.raw),
+        ("processed", done.processed),
+        ("rejected", done.rejected),
+        ("messages", done.messages),
+    ):
+        table.write.mode("overwrite").parquet(f"{folder}/{name}{part}")
+
+
 def outputs(raw: DataFrame, extracted: DataFrame, lexicon: Lexicon) -> Ingested:
     processed = finish(extraction.accepted(extracted), lexicon)
     return Ingested(

@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 # A table below this many bytes per core is worth spreading by hand; larger ones
 # already come in enough splits.
 SPREAD_BYTES_PER_CORE = 16 * 1024 * 1024
@@ -17,6 +19,7 @@ def build_session(app: str = "newslens", master: str | None = None, **conf: str)
 
     Shuffle width is left to adaptive execution: it coalesces small partitions and
     splits skewed join partitions at run time, so nothing here is tied to one size.
+    Stream state lives in RocksDB, outside the heap, and is saved as changes.
     """
     builder = (
         SparkSession.builder.appName(app)
@@ -25,6 +28,10 @@ def build_session(app: str = "newslens", master: str | None = None, **conf: str)
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        .config("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+        .config("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+        # Extraction composes some thousand columns; without call sites that is quick.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if master:
         builder = builder.master(master)
@@ -65,9 +72,7 @@ def spread_small(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
-    if len(df.inputFiles()) >= cores:
-        return df
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    if size > cores * SPREAD_BYTES_PER_CORE:
+    if size > cores * SPREAD_BYTES_PER_CORE or len(df.inputFiles()) >= cores:
         return df
     return df.repartition(cores)

@@ -6,22 +6,30 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def append_metrics(rows: DataFrame, path: str) -> None:
-    """Add metric rows of a batch run, in folders by processing type."""
-    rows.write.mode("append").partitionBy("processing_type").parquet(path)
+def write_metrics(rows: DataFrame, path: str, run: str, epoch_id: int = 0) -> None:
+    """Metric rows of one step of one run, replacing what an earlier try of it left.
 
-
-def write_epoch(rows: DataFrame, path: str, epoch_id: int) -> None:
-    """Metric rows of one micro-batch, replacing what an earlier try of it left behind."""
+    ``run`` is the id of a stream, which outlives restarts, or of a batch run; two runs
+    never share a folder, so neither can replace the other's rows.
+    """
     (
-        rows.withColumn("epoch_id", F.lit(epoch_id))
+        rows.withColumn("run", F.lit(run))
+        .withColumn("epoch_id", F.lit(epoch_id).cast("bigint"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("processing_type", "epoch_id")
+        .partitionBy("processing_type", "run", "epoch_id")
         .parquet(path)
     )
 
 
+def stream_id(batch: DataFrame) -> str:
+    """Id of the stream that a foreachBatch callback works for."""
+    found = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    if not found:
+        raise RuntimeError("not called from a stream")
+    return found
+
+
 def append_rows(rows: DataFrame, path: str, *partition_by: str) -> None:
     rows.write.mode("append").partitionBy(*partition_by).parquet(path)
 

@@ -18,7 +18,7 @@ from newslens.operators.timing import timing_metrics
 from newslens.operators.windows import bounded_run
 from newslens.operators.words import STREAM_TOP
 from newslens.sources.messages import parse_envelope
-from newslens.sources.sinks import append_rows, write_epoch
+from newslens.sources.sinks import append_rows, stream_id, write_metrics
 
 # How late a message may be. State is kept for open windows only, this much past them.
 LATENESS = "10 minutes"
@@ -72,7 +72,7 @@ def metric_writer(
             if counts.isEmpty():
                 return
             rows = M.report(counts, top, by=["window_start", "window_end"])
-            write_epoch(M.metric_rows(rows, "streaming"), path, epoch_id)
+            write_metrics(M.metric_rows(rows, "streaming"), path, stream_id(counts), epoch_id)
             if timing_path:
                 log = counts.where(F.col("metric_name") == M.SENTIMENTS).agg(
                     F.coalesce(F.sum("count"), F.lit(0)).alias("records")

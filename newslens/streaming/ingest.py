@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from newslens.functions.sentiment import Lexicon
-from newslens.plans.ingest import ingest
+from newslens.plans.ingest import ingest, write_ingested
 from newslens.schemas import FEED_MESSAGE
 from newslens.sources.messages import decode
+from newslens.sources.sinks import stream_id
 
 TRIGGER = "30 seconds"
 
@@ -26,24 +27,14 @@ def start_ingest(
     """Join each batch of feed messages with the crawled pages and store the outcome.
 
     Writes ``raw``, ``processed``, ``rejected`` and ``messages`` under ``folder``, one
-    folder per epoch, so a batch that is tried again replaces its own rows. ``position``
+    folder per stream and epoch, so a batch that is tried again replaces its own rows. ``position``
     tells two equal records apart; on a broker that is partition and offset.
     """
 
     def write(batch: DataFrame, epoch_id: int) -> None:
         feed = decode(batch, FEED_MESSAGE, position)
         out = ingest(feed, pages, lexicon, position, extract_first=False)
-        out.extracted.write.mode("overwrite").parquet(f"{folder}/extracted/epoch={epoch_id}")
-        done = out.from_extracted(
-            batch.sparkSession.read.parquet(f"{folder}/extracted/epoch={epoch_id}"), lexicon
-        )
-        for name, table in (
-            ("raw", done.raw),
-            ("processed", done.processed),
-            ("rejected", done.rejected),
-            ("messages", done.messages),
-        ):
-            table.write.mode("overwrite").parquet(f"{folder}/{name}/epoch={epoch_id}")
+        write_ingested(out, lexicon, folder, part=f"run={stream_id(batch)}/epoch={epoch_id}")
 
     return (
         messages.where(F.col("value").isNotNull())

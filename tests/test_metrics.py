@@ -8,7 +8,7 @@ from newslens.operators import metrics as M
 from newslens.operators import timing
 from newslens.operators import windows as Win
 from newslens.plans import batch_report as B
-from newslens.sources.sinks import append_metrics, read_metrics, write_epoch
+from newslens.sources.sinks import read_metrics, stream_id, write_metrics
 
 T0 = datetime(2024, 1, 1, 9, 0)
 
@@ -105,8 +105,8 @@ def test_rollups(scored):
 
 
 def test_recent(spark, scored, tmp_path):
-    append_metrics(B.windowed_metric_rows(scored), str(tmp_path))
-    append_metrics(B.batch_metric_rows(scored, F.lit(T0 + timedelta(days=1))), str(tmp_path))
+    write_metrics(B.windowed_metric_rows(scored), str(tmp_path), "a")
+    write_metrics(B.batch_metric_rows(scored, F.lit(T0 + timedelta(days=1))), str(tmp_path), "b")
     recent = M.recent_metrics(read_metrics(spark, str(tmp_path)), n=2).collect()
     assert [(r["metric_name"], r["window_start"]) for r in recent] == [
         ("sentiment_distribution", T0 + timedelta(minutes=45)),
@@ -118,9 +118,11 @@ def test_recent(spark, scored, tmp_path):
 
 def test_epoch_is_replaced(spark, scored, tmp_path):
     stored = B.windowed_metric_rows(scored)
-    for epoch in (0, 1, 1, 0):
-        write_epoch(stored, str(tmp_path), epoch)
-    assert read_metrics(spark, str(tmp_path)).count() == 2 * stored.count()
+    for run, epoch in (("a", 0), ("a", 1), ("a", 1), ("a", 0), ("b", 0)):
+        write_metrics(stored, str(tmp_path), run, epoch)
+    assert read_metrics(spark, str(tmp_path)).count() == 3 * stored.count()
+    with pytest.raises(RuntimeError):
+        stream_id(stored)
 
 
 def test_run_batch(spark, scored, tmp_path):

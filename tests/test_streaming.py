@@ -70,6 +70,17 @@ def test_stream_equals_batch(spark, tmp_path, lexicon):
     assert values(stored(spark, root)) == values(batch)
 
 
+def test_a_new_stream_keeps_the_rows_of_the_old_one(spark, tmp_path, lexicon):
+    root = str(tmp_path)
+    land(spark, f"{root}/in", [article(0, 0), article(1, 60)])
+    for checkpoint in ("one", "two", "one"):
+        stream = messages.stream_topics(spark, f"{root}/in")
+        counts = A.windowed_counts(A.scored_stream(stream, lexicon))
+        A.start_analytics(counts, f"{root}/out", f"{root}/{checkpoint}", ONCE).awaitTermination()
+    runs = spark.read.parquet(f"{root}/out").groupBy("run").count().collect()
+    assert [r["count"] for r in runs] == [3, 3]
+
+
 def test_late_messages_are_dropped_after_the_watermark(spark, tmp_path, lexicon):
     root = str(tmp_path)
     land(spark, f"{root}/in", [article(0, 0), article(1, 60)])
