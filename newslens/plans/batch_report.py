@@ -15,7 +15,7 @@ from newslens.operators import words as W
 from newslens.operators.timing import timing_metrics
 from newslens.operators.windows import with_window
 from newslens.schemas import TIMING_METRICS
-from newslens.sources.sinks import append_rows, read_metrics, write_metrics
+from newslens.sources.sinks import read_metrics, write_metrics, write_step
 
 
 def batch_report(scored: DataFrame, top: int = W.BATCH_TOP) -> DataFrame:
@@ -93,5 +93,5 @@ def run_batch(scored: DataFrame, metrics_path: str, timing_path: str) -> DataFra
         "records",
     )
     row = timing_metrics(log)
-    append_rows(row.select(*TIMING_METRICS.names), timing_path)
+    write_step(row.select(*TIMING_METRICS.names), timing_path, run)
     return row

@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def write_metrics(rows: DataFrame, path: str, run: str, epoch_id: int = 0) -> None:
-    """Metric rows of one step of one run, replacing what an earlier try of it left.
+def write_step(
+    rows: DataFrame, path: str, run: str, epoch_id: int = 0, partition_by: tuple[str, ...] = ()
+) -> None:
+    """Rows of one step of one run, replacing what an earlier try of it left.
 
     ``run`` is the id of a stream, which outlives restarts, or of a batch run; two runs
     never share a folder, so neither can replace the other's rows.
@@ -17,11 +19,16 @@ def write_metrics(rows: DataFrame, path: str, run: str, epoch_id: int = 0) -> No
         .withColumn("epoch_id", F.lit(epoch_id).cast("bigint"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("processing_type", "run", "epoch_id")
+        .partitionBy(*partition_by, "run", "epoch_id")
         .parquet(path)
     )
 
 
+def write_metrics(rows: DataFrame, path: str, run: str, epoch_id: int = 0) -> None:
+    """Metric rows, in folders by processing type first."""
+    write_step(rows, path, run, epoch_id, ("processing_type",))
+
+
 def stream_id(batch: DataFrame) -> str:
     """Id of the stream that a foreachBatch callback works for."""
     found = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
@@ -30,9 +37,5 @@ def stream_id(batch: DataFrame) -> str:
     return found
 
 
-def append_rows(rows: DataFrame, path: str, *partition_by: str) -> None:
-    rows.write.mode("append").partitionBy(*partition_by).parquet(path)
-
-
 def read_metrics(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)

@@ -18,7 +18,7 @@ from newslens.operators.timing import timing_metrics
 from newslens.operators.windows import bounded_run
 from newslens.operators.words import STREAM_TOP
 from newslens.sources.messages import parse_envelope
-from newslens.sources.sinks import append_rows, stream_id, write_metrics
+from newslens.sources.sinks import stream_id, write_metrics, write_step
 
 # How late a message may be. State is kept for open windows only, this much past them.
 LATENESS = "10 minutes"
@@ -83,7 +83,7 @@ def metric_writer(
                     F.timestamp_micros(F.lit(int(time.time() * 1_000_000))).alias("end_time"),
                     "records",
                 )
-                append_rows(timing_metrics(log), timing_path)
+                write_step(timing_metrics(log), timing_path, stream_id(counts), epoch_id)
         finally:
             counts.unpersist()
 
