@@ -80,11 +80,12 @@ def utc(time: datetime) -> datetime:
 
 
 def publish(spark: SparkSession, args: argparse.Namespace) -> list[DataFrame]:
-    read = [feeds.without_videos(feeds.read_rss(spark, p, s)) for s, p in pairs(args.rss)]
-    read += [feeds.read_api(spark, p, s) for s, p in pairs(args.api)]
+    read = [feeds.read_rss(spark, path, source) for source, path in pairs(args.rss)]
+    read += [feeds.read_api(spark, path, source) for source, path in pairs(args.api)]
     if not read:
         raise SystemExit("publish needs --rss or --api")
-    routed = messages.merge(*[messages.route(feed) for feed in read])
+    feed = feeds.without_videos(messages.merge(*read), feeds.VIDEO_SOURCE)
+    routed = messages.route(feed)
     messages.write_topics(routed.withColumn("timestamp", F.current_timestamp()), args.out)
     return []
 

@@ -58,7 +58,7 @@ IMPLIED_END = {
 
 HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")
 BLOCKS = ("p", "div")
-TRACKED = ("article", *BLOCKS, *HEADINGS, *RATIO_SKIPPED_TAGS)
+TRACKED = ("article", *BLOCKS, *HEADINGS)
 
 # A token: comment, raw-text element, declaration, tag (quotes respected where they
 # balance), tag cut off by the end of the page, text, or a lone "<".
@@ -160,7 +160,8 @@ def has_content(body: Column) -> Column:
     return F.coalesce(visible, F.lit(False))
 
 
-ELEMENT = "struct<tag:string,first:int,last:int,until:int,removed:boolean>"
+ELEMENT = "struct<tag:string,first:int,last:int,until:int,removed:boolean,skipped:boolean>"
+OPEN_ELEMENT = "struct<tag:string,first:int,removed:boolean,gone:boolean,unseen:boolean>"
 
 
 def elements(body: Column) -> Column:
@@ -170,6 +171,10 @@ def elements(body: Column) -> Column:
     the element, its own end tag or one that implies it, or the token count when the page
     ends first. ``until`` is the position after the element: past its own end tag, but
     not past another's. A pass over the tags with a stack of open elements.
+
+    Nothing inside a removed element is listed, so ``removed`` elements never overlap and
+    come in page order. The same holds for ``skipped`` ones, which the text ratio leaves
+    out.
     """
     closes = F.expr(_implied_end_map())
 
@@ -230,18 +235,30 @@ def elements(body: Column) -> Column:
         return F.when((own > 0) & ~stops, own).otherwise(0)
 
     def ended(popped: Column, at: Column, end_tag: Column) -> Column:
-        tracked = F.filter(popped, lambda e: e["removed"] | e["tag"].isin(*TRACKED))
+        listed = F.filter(
+            popped,
+            lambda e: ~e["gone"]
+            & (
+                e["removed"]
+                | e["tag"].isin(*TRACKED)
+                | (e["tag"].isin(*RATIO_SKIPPED_TAGS) & ~e["unseen"])
+            ),
+        )
         return F.transform(
-            tracked,
+            listed,
             lambda e: F.struct(
                 e["tag"].alias("tag"),
                 e["first"].alias("first"),
                 at.alias("last"),
                 (at + F.when(e["tag"] == end_tag, 1).otherwise(0)).alias("until"),
                 e["removed"].alias("removed"),
+                (leaves_ratio(e) & ~e["unseen"]).alias("skipped"),
             ),
         )
 
+    def leaves_ratio(e: Column) -> Column:
+        return e["removed"] | e["tag"].isin(*RATIO_SKIPPED_TAGS)
+
     def step(state: Column, event: Column) -> Column:
         stack, done = state["stack"], state["done"]
         end_tag = F.when(~event["opens"], event["tag"])
@@ -249,10 +266,13 @@ def elements(body: Column) -> Column:
         def after(kept: Column) -> Column:
             popped = F.slice(stack, kept + 1, F.size(stack))
             base = F.slice(stack, F.lit(1), kept)
+            parent = F.get(base, kept - 1)
             opened = F.struct(
                 event["tag"].alias("tag"),
                 event["at"].alias("first"),
                 event["removed"].alias("removed"),
+                F.coalesce(parent["gone"] | parent["removed"], F.lit(False)).alias("gone"),
+                F.coalesce(parent["unseen"] | leaves_ratio(parent), F.lit(False)).alias("unseen"),
             )
             return F.struct(
                 F.when(event["opens"], F.concat(base, F.array(opened)))
@@ -266,7 +286,7 @@ def elements(body: Column) -> Column:
         return let(cut_for(stack, event), after)
 
     start = F.struct(
-        F.expr("array()").cast("array<struct<tag:string,first:int,removed:boolean>>").alias("stack"),
+        F.expr("array()").cast(f"array<{OPEN_ELEMENT}>").alias("stack"),
         F.expr("array()").cast(f"array<{ELEMENT}>").alias("done"),
     )
 
@@ -300,20 +320,9 @@ def removed_ranges(els: Column) -> Column:
     return F.filter(els, lambda e: e["removed"])
 
 
-def inside(position: Column, ranges: Column) -> Column:
-    """Whether the position lies within one of the elements, its own tag left out."""
-    return F.exists(ranges, lambda r: (position > r["first"]) & (position < r["last"]))
-
-
 def kept_elements(els: Column, tags: tuple[str, ...]) -> Column:
     """Elements with one of ``tags`` that are neither removed nor inside a removed one."""
-    return let(
-        removed_ranges(els),
-        lambda gone: F.filter(
-            els,
-            lambda e: e["tag"].isin(*tags) & ~e["removed"] & ~inside(e["first"], gone),
-        ),
-    )
+    return F.filter(els, lambda e: e["tag"].isin(*tags) & ~e["removed"])
 
 
 def first_article(els: Column) -> Column:
@@ -332,33 +341,39 @@ def text_pieces(toks: Column, els: Column, first: Column, last: Column) -> Colum
     runs together; any other tag separates.
     """
 
-    def render(gone: Column) -> Column:
-        def show(token: Column, i: Column) -> Column:
-            dropped = (token["kind"] == COMMENT) | covered(first + 1 + i, gone)
-            return (
-                F.when(dropped, "").when(token["kind"] == TEXT, token["text"]).otherwise(BREAK)
-            )
-
-        return F.array_join(F.transform(between(toks, first, last), show), "")
+    def show(token: Column) -> Column:
+        return (
+            F.when(token["kind"] == COMMENT, "")
+            .when(token["kind"] == TEXT, token["text"])
+            .otherwise(BREAK)
+        )
 
     near = F.filter(els, lambda e: e["removed"] & overlaps(e, first, last))
-    joined = let(near, render)
+    joined = F.array_join(F.transform(between(toks, first, last, near), show), "")
     pieces = F.filter(F.split(joined, BREAK), lambda t: t != "")
     return F.transform(pieces, decode_entities)
 
 
-def between(toks: Column, first: Column, last: Column) -> Column:
-    """The tokens after position ``first`` and before position ``last``."""
-    return F.slice(toks, first + 2, F.greatest(last - first - 1, F.lit(0)))
-
-
 def overlaps(e: Column, first: Column, last: Column) -> Column:
     return (e["until"] > first) & (e["first"] < last)
 
 
-def covered(position: Column, ranges: Column) -> Column:
-    """Whether the token is part of one of the elements, their tags included."""
-    return F.exists(ranges, lambda r: (position >= r["first"]) & (position < r["until"]))
+def between(toks: Column, first: Column, last: Column, left_out: Column) -> Column:
+    """The tokens after ``first`` and before ``last`` outside the elements ``left_out``.
+
+    Those do not overlap and come in order, so what remains are the gaps between them.
+    """
+
+    def gaps(ranges: Column) -> Column:
+        starts = F.concat(F.array(first + 1), F.transform(ranges, lambda r: r["until"]))
+        ends = F.concat(F.transform(ranges, lambda r: r["first"]), F.array(last))
+        return F.flatten(
+            F.zip_with(
+                starts, ends, lambda s, e: F.slice(toks, s + 1, F.greatest(e - s, F.lit(0)))
+            )
+        )
+
+    return let(left_out, gaps)
 
 
 def join_text(pieces: Column) -> Column:
@@ -387,22 +402,12 @@ def readable_text(pieces: Column) -> Column:
 def ratio_source(toks: Column, els: Column, first: Column, last: Column) -> Column:
     """The markup between two positions as the text ratio sees it."""
 
-    def render(skipped: Column) -> Column:
-        def show(token: Column, i: Column) -> Column:
-            dropped = (
-                token["kind"].isin(COMMENT, RAW)
-                | token["tag"].isin(*RATIO_UNSEEN_TAGS)
-                | covered(first + 1 + i, skipped)
-            )
-            return F.when(dropped, "").otherwise(token["text"])
-
-        return F.array_join(F.transform(between(toks, first, last), show), "")
+    def show(token: Column) -> Column:
+        dropped = token["kind"].isin(COMMENT, RAW) | token["tag"].isin(*RATIO_UNSEEN_TAGS)
+        return F.when(dropped, "").otherwise(token["text"])
 
-    skipped = F.filter(
-        els,
-        lambda e: (e["removed"] | e["tag"].isin(*RATIO_SKIPPED_TAGS)) & overlaps(e, first, last),
-    )
-    return let(skipped, render)
+    near = F.filter(els, lambda e: e["skipped"] & overlaps(e, first, last))
+    return F.array_join(F.transform(between(toks, first, last, near), show), "")
 
 
 def text_ratio(markup: Column) -> Column:
@@ -460,16 +465,21 @@ def dense_blocks(toks: Column, els: Column, repeat_nested: bool = False) -> Colu
         chosen = F.filter(text_blocks(toks, els), lambda b: b["ratio"] >= limit)
         if repeat_nested:
             return chosen
-        return let(
-            chosen,
-            lambda bs: F.filter(
-                bs,
-                lambda b: ~F.exists(
-                    bs, lambda o: (o["first"] < b["first"]) & (o["last"] >= b["last"])
-                ),
-            ),
+        none = F.struct(
+            F.lit(0).alias("until"),
+            F.expr("array()").cast("array<struct<first:int,last:int,tag:string,ratio:double>>").alias("outer"),
         )
 
+        def outermost(acc: Column, block: Column) -> Column:
+            return F.when(block["first"] < acc["until"], acc).otherwise(
+                F.struct(
+                    block["last"].alias("until"),
+                    F.concat(acc["outer"], F.array(block)).alias("outer"),
+                )
+            )
+
+        return F.aggregate(chosen, none, outermost, lambda acc: acc["outer"])
+
     return let(body_ratio(toks, els), choose)
 
 

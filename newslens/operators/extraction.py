@@ -48,7 +48,7 @@ def _elements_column() -> Column:
 
 
 def element_spans(pages: DataFrame) -> DataFrame:
-    """One row per tracked element: (page_id, tag, first, last, until, removed)."""
+    """One row per tracked element: (page_id, tag, first, last, until, ...)."""
     return pages.select("page_id", F.inline(_column(pages, _elements_column)))
 
 
@@ -69,8 +69,10 @@ def _removed_column() -> Column:
     def count(gone: Column, toks: Column) -> Column:
         return F.struct(
             F.size(gone).alias("removed"),
-            F.size(F.filter(gone, lambda e: H.inside(e["first"], gone))).alias("nested"),
             F.size(F.filter(gone, lambda e: H.is_hidden(F.get(toks, e["first"])))).alias("hidden"),
+            F.aggregate(
+                gone, F.lit(0), lambda n, e: n + e["until"] - e["first"]
+            ).alias("tokens"),
         )
 
     return _with_body(
@@ -79,9 +81,10 @@ def _removed_column() -> Column:
 
 
 def removed_counts(pages: DataFrame) -> DataFrame:
-    """Removed elements per page, how many of them are nested and how many hidden."""
+    """Outermost removed elements per page, how many of them are hidden, and the tokens
+    that go with them."""
     counts = pages.select("page_id", _column(pages, _removed_column).alias("c"))
-    names = ("removed", "nested", "hidden")
+    names = ("removed", "hidden", "tokens")
     return counts.select(
         "page_id", *[F.coalesce(f"c.{name}", F.lit(0)).alias(name) for name in names]
     )

@@ -461,13 +461,17 @@ SQL: dict[str, str] = {
            FROM pages p LEFT JOIN marked m ON m.page_id = p.page_id GROUP BY p.page_id""",
     ),
     "page_hidden_removed": with_(
-        BODY,
+        BODY
+        + """,
+outer_gone AS (
+  SELECT * FROM gone g WHERE NOT EXISTS (SELECT 1 FROM gone o WHERE o.page_id = g.page_id
+                                         AND g.first > o.first AND g.first < o.last)
+)""",
         """SELECT p.page_id, CAST(count(g.first) AS INTEGER) AS removed,
-             CAST(count(CASE WHEN EXISTS (SELECT 1 FROM gone o WHERE o.page_id = g.page_id
-                    AND g.first > o.first AND g.first < o.last) THEN 1 END) AS INTEGER) AS nested,
              CAST(count(CASE WHEN regexp_matches(g.token, '(?i:style)\\s*=.*display:\\s?none') THEN 1 END)
-                  AS INTEGER) AS hidden
-           FROM pages p LEFT JOIN gone g ON g.page_id = p.page_id GROUP BY p.page_id""",
+                  AS INTEGER) AS hidden,
+             CAST(coalesce(sum(g.last - g.first + 1), 0) AS INTEGER) AS tokens
+           FROM pages p LEFT JOIN outer_gone g ON g.page_id = p.page_id GROUP BY p.page_id""",
     ),
     "page_tag_events": with_(TOKENS, "SELECT page_id, pos, kind, tag, token FROM tag_events"),
     "page_text_blocks": with_(

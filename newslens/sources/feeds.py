@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 from newslens.schemas import API_RESPONSE, FEED_TOPICS, RSS_ITEM
 
-# Fixed value: links to video pages hold no article.
+# Links to video pages hold no article, and the feed that has such links.
 VIDEO_PATH = "/videos"
+VIDEO_SOURCE = "BBC"
 
 
 def read_rss(spark: SparkSession, path: str, source: str) -> DataFrame:
@@ -39,8 +40,10 @@ def api_results(responses: DataFrame, response: Column, source: str) -> DataFram
     )
 
 
-def without_videos(feed: DataFrame) -> DataFrame:
-    return feed.where(~F.col("url").contains(VIDEO_PATH))
+def without_videos(feed: DataFrame, source: str | None = None) -> DataFrame:
+    """The feed without video links; with ``source``, other sources keep theirs."""
+    video = F.col("url").contains(VIDEO_PATH)
+    return feed.where(~(video & (F.col("source") == source) if source else video))
 
 
 def topic_of(source: Column) -> Column:
