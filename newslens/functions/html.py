@@ -8,6 +8,7 @@ shuffled, so a table of any size is extracted in the scan stage.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from html.entities import name2codepoint
 
 from pyspark.sql import Column
@@ -24,8 +25,14 @@ END_MARKER = "End of Article"
 TITLE_JUNK = rf"(?U)<[\s\S]*?>|[\t\r\f\x0B]|^[{BLANK}]+|[{BLANK}]+$"
 RATIO_SKIPPED_TAGS = ("a", "noscript")
 RATIO_UNSEEN_TAGS = ("img", "body", "html")
-RATIO_ATTRIBUTES = r"\s*[^=\s+]+\s*=\s*([^=>]+)?(?=(\s+|>))"
-RATIO_TAGS_AND_BLANKS = r"</?\w+[^>]*>|\s"
+RATIO_TAGS_AND_BLANKS = r"</?\w++[^>]*+>|\s"
+
+# What counts as an attribute for the text ratio: a name, "=", and all up to the last blank
+# before the next "=", or up to ">". A match can only start where a name or the blanks
+# before it start; saying so keeps the search linear in long texts without blanks.
+RATIO_ATTRIBUTES = (
+    r"(?:\G|(?<!\s))\s*+(?:\G|(?<![^=\s+]))[^=\s+]++\s*+=\s*([^=>]+)?(?=(\s+|>))"
+)
 
 # Fixed values of HTML: elements without content, and end tags that may be left out. An
 # opening tag on the left closes an open element of the second column, but looks no
@@ -334,12 +341,9 @@ def first_article(els: Column) -> Column:
     return F.array_min(spans)
 
 
-def text_pieces(toks: Column, els: Column, first: Column, last: Column) -> Column:
-    """Kept text between two positions, one entry per run of text, entities decoded.
-
-    Comments and removed elements vanish without a trace, so text on their two sides
-    runs together; any other tag separates.
-    """
+def shown_texts(toks: Column, els: Column) -> Column:
+    """What each token shows: its text, a break for a tag, '' for a comment and for
+    everything removed. Text on both sides of the latter runs together."""
 
     def show(token: Column) -> Column:
         return (
@@ -348,32 +352,46 @@ def text_pieces(toks: Column, els: Column, first: Column, last: Column) -> Colum
             .otherwise(BREAK)
         )
 
-    near = F.filter(els, lambda e: e["removed"] & overlaps(e, first, last))
-    joined = F.array_join(F.transform(between(toks, first, last, near), show), "")
-    pieces = F.filter(F.split(joined, BREAK), lambda t: t != "")
-    return F.transform(pieces, decode_entities)
+    return blank_out(toks, removed_ranges(els), show)
 
 
-def overlaps(e: Column, first: Column, last: Column) -> Column:
-    return (e["until"] > first) & (e["first"] < last)
+def blank_out(toks: Column, left_out: Column, show: Callable[[Column], Column]) -> Column:
+    """``show`` of every token, '' for those of the elements ``left_out``.
 
+    Those do not overlap and come in order, so the tokens are taken gap by gap and each
+    is looked at once.
+    """
+    nothing = F.expr("array()").cast("array<string>")
+
+    def fill(ranges: Column) -> Column:
+        starts = F.concat(F.array(F.lit(0)), F.transform(ranges, lambda r: r["until"]))
+        ends = F.concat(F.transform(ranges, lambda r: r["first"]), F.array(F.size(toks)))
+        gaps = F.zip_with(
+            starts,
+            ends,
+            lambda s, e: F.when(
+                e > s, F.transform(F.sequence(s, e - 1), lambda i: show(F.get(toks, i)))
+            ).otherwise(nothing),
+        )
+        holes = F.concat(
+            F.transform(ranges, lambda r: F.array_repeat(F.lit(""), r["until"] - r["first"])),
+            F.array(nothing),
+        )
+        return F.flatten(F.flatten(F.zip_with(gaps, holes, lambda gap, hole: F.array(gap, hole))))
 
-def between(toks: Column, first: Column, last: Column, left_out: Column) -> Column:
-    """The tokens after ``first`` and before ``last`` outside the elements ``left_out``.
+    return let(left_out, fill)
 
-    Those do not overlap and come in order, so what remains are the gaps between them.
-    """
 
-    def gaps(ranges: Column) -> Column:
-        starts = F.concat(F.array(first + 1), F.transform(ranges, lambda r: r["until"]))
-        ends = F.concat(F.transform(ranges, lambda r: r["first"]), F.array(last))
-        return F.flatten(
-            F.zip_with(
-                starts, ends, lambda s, e: F.slice(toks, s + 1, F.greatest(e - s, F.lit(0)))
-            )
-        )
+def glued(shown: Column, first: Column, last: Column) -> Column:
+    """The shown tokens after position ``first`` and before position ``last``."""
+    inner = F.transform(F.sequence(first + 1, last - 1), lambda i: F.get(shown, i))
+    return F.when(last > first + 1, F.array_join(inner, "")).otherwise("")
 
-    return let(left_out, gaps)
+
+def text_pieces(shown: Column, first: Column, last: Column) -> Column:
+    """Text between two positions, one entry per run of text, entities decoded."""
+    pieces = F.filter(F.split(glued(shown, first, last), BREAK), lambda t: t != "")
+    return F.transform(pieces, decode_entities)
 
 
 def join_text(pieces: Column) -> Column:
@@ -399,15 +417,14 @@ def readable_text(pieces: Column) -> Column:
     )
 
 
-def ratio_source(toks: Column, els: Column, first: Column, last: Column) -> Column:
-    """The markup between two positions as the text ratio sees it."""
+def shown_markup(toks: Column, els: Column) -> Column:
+    """The markup of each token as the text ratio sees it, '' for what it leaves out."""
 
     def show(token: Column) -> Column:
         dropped = token["kind"].isin(COMMENT, RAW) | token["tag"].isin(*RATIO_UNSEEN_TAGS)
         return F.when(dropped, "").otherwise(token["text"])
 
-    near = F.filter(els, lambda e: e["skipped"] & overlaps(e, first, last))
-    return F.array_join(F.transform(between(toks, first, last, near), show), "")
+    return blank_out(toks, F.filter(els, lambda e: e["skipped"]), show)
 
 
 def text_ratio(markup: Column) -> Column:
@@ -419,10 +436,11 @@ def text_ratio(markup: Column) -> Column:
             F.length(bare) > 0, F.length(text).cast("double") / F.length(bare)
         ).otherwise(F.lit(0.0))
 
-    return let(F.regexp_replace(markup, RATIO_ATTRIBUTES, ""), share)
+    bare = F.when(markup.contains("="), F.regexp_replace(markup, RATIO_ATTRIBUTES, ""))
+    return let(bare.otherwise(markup), share)
 
 
-def text_blocks(toks: Column, els: Column) -> Column:
+def text_blocks(markup: Column, els: Column) -> Column:
     """Every kept p and div with its text ratio, in page order.
 
     ``array<struct<first, last, tag, ratio>>``; the ratio counts the block's own pair of
@@ -430,31 +448,28 @@ def text_blocks(toks: Column, els: Column) -> Column:
     """
 
     def measure(e: Column) -> Column:
-        markup = F.concat(
-            F.lit("<"), e["tag"], F.lit(">"),
-            ratio_source(toks, els, e["first"], e["last"]),
-            F.lit("</"), e["tag"], F.lit(">"),
+        tag = e["tag"]
+        own = F.concat(
+            F.lit("<"), tag, F.lit(">"), glued(markup, e["first"], e["last"]),
+            F.lit("</"), tag, F.lit(">"),
         )
         return F.struct(
             e["first"].alias("first"),
             e["last"].alias("last"),
-            e["tag"].alias("tag"),
-            text_ratio(markup).alias("ratio"),
+            tag.alias("tag"),
+            text_ratio(own).alias("ratio"),
         )
 
     return F.array_sort(F.transform(kept_elements(els, BLOCKS), measure))
 
 
-def body_ratio(toks: Column, els: Column) -> Column:
-    markup = F.concat(
-        F.lit("<body>"),
-        ratio_source(toks, els, F.lit(-1), F.size(toks)),
-        F.lit("</body>"),
+def body_ratio(markup: Column) -> Column:
+    return text_ratio(
+        F.concat(F.lit("<body>"), F.array_join(markup, ""), F.lit("</body>"))
     )
-    return text_ratio(markup)
 
 
-def dense_blocks(toks: Column, els: Column, repeat_nested: bool = False) -> Column:
+def dense_blocks(markup: Column, els: Column, repeat_nested: bool = False) -> Column:
     """Blocks whose text ratio reaches that of the whole body.
 
     A block inside another chosen block is already part of it and is left out, unless
@@ -462,7 +477,7 @@ def dense_blocks(toks: Column, els: Column, repeat_nested: bool = False) -> Colu
     """
 
     def choose(limit: Column) -> Column:
-        chosen = F.filter(text_blocks(toks, els), lambda b: b["ratio"] >= limit)
+        chosen = F.filter(text_blocks(markup, els), lambda b: b["ratio"] >= limit)
         if repeat_nested:
             return chosen
         none = F.struct(
@@ -480,7 +495,7 @@ def dense_blocks(toks: Column, els: Column, repeat_nested: bool = False) -> Colu
 
         return F.aggregate(chosen, none, outermost, lambda acc: acc["outer"])
 
-    return let(body_ratio(toks, els), choose)
+    return let(body_ratio(markup), choose)
 
 
 def article_spans(toks: Column, els: Column, article: Column, repeat_nested: bool = False) -> Column:
@@ -498,24 +513,25 @@ def article_spans(toks: Column, els: Column, article: Column, repeat_nested: boo
         ).otherwise(F.array(span(F.lit(-1), F.size(toks))))
 
     return F.when(article.isNotNull(), F.array(article)).otherwise(
-        let(dense_blocks(toks, els, repeat_nested), fallback)
+        let(
+            shown_markup(toks, els),
+            lambda markup: let(dense_blocks(markup, els, repeat_nested), fallback),
+        )
     )
 
 
-def pieces_of(toks: Column, els: Column, spans: Column) -> Column:
-    return F.flatten(
-        F.transform(spans, lambda s: text_pieces(toks, els, s["first"], s["last"]))
-    )
+def pieces_of(shown: Column, spans: Column) -> Column:
+    return F.flatten(F.transform(spans, lambda s: text_pieces(shown, s["first"], s["last"])))
 
 
-def heading_before(toks: Column, els: Column, position: Column) -> Column:
+def heading_before(shown: Column, els: Column, position: Column) -> Column:
     """Text of the last heading that starts before ``position`` and has any text."""
     headings = F.filter(kept_elements(els, HEADINGS), lambda e: e["first"] < position)
     texts = F.transform(
         headings,
         lambda e: F.struct(
             e["first"].alias("first"),
-            F.array_join(text_pieces(toks, els, e["first"], e["last"]), "").alias("text"),
+            F.array_join(text_pieces(shown, e["first"], e["last"]), "").alias("text"),
         ),
     )
     return F.array_max(F.filter(texts, lambda t: t["text"] != ""))["text"]

@@ -18,7 +18,7 @@ STOP_WORDS = (
 # Blanks are what Python's str.split() and str.strip() take for blank: the
 # Unicode white space that (?U) lets \s match, and four separators of ASCII.
 BLANK = r"\s\x1C-\x1F"
-OUTER_BLANKS = f"(?U)^[{BLANK}]+|[{BLANK}]+$"
+OUTER_BLANKS = f"(?U)^[{BLANK}]++|(?<![{BLANK}])[{BLANK}]++$"
 BLANK_SEPARATED = f"(?U)[^{BLANK}]+"
 
 

@@ -43,6 +43,13 @@ def _with_body(page: Column, use: Callable[[Column, Column], Column]) -> Column:
     return let(body, lambda toks: let(H.elements(toks), lambda els: use(toks, els)))
 
 
+def _with_text(page: Column, use: Callable[[Column, Column, Column], Column]) -> Column:
+    """``use(tokens, elements, shown texts)`` of the body, each computed once."""
+    return _with_body(
+        page, lambda toks, els: let(H.shown_texts(toks, els), lambda shown: use(toks, els, shown))
+    )
+
+
 def _elements_column() -> Column:
     return let(let(_page(), H.body_tokens), H.elements)
 
@@ -53,9 +60,9 @@ def element_spans(pages: DataFrame) -> DataFrame:
 
 
 def _clean_text_column() -> Column:
-    return _with_body(
+    return _with_text(
         _page(),
-        lambda toks, els: H.join_text(H.text_pieces(toks, els, F.lit(-1), F.size(toks))),
+        lambda toks, els, shown: H.join_text(H.text_pieces(shown, F.lit(-1), F.size(toks))),
     )
 
 
@@ -94,7 +101,7 @@ def _article_column(repeat_nested: bool) -> Column:
     """``struct(title, content)`` of a page, null without a body."""
 
     def extract(page: Column) -> Column:
-        def from_body(toks: Column, els: Column) -> Column:
+        def from_body(toks: Column, els: Column, shown: Column) -> Column:
             def read(article: Column) -> Column:
                 spans = H.article_spans(toks, els, article, repeat_nested)
 
@@ -102,17 +109,17 @@ def _article_column(repeat_nested: bool) -> Column:
                     # A heading counts only where the article still stands in its page:
                     # a rebuilt text has nothing before it.
                     in_place = article.isNotNull() & H.marker_at(pieces).isNull()
-                    heading = F.when(in_place, H.heading_before(toks, els, article["first"]))
+                    heading = F.when(in_place, H.heading_before(shown, els, article["first"]))
                     return F.struct(
                         H.clean_title(F.coalesce(heading, H.page_title(page))).alias("title"),
                         H.readable_text(pieces).alias("content"),
                     )
 
-                return let(H.pieces_of(toks, els, spans), finish)
+                return let(H.pieces_of(shown, spans), finish)
 
             return F.when(H.has_content(toks), let(H.first_article(els), read))
 
-        return _with_body(page, from_body)
+        return _with_text(page, from_body)
 
     return let(_page(), extract)
 
@@ -142,22 +149,27 @@ def titles(pages: DataFrame) -> DataFrame:
 
 
 def _blocks_column() -> Column:
-    def rows(toks: Column, els: Column) -> Column:
-        return let(
-            H.body_ratio(toks, els),
-            lambda limit: F.transform(
-                H.text_blocks(toks, els),
-                lambda b, i: F.struct(
-                    (i + 1).alias("block"),
-                    b["tag"].alias("tag"),
-                    F.round(b["ratio"], 6).alias("ratio"),
-                    (b["ratio"] >= limit).alias("dense"),
-                    H.join_text(H.text_pieces(toks, els, b["first"], b["last"])).alias("text"),
+    def rows(toks: Column, els: Column, shown: Column) -> Column:
+        def measured(markup: Column) -> Column:
+            return let(
+                H.body_ratio(markup),
+                lambda limit: F.transform(
+                    H.text_blocks(markup, els), lambda b, i: row(b, i, limit, shown)
                 ),
-            ),
+            )
+
+        return let(H.shown_markup(toks, els), measured)
+
+    def row(block: Column, i: Column, limit: Column, shown: Column) -> Column:
+        return F.struct(
+            (i + 1).alias("block"),
+            block["tag"].alias("tag"),
+            F.round(block["ratio"], 6).alias("ratio"),
+            (block["ratio"] >= limit).alias("dense"),
+            H.join_text(H.text_pieces(shown, block["first"], block["last"])).alias("text"),
         )
 
-    return _with_body(_page(), rows)
+    return _with_text(_page(), rows)
 
 
 def text_blocks(pages: DataFrame) -> DataFrame:
@@ -166,10 +178,10 @@ def text_blocks(pages: DataFrame) -> DataFrame:
 
 
 def _marker_column() -> Column:
-    def count(toks: Column, els: Column) -> Column:
+    def count(toks: Column, els: Column, shown: Column) -> Column:
         def of(article: Column) -> Column:
             return let(
-                H.text_pieces(toks, els, article["first"], article["last"]),
+                H.text_pieces(shown, article["first"], article["last"]),
                 lambda pieces: F.struct(
                     F.size(pieces).alias("pieces"),
                     F.coalesce(H.marker_at(pieces), F.size(pieces)).alias("kept"),
@@ -178,7 +190,7 @@ def _marker_column() -> Column:
 
         return let(H.first_article(els), lambda a: F.when(a.isNotNull(), of(a)))
 
-    return _with_body(_page(), count)
+    return _with_text(_page(), count)
 
 
 def end_markers(pages: DataFrame) -> DataFrame:

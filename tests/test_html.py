@@ -1,5 +1,8 @@
 """Extraction over hand-written pages; expected texts follow how a browser nests tags."""
 
+import re
+import time
+
 from hypothesis import HealthCheck, Phase, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -233,6 +236,34 @@ def test_removed_text_goes_and_the_rest_stays(spark, cases):
         assert content.startswith("START") and content.endswith("END"), (before, inner, content)
 
 
+ATTRIBUTES = re.compile(r"\s*[^=\s+]+\s*=\s*([^=>]+)?(?=(\s+|>))")
+
+
+@settings(max_examples=3, deadline=None, phases=[Phase.generate], suppress_health_check=list(HealthCheck))
+@given(st.lists(st.text(alphabet="ab=+ \n><\"", max_size=30), min_size=300, max_size=300))
+def test_attributes_of_the_ratio(spark, markups):
+    """The linear pattern finds what the plain one finds."""
+    rows = spark.createDataFrame(list(enumerate(markups)), "i int, t string").orderBy("i")
+    got = rows.select(F.regexp_replace("t", H.RATIO_ATTRIBUTES, "")).collect()
+    assert [r[0] for r in got] == [ATTRIBUTES.sub("", m) for m in markups]
+
+
+def test_large_pages_take_linear_time(spark):
+    n = 3000
+    pages = [
+        "<body>" + "".join(f'<div><a href="/{i}">link</a> text {i:05d}</div>' for i in range(n)),
+        "<body><article>" + "".join(f'<p>p{i}</p><div class="ad">x</div>' for i in range(n)),
+        "<body>" + "<div>x" * 300 + "y" * 100_000 + "=",
+        "<body><article>a" + " " * 100_000 + "b</article>",
+    ]
+    begin = time.monotonic()
+    found = extract(spark, *pages)
+    assert time.monotonic() - begin < 60
+    assert found[1][1].split() == [f"p{i}" for i in range(n)]
+    assert found[0][1].count("text") == n
+    assert found[2][1].endswith("y=") and len(found[3][1]) == 100_002
+
+
 def test_tokens_lose_nothing(spark):
     pages = [page for page, _ in CASES.values() if page]
     rows = spark.createDataFrame([(p,) for p in pages], "html string")
