@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -62,10 +64,11 @@ def preview(content: Column, chars: int = PREVIEW_CHARS) -> Column:
     return F.substring(content, 1, chars)
 
 
-def let(value: Column, body) -> Column:
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` computed once per row.
 
     A column that is used inside another column's lambda would otherwise be inlined
-    there and computed again for every array element.
+    there and computed again for every array element. This is a fold over nothing, whose
+    start value goes straight to the finish; unlike a transform, it copies nothing.
     """
-    return F.transform(F.array(value), body)[0]
+    return F.aggregate(F.array(), value, lambda acc, _: acc, body)
