@@ -65,7 +65,8 @@ IMPLIED_END = {
 
 HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")
 BLOCKS = ("p", "div")
-TRACKED = ("article", *BLOCKS, *HEADINGS)
+SPINE = ("article", *HEADINGS)
+TRACKED = (*SPINE, *BLOCKS, *RATIO_SKIPPED_TAGS)
 
 # A token: comment, raw-text element, declaration, tag (quotes respected where they
 # balance), tag cut off by the end of the page, text, or a lone "<".
@@ -171,8 +172,8 @@ ELEMENT = "struct<tag:string,first:int,last:int,until:int,removed:boolean,skippe
 OPEN_ELEMENT = "struct<tag:string,first:int,removed:boolean,gone:boolean,unseen:boolean>"
 
 
-def elements(body: Column) -> Column:
-    """Tracked elements of the page as an array of ``ELEMENT``.
+def elements(body: Column, tracked: tuple[str, ...] = TRACKED) -> Column:
+    """Removed elements and those with a tracked tag, as an array of ``ELEMENT``.
 
     ``first`` is the position of the opening tag and ``last`` that of the tag that ends
     the element, its own end tag or one that implies it, or the token count when the page
@@ -247,8 +248,10 @@ def elements(body: Column) -> Column:
             lambda e: ~e["gone"]
             & (
                 e["removed"]
-                | e["tag"].isin(*TRACKED)
-                | (e["tag"].isin(*RATIO_SKIPPED_TAGS) & ~e["unseen"])
+                | (
+                    e["tag"].isin(*tracked)
+                    & ~(e["tag"].isin(*RATIO_SKIPPED_TAGS) & e["unseen"])
+                )
             ),
         )
         return F.transform(
@@ -498,7 +501,7 @@ def dense_blocks(markup: Column, els: Column, repeat_nested: bool = False) -> Co
     return let(body_ratio(markup), choose)
 
 
-def article_spans(toks: Column, els: Column, article: Column, repeat_nested: bool = False) -> Column:
+def article_spans(toks: Column, article: Column, repeat_nested: bool = False) -> Column:
     """Where the article text stands: ``array<struct<first, last>>``.
 
     The article element; without one the dense blocks; without those the whole body.
@@ -512,12 +515,14 @@ def article_spans(toks: Column, els: Column, article: Column, repeat_nested: boo
             F.size(blocks) > 0, F.transform(blocks, lambda b: span(b["first"], b["last"]))
         ).otherwise(F.array(span(F.lit(-1), F.size(toks))))
 
-    return F.when(article.isNotNull(), F.array(article)).otherwise(
-        let(
-            shown_markup(toks, els),
-            lambda markup: let(dense_blocks(markup, els, repeat_nested), fallback),
+    def search(blocks: Column) -> Column:
+        dense = let(
+            shown_markup(toks, blocks), lambda markup: dense_blocks(markup, blocks, repeat_nested)
         )
-    )
+        return let(dense, fallback)
+
+    # Blocks and links are listed only here: a page with an article may hold very many.
+    return F.when(article.isNotNull(), F.array(article)).otherwise(let(elements(toks), search))
 
 
 def pieces_of(shown: Column, spans: Column) -> Column:

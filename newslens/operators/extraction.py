@@ -37,21 +37,31 @@ def _page() -> Column:
     return H.tokens(F.col("html"))
 
 
-def _with_body(page: Column, use: Callable[[Column, Column], Column]) -> Column:
+def _with_body(
+    page: Column, use: Callable[[Column, Column], Column], tracked: tuple[str, ...] = H.SPINE
+) -> Column:
     """``use(tokens, elements)`` of the body, each computed once."""
     body = let(page, H.body_tokens)
-    return let(body, lambda toks: let(H.elements(toks), lambda els: use(toks, els)))
+    return let(
+        body, lambda toks: let(H.elements(toks, tracked), lambda els: use(toks, els))
+    )
 
 
-def _with_text(page: Column, use: Callable[[Column, Column, Column], Column]) -> Column:
+def _with_text(
+    page: Column,
+    use: Callable[[Column, Column, Column], Column],
+    tracked: tuple[str, ...] = H.SPINE,
+) -> Column:
     """``use(tokens, elements, shown texts)`` of the body, each computed once."""
-    return _with_body(
-        page, lambda toks, els: let(H.shown_texts(toks, els), lambda shown: use(toks, els, shown))
-    )
+
+    def shown(toks: Column, els: Column) -> Column:
+        return let(H.shown_texts(toks, els), lambda texts: use(toks, els, texts))
+
+    return _with_body(page, shown, tracked)
 
 
 def _elements_column() -> Column:
-    return let(let(_page(), H.body_tokens), H.elements)
+    return _with_body(_page(), lambda toks, els: els, H.TRACKED)
 
 
 def element_spans(pages: DataFrame) -> DataFrame:
@@ -103,7 +113,7 @@ def _article_column(repeat_nested: bool) -> Column:
     def extract(page: Column) -> Column:
         def from_body(toks: Column, els: Column, shown: Column) -> Column:
             def read(article: Column) -> Column:
-                spans = H.article_spans(toks, els, article, repeat_nested)
+                spans = H.article_spans(toks, article, repeat_nested)
 
                 def finish(pieces: Column) -> Column:
                     # A heading counts only where the article still stands in its page:
@@ -169,7 +179,7 @@ def _blocks_column() -> Column:
             H.join_text(H.text_pieces(shown, block["first"], block["last"])).alias("text"),
         )
 
-    return _with_text(_page(), rows)
+    return _with_text(_page(), rows, H.TRACKED)
 
 
 def text_blocks(pages: DataFrame) -> DataFrame:

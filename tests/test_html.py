@@ -199,6 +199,19 @@ def test_links_and_attributes_do_not_count_for_the_ratio(spark):
     ]
 
 
+def test_element_spans(spark):
+    page = "<body><article><p>a<p>b</p></article><nav><a>c</a></nav><a>d"
+    rows = spark.createDataFrame([(1, page)], "page_id int, html string")
+    found = X.element_spans(rows).orderBy("first").collect()
+    assert [(r["tag"], r["first"], r["last"], r["until"], r["removed"]) for r in found] == [
+        ("article", 0, 6, 7, False),
+        ("p", 1, 3, 3, False),
+        ("p", 3, 5, 6, False),
+        ("nav", 7, 11, 12, True),
+        ("a", 12, 14, 14, False),
+    ]
+
+
 def test_gate(spark):
     rows = spark.createDataFrame(
         [(1, "a", "b"), (2, "", "b"), (3, "a", ""), (4, None, "b"), (5, "a", None)],
