@@ -77,7 +77,7 @@ def main(folder: str, names: list[str]) -> int:
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(folder)
     bad = 0
-    for name in names or sorted(entry.queries()):
+    for name in names or sorted(entry.oracle_sql()):
         begin = time.time()
         try:
             problem = compare(spark, con, name, folder)

@@ -5,6 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from newslens.plans import registry, registry_sql
 from oracle import compare, connect
 
 FOLDER = "/root/testdata/sf0.001"
@@ -18,10 +19,10 @@ def con():
 
 
 def test_every_query_has_its_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(registry.QUERIES) == set(registry_sql.SQL)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_query(spark, con, name):
     assert compare(spark, con, name, FOLDER) == ""
 
