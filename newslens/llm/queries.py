@@ -4,14 +4,27 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from newslens.llm import language, quality, toxicity
+from newslens.llm import bpe, language, packing, quality, token_counts, toxicity
 from newslens.llm.common import fold, table
 
+#: The vocabulary file that the token queries use; it stays where it is installed.
+VOCABULARY = "word_bpe_49k.json"
 #: Documents whose id falls into this one of so many parts are held out.
 TOXIC_FOLDS, TOXIC_HELD_OUT = 4, 2
 FOLDS, HELD_OUT = 5, 0
 
 
+def vocabulary() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(VOCABULARY)
+
+
+def op5_packing(spark, folder):
+    """All documents as pieces of sequences of at most 2,048 tokens."""
+    return packing.pack(table(spark, folder, "documents").select("doc_id", "text"), vocabulary())
+
+
 def op6_toxicity(spark, folder):
     """Toxicity of every document, learned from the rows outside one of four parts."""
     documents = table(spark, folder, "documents").select("doc_id", "text")
@@ -32,6 +45,20 @@ def op7_language(spark, folder):
     )
 
 
+def op8_token_counts(spark, folder):
+    """Tokens of every document, counted between the separators of flat streams of ids."""
+    blocks = token_counts.token_blocks(table(spark, folder, "documents").select("doc_id", "text"), vocabulary())
+    counted = token_counts.separator_scan(blocks, carry=["doc_ids"])
+    return counted.select(
+        F.col("doc_ids")[F.col("place")].alias("doc_id"), "file", "doc_index", "first_token", "n_tokens"
+    )
+
+
+def op9_bpe(spark, folder):
+    """Ids of every document and what they decode to, as digests."""
+    return bpe.digests(table(spark, folder, "documents").select("doc_id", "text"), vocabulary())
+
+
 def op10_quality(spark, folder):
     """Quality of every document, learned from four of five parts."""
     documents = table(spark, folder, "documents").select("doc_id", "text")
@@ -43,8 +70,11 @@ def op10_quality(spark, folder):
 
 
 QUERIES = {
+    "op5_packing": op5_packing,
     "op6_toxicity": op6_toxicity,
     "op7_language": op7_language,
+    "op8_token_counts": op8_token_counts,
+    "op9_bpe": op9_bpe,
     "op10_quality": op10_quality,
 }
 
