@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from newslens.session import shared_folder
+
 #: Characters of text worked on at once inside a task; longer texts are taken alone.
 BATCH_CHARS = 2_000_000
 
@@ -17,6 +19,18 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def materialise(df: DataFrame) -> DataFrame:
+    """Computed once and kept in the folder that all executors share, cut off its lineage.
+
+    Spark removes the files when nothing refers to them any more, if it is told to clean
+    checkpoints.
+    """
+    context = df.sparkSession.sparkContext
+    if not context._jsc.sc().getCheckpointDir().isDefined():
+        context.setCheckpointDir(shared_folder(df.sparkSession))
+    return df.checkpoint()
+
+
 def fold(doc_id: Column, folds: int) -> Column:
     """crc32 of the id as text, modulo ``folds``; a null id counts as the text ``null``."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("null"))) % folds

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from newslens.llm import bpe, language, packing, quality, token_counts, toxicity
+from newslens.llm import bpe, fingerprints, language, packing, quality, sql, token_counts, toxicity
 from newslens.llm.common import fold, table
 
 #: The vocabulary file that the token queries use; it stays where it is installed.
@@ -20,6 +20,11 @@ def vocabulary() -> str:
     return public_tokenizers.path(VOCABULARY)
 
 
+def op1_imatch(spark, folder):
+    """Fingerprints of every document and of its edited text."""
+    return fingerprints.fingerprints(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 def op5_packing(spark, folder):
     """All documents as pieces of sequences of at most 2,048 tokens."""
     return packing.pack(table(spark, folder, "documents").select("doc_id", "text"), vocabulary())
@@ -70,6 +75,7 @@ def op10_quality(spark, folder):
 
 
 QUERIES = {
+    "op1_imatch": op1_imatch,
     "op5_packing": op5_packing,
     "op6_toxicity": op6_toxicity,
     "op7_language": op7_language,
@@ -78,4 +84,4 @@ QUERIES = {
     "op10_quality": op10_quality,
 }
 
-SQL: dict[str, str] = {}
+SQL = dict(sql.SQL)
