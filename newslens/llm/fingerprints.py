@@ -68,19 +68,13 @@ def _digest(value: Column, digits: int) -> Column:
     return F.substring(F.md5(F.encode(value.cast("string"), "utf-8")), 1, digits)
 
 
-def _below(shift: int, limit: int):
-    return lambda x: F.shiftright(x, shift).bitwiseAND(255) < limit
-
-
-def fingerprint(numbers: Column, everything: Column) -> Column:
+def fingerprint(numbers: str, everything: str) -> Column:
     """The fingerprint from sorted term numbers, or from a digest of all terms if there are none."""
-    parts = []
-    for r in range(ROUNDS):
-        kept = numbers
-        for limit in PARTS:
-            kept = F.filter(kept, _below(8 * r, limit))
-            parts.append(F.when(F.size(kept) == 0, F.lit("0" * DIGITS)).otherwise(_digest(kept, DIGITS)))
-    some = F.concat(_digest(numbers, 16), *parts)
+    limits = ", ".join(map(str, PARTS))
+    kept = f"transform(sequence(0, {8 * (ROUNDS - 1)}, 8), s -> named_struct('s', s, 'k', filter({numbers}, x -> (shiftright(x, s) & 255) < {PARTS[0]})))"
+    parts = f"flatten(transform({kept}, q -> transform(array({limits}), b -> filter(q.k, x -> (shiftright(x, q.s) & 255) < b))))"
+    digests = f"transform({parts}, k -> if(size(k) = 0, '{'0' * DIGITS}', substring(md5(cast(k AS string)), 1, {DIGITS})))"
+    some = F.concat(_digest(F.col(numbers), 16), F.expr(f"array_join({digests}, '')"))
     none = F.concat(everything, F.lit("0" * (DIGITS * ROUNDS * len(PARTS))))
     return F.when(F.size(numbers) > 0, some).otherwise(none)
 
@@ -169,9 +163,12 @@ def fingerprints(documents: DataFrame) -> DataFrame:
     each = rows.select("range", "place", "again", "doc_id", "n_chars", "sha", F.explode(variants).alias("v")).select(
         "range", "place", "again", "doc_id", "n_chars", "sha", F.col("v.edit").alias("edit"), terms_of(F.col("v.text")).alias("terms")
     )
-    each = each.where("terms IS NOT NULL").select(
-        "range", "place", "again", "doc_id", "n_chars", "sha", "edit",
-        _digest(F.array_join(F.array_sort("terms"), " "), 16).alias("everything"),
+    # The digest is made below the explosion, once a text and not once a term.
+    each = each.where("terms IS NOT NULL").withColumn(
+        "everything", _digest(F.array_join(F.sort_array("terms"), " "), 16)
+    )
+    each = each.select(
+        "range", "place", "again", "doc_id", "n_chars", "sha", "edit", "everything",
         F.explode(F.array_union("terms", F.array(F.lit("")))).alias("term"),
     )
     kept = each.join(known, "term")
@@ -179,13 +176,13 @@ def fingerprints(documents: DataFrame) -> DataFrame:
     # Rows of a range are together already, so this grouping moves nothing.
     grouped = kept.groupBy("range", "place").agg(
         *[F.first(c).alias(c) for c in ("again", "doc_id", "n_chars", "sha")],
-        *[F.array_sort(F.collect_set(x)).alias(f"numbers{k}") for k, x in enumerate(own)],
+        *[F.sort_array(F.collect_set(x)).alias(f"numbers{k}") for k, x in enumerate(own)],
         *[F.first(F.when(F.col("edit") == k, F.col("everything")), ignorenulls=True).alias(f"all{k}") for k in (0, 1)],
     )
     marked = grouped.select(
         "range", "place", "again", "doc_id", "n_chars", F.col("sha").alias("edited_sha256"),
-        fingerprint(F.col("numbers0"), F.col("all0")).alias("fingerprint"),
-        fingerprint(F.col("numbers1"), F.col("all1")).alias("edited_fingerprint"),
+        fingerprint("numbers0", "all0").alias("fingerprint"),
+        fingerprint("numbers1", "all1").alias("edited_fingerprint"),
     )
     following = F.lead("fingerprint").over(W.partitionBy("range").orderBy("place"))
     return (
