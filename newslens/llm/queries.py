@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from newslens.llm import bpe, fingerprints, language, packing, quality, sql, token_counts, toxicity
+from newslens.llm import bpe, fingerprints, language, ngram_join, packing, quality, sql, token_counts, toxicity
 from newslens.llm.common import fold, table
 
 #: The vocabulary file that the token queries use; it stays where it is installed.
@@ -25,6 +25,11 @@ def op1_imatch(spark, folder):
     return fingerprints.fingerprints(table(spark, folder, "documents").select("doc_id", "text"))
 
 
+def op2_ngram_join(spark, folder):
+    """Near-duplicate class and number of links of every document."""
+    return ngram_join.near_duplicates(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 def op5_packing(spark, folder):
     """All documents as pieces of sequences of at most 2,048 tokens."""
     return packing.pack(table(spark, folder, "documents").select("doc_id", "text"), vocabulary())
@@ -76,6 +81,7 @@ def op10_quality(spark, folder):
 
 QUERIES = {
     "op1_imatch": op1_imatch,
+    "op2_ngram_join": op2_ngram_join,
     "op5_packing": op5_packing,
     "op6_toxicity": op6_toxicity,
     "op7_language": op7_language,
