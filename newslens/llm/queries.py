@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from newslens.llm import bpe, fingerprints, language, ngram_join, packing, quality, sql, suffix_dedup, token_counts, toxicity
+from newslens.llm import ann, bpe, fingerprints, language, ngram_join, packing, quality, sql, suffix_dedup, token_counts, toxicity
 from newslens.llm.common import fold, table
 
 #: The vocabulary file that the token queries use; it stays where it is installed.
@@ -30,6 +30,11 @@ def op2_ngram_join(spark, folder):
     return ngram_join.near_duplicates(table(spark, folder, "documents").select("doc_id", "text"))
 
 
+def op3_ann(spark, folder):
+    """The 20 nearest vectors found of each vector whose id 20 divides."""
+    return ann.search(table(spark, folder, "embeddings").select("vec_id", "embedding"), "embedding")
+
+
 def op4_suffix_dedup(spark, folder):
     """Spans of every document that repeat a passage of another place, and the first of them."""
     return suffix_dedup.repeated_passages(table(spark, folder, "documents").select("doc_id", "text"))
@@ -87,6 +92,7 @@ def op10_quality(spark, folder):
 QUERIES = {
     "op1_imatch": op1_imatch,
     "op2_ngram_join": op2_ngram_join,
+    "op3_ann": op3_ann,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_packing": op5_packing,
     "op6_toxicity": op6_toxicity,
