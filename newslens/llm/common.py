@@ -99,6 +99,19 @@ def strings(batch: pa.RecordBatch, name: str) -> list[str]:
     return ["" if x is None else x for x in batch.column(name).to_pylist()]
 
 
+def keep_rows(documents: DataFrame, keep) -> DataFrame:
+    """The documents for which ``keep(texts)`` is true, with all their columns, in place.
+
+    ``keep`` takes a list of texts and returns as many flags; nothing is moved or joined.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(keep(strings(batch, "text")), pa.bool_()))
+
+    return documents.mapInArrow(run, documents.schema)
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A finishing step that spreads every bit of a 64-bit hash over all others."""
     x = x.astype(np.uint64, copy=True)

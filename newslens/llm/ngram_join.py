@@ -26,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newslens.llm.common import materialise, mix64, slices, strings
@@ -43,7 +43,7 @@ BLOCK_RUNS = 300_000
 #: Runs shared by more nodes of a block pair than this are counted by matrix products.
 FEW = 8
 
-SIGNATURES = "doc_id long, id long, node long, size int, paths array<long>"
+SIGNATURES = "doc_id long, id long, whole long, node long, size int, paths array<long>"
 BLOCKS = "unit long, cluster long, i int, j int, block int, node long, copies long, runs binary"
 LINKS = "cluster long, node long, root long, links long"
 
@@ -88,12 +88,18 @@ def path_keys(least: np.ndarray, trees: int) -> np.ndarray:
     return keys.view(np.int64)
 
 
-def _with_id(documents: DataFrame) -> DataFrame:
-    """(doc_id, id, text): a document without an id gets a negative number from its text."""
+def _keys() -> tuple[Column, Column]:
+    """An id, which a document without one gets as a negative number from its text; the text's hash."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    number = F.col("doc_id").cast("long")
     made = F.shiftright(F.xxhash64(text), 1).bitwiseOR(F.lit(-(1 << 63)))
-    return documents.select(number.alias("doc_id"), F.coalesce(number, made).alias("id"), text.alias("text"))
+    return F.coalesce(F.col("doc_id").cast("long"), made), F.xxhash64(text, F.length(text))
+
+
+def _with_id(documents: DataFrame) -> DataFrame:
+    """(doc_id, id, whole, text)."""
+    number, whole = _keys()
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), number.alias("id"), whole.alias("whole"), text.alias("text"))
 
 
 def _runs_of(texts: list[str]) -> Iterator[np.ndarray]:
@@ -119,11 +125,12 @@ def signatures(documents: DataFrame) -> DataFrame:
                 [
                     batch.column("doc_id"),
                     batch.column("id"),
+                    batch.column("whole"),
                     pa.array(nodes, pa.int64()),
                     pa.array(sizes, pa.int32()),
                     pa.array(paths, pa.list_(pa.int64())),
                 ],
-                ["doc_id", "id", "node", "size", "paths"],
+                ["doc_id", "id", "whole", "node", "size", "paths"],
             )
 
     return _with_id(documents).mapInArrow(run, SIGNATURES)
@@ -252,13 +259,8 @@ def _compare_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     yield batch_of()
 
 
-def near_duplicates(documents: DataFrame) -> DataFrame:
-    """(doc_id, class_id, n_links, n_copies): one row per document.
-
-    ``class_id`` is the least id among the documents connected by likeness of at least
-    ``THRESHOLD``, ``n_links`` the number of other documents that like this one,
-    ``n_copies`` that of documents with the same set, itself included.
-    """
+def classes(documents: DataFrame) -> DataFrame:
+    """(doc_id, id, whole, root, copies, n_links) of every row; equal roots are one class."""
     signed = materialise(signatures(documents))
     nodes = signed.groupBy("node").agg(
         F.count(F.lit(1)).alias("copies"), F.min("id").alias("id"), F.first("size").alias("size"), F.first("paths").alias("paths")
@@ -275,9 +277,32 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     roots = components(wide.select(F.col("node").alias("a"), F.col("root").alias("b")))
     linked = found.groupBy("node").agg(F.sum("links").alias("links"), F.min("root").alias("own"))
     linked = linked.join(roots, "node", "left").select("node", "links", F.coalesce("root", "own").alias("root"))
-    own = signed.select("doc_id", "node").join(nodes.select("node", "copies"), "node").join(linked, "node", "left")
-    own = own.select(
-        "doc_id", F.coalesce("root", "node").alias("root"), "copies", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")
+    own = signed.select("doc_id", "id", "whole", "node").join(nodes.select("node", "copies"), "node").join(linked, "node", "left")
+    return own.select(
+        "doc_id", "id", "whole", F.coalesce("root", "node").alias("root"), "copies",
+        (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
     )
+
+
+def near_duplicates(documents: DataFrame) -> DataFrame:
+    """(doc_id, class_id, n_links, n_copies): one row per document.
+
+    ``class_id`` is the least id among the documents connected by likeness of at least
+    ``THRESHOLD``, ``n_links`` the number of other documents that like this one,
+    ``n_copies`` that of documents with the same set, itself included.
+    """
+    own = materialise(classes(documents))
     least = own.groupBy("root").agg(F.min("doc_id").alias("class_id"))
     return own.join(least, "root").select("doc_id", "class_id", "n_links", F.col("copies").alias("n_copies"))
+
+
+def keep_one(documents: DataFrame) -> DataFrame:
+    """The documents, with one of each class: that with the least id. All columns stay."""
+    row = F.struct("id", "whole")
+    kept = classes(documents).groupBy("root").agg(F.min(row).alias("row")).select(
+        F.col("row.id").alias("kept_id"), F.col("row.whole").alias("kept_whole")
+    )
+    number, whole = _keys()
+    marked = documents.withColumns({"kept_id": number, "kept_whole": whole})
+    one = marked.join(kept, ["kept_id", "kept_whole"], "left_semi").dropDuplicates(["kept_id", "kept_whole"])
+    return one.select(*documents.columns)

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newslens.llm.common import code_points, label_sample, labelled_texts, slices, strings, sums_between
+from newslens.llm.common import code_points, keep_rows, label_sample, labelled_texts, slices, strings, sums_between
 
 #: Labelled rows used for fitting, at most about so many.
 MAX_FIT_ROWS = 20_000
@@ -268,6 +268,13 @@ def fit(documents: DataFrame, labels: DataFrame, keep: Column | None = None) ->
     return fit_rows(np.stack(found["x"].to_numpy()), y)
 
 
+def without_poor(documents: DataFrame, model: Model | None) -> DataFrame:
+    """The documents that score ``THRESHOLD`` or more, with all their columns."""
+    if model is None:
+        return documents
+    return keep_rows(documents, lambda texts: (model.scores(_rows_of(texts)) >= THRESHOLD).tolist())
+
+
 def score(documents: DataFrame, model: Model | None) -> DataFrame:
     """(doc_id, score, predicted): how likely a document is to be good."""
 

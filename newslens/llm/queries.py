@@ -89,6 +89,13 @@ def op10_quality(spark, folder):
     )
 
 
+def pipeline(spark, folder):
+    """All stages of the corpus pipeline over the documents."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, folder)
+
+
 QUERIES = {
     "op1_imatch": op1_imatch,
     "op2_ngram_join": op2_ngram_join,
@@ -100,6 +107,7 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_bpe": op9_bpe,
     "op10_quality": op10_quality,
+    "pipeline": pipeline,
 }
 
 SQL = dict(sql.SQL)

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newslens.llm.common import label_sample, labelled_texts, strings
+from newslens.llm.common import keep_rows, label_sample, labelled_texts, strings
 
 WORD = re.compile(r"\w+")
 #: Lengths of the beginnings that stand in for unknown words, the longest first.
@@ -255,6 +255,18 @@ def fit(documents: DataFrame, labels: DataFrame, keep=None) -> Model | None:
     return Model(words, stems, rate, raw.log_k, slope, intercept)
 
 
+def probability(evidence: float, model: Model) -> float:
+    x = model.slope * min(20.0, max(-20.0, evidence)) + model.intercept
+    return 1 / (1 + math.exp(-max(-30.0, min(30.0, x))))
+
+
+def without_toxic(documents: DataFrame, model: Model | None) -> DataFrame:
+    """The documents that score below ``THRESHOLD``, with all their columns."""
+    if model is None:
+        return documents
+    return keep_rows(documents, lambda texts: [probability(analyse(t, model)[0], model) < THRESHOLD for t in texts])
+
+
 def score(documents: DataFrame, model: Model | None) -> DataFrame:
     """One row per document: score, prediction, evidence and the toxic passages."""
 
@@ -263,8 +275,7 @@ def score(documents: DataFrame, model: Model | None) -> DataFrame:
             scores, evidences, passages = [], [], []
             for text in strings(batch, "text"):
                 evidence, found = (0.0, []) if model is None else analyse(text, model)
-                x = 0.0 if model is None else model.slope * min(20.0, max(-20.0, evidence)) + model.intercept
-                scores.append(0.0 if model is None else 1 / (1 + math.exp(-max(-30.0, min(30.0, x)))))
+                scores.append(0.0 if model is None else probability(evidence, model))
                 evidences.append(evidence)
                 passages.append([dict(zip(("start", "end", "score", "e_value"), p)) for p in found])
             kind = pa.list_(
