@@ -89,9 +89,9 @@ def path_keys(least: np.ndarray, trees: int) -> np.ndarray:
 
 
 def _keys() -> tuple[Column, Column]:
-    """An id, which a document without one gets as a negative number from its text; the text's hash."""
+    """An id, which a document without one gets as a number from 2^62 on from its text; the text's hash."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    made = F.shiftright(F.xxhash64(text), 1).bitwiseOR(F.lit(-(1 << 63)))
+    made = F.shiftrightunsigned(F.xxhash64(text), 2).bitwiseOR(F.lit(1 << 62))
     return F.coalesce(F.col("doc_id").cast("long"), made), F.xxhash64(text, F.length(text))
 
 

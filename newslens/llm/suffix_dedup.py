@@ -13,7 +13,7 @@ others are to be removed. Texts that are equal as a whole are taken once; their
 are spans from end to end.
 
 Defined cases: null and empty texts and texts of fewer words than a passage have no spans;
-a document without an id is reported under a negative number made from its text; under a
+a document without an id is reported under a number from 2^62 on, made from its text; under a
 repeated id each text counts for itself and the spans are of both; a passage that overlaps
 its own repetition is kept once; an empty table gives no rows; extra columns are kept by
 ``remove_repeats`` and ignored by the others.
@@ -47,7 +47,7 @@ ALONE, FIRST, LATER = 0, 1, 2
 def _with_id(documents: DataFrame, *more: str) -> DataFrame:
     """(id, whole, text): ``whole`` is a hash of the text."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    made = F.shiftright(F.xxhash64(text), 1).bitwiseOR(F.lit(-(1 << 63)))
+    made = F.shiftrightunsigned(F.xxhash64(text), 2).bitwiseOR(F.lit(1 << 62))
     number = F.coalesce(F.col("doc_id").cast("long"), made)
     return documents.select(number.alias("id"), F.xxhash64(text, F.length(text)).alias("whole"), text.alias("text"), *more)
 
@@ -192,7 +192,7 @@ def remove_repeats(documents: DataFrame) -> DataFrame:
     cuts = cut.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans_to_cut"))
     cuts = cuts.withColumnRenamed("doc_id", "id_to_cut")
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    made = F.shiftright(F.xxhash64(text), 1).bitwiseOR(F.lit(-(1 << 63)))
+    made = F.shiftrightunsigned(F.xxhash64(text), 2).bitwiseOR(F.lit(1 << 62))
     joined = documents.withColumn("id_to_cut", F.coalesce(F.col("doc_id").cast("long"), made)).join(cuts, "id_to_cut", "left")
     left = F.when(F.col("spans_to_cut").isNull(), F.col("text")).otherwise(without("text", "spans_to_cut"))
     columns = [left.alias("text") if c == "text" else F.col(c) for c in documents.columns]
