@@ -36,10 +36,12 @@ STEMS = (5, 4)
 MAX_FIT_ROWS = 60_000
 #: Tokens of the model, the most significant ones; bounds what is broadcast.
 MAX_TOKENS = 50_000
-#: Total pseudo-count of the prior, in documents of each class.
-PRIOR = 50.0
-#: Least distance from zero, in standard errors, at which a token carries a score.
-SIGNIFICANT = 2.4
+#: Pseudo-count that each class gives a token, as a share of the documents that hold it.
+PRIOR = 1 / 15
+#: Least distance from zero, in standard errors, at which a token carries a score with
+#: ``FEW_ROWS`` labelled rows; it rises with the logarithm of their number, because more
+#: tokens are then looked at.
+SIGNIFICANT, FEW_ROWS, RISE = 2.0, 300, 0.28
 #: Score taken off each word.
 DRIFT = 0.5
 #: Expected chance segments per document below which a passage is reported.
@@ -111,16 +113,14 @@ def significant_tokens(texts: DataFrame, toxic_docs: int, clean_docs: int) -> Da
         .groupBy("token")
         .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     )
-    prior = F.greatest(F.lit(PRIOR) * (F.col("toxic") + F.col("clean")) / (toxic_docs + clean_docs), F.lit(0.01))
-    with_prior = counted.withColumn("prior", prior)
-    toxic, clean = F.col("toxic") + F.col("prior"), F.col("clean") + F.col("prior")
-    odds = F.log(toxic / (toxic_docs + PRIOR - toxic + 0.5)) - F.log(
-        clean / (clean_docs + PRIOR - clean + 0.5)
-    )
-    scored = with_prior.select(
+    toxic, clean = (F.col(c) + PRIOR * (F.col("toxic") + F.col("clean")) for c in ("toxic", "clean"))
+    both = PRIOR * (toxic_docs + clean_docs)
+    odds = F.log(toxic / (toxic_docs + both - toxic + 0.5)) - F.log(clean / (clean_docs + both - clean + 0.5))
+    scored = counted.select(
         "token", "toxic", "clean", odds.alias("log_odds"), F.sqrt(1 / toxic + 1 / clean).alias("error")
     ).withColumn("z", F.abs(F.col("log_odds") / F.col("error")))
-    return scored.where(F.col("z") >= SIGNIFICANT)
+    least = SIGNIFICANT + RISE * max(0.0, math.log((toxic_docs + clean_docs) / FEW_ROWS))
+    return scored.where(F.col("z") >= least)
 
 
 def _rate(scores: np.ndarray, shares: np.ndarray) -> float:
