@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 import argparse
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newslens import schemas as S
 from newslens.functions.sentiment import load_lexicon
-from newslens.functions.times import RUN_WINDOWS
+from newslens.functions.times import RUN_WINDOWS, WINDOW_MINUTES
 from newslens.operators import metrics as M
 from newslens.operators import quality as Q
 from newslens.operators import words as W
@@ -59,6 +60,7 @@ def parse_args(argv: list[str] | None) -> argparse.Namespace:
     sub.add_argument("--start", type=datetime.fromisoformat, help="count one run from this time on")
     sub.add_argument("--windows", type=int, default=RUN_WINDOWS)
     sub.add_argument("--timing", help="table of run times")
+    sub.add_argument("--lateness", default=A.LATENESS, help="how late a message may be")
     job(
         "batch", "all processed articles to metrics",
         articles="table (raw_article_id, source, title, content)",
@@ -94,9 +96,9 @@ def pairs(options: list[str]) -> list[tuple[str, str]]:
     return [tuple(option.split("=", 1)) for option in options]
 
 
-def incoming(spark: SparkSession, args: argparse.Namespace, *topics: str) -> DataFrame:
+def incoming(spark: SparkSession, args: argparse.Namespace, starting: str, *topics: str) -> DataFrame:
     if args.servers:
-        return kafka.stream_kafka(spark, args.servers, topics)
+        return kafka.stream_kafka(spark, args.servers, topics, starting)
     return messages.stream_topics(spark, args.topics, *topics)
 
 
@@ -106,21 +108,29 @@ def trigger(args: argparse.Namespace) -> dict[str, bool] | None:
 
 def run_ingest(spark: SparkSession, args: argparse.Namespace) -> list[DataFrame]:
     lexicon = load_lexicon(read_lexicon(spark, args.lexicon))
-    feed = incoming(spark, args, *S.FEED_TOPICS.values())
+    feed = incoming(spark, args, "earliest", *S.FEED_TOPICS.values())
+    publish = (lambda rows: kafka.write_kafka(rows, args.servers)) if args.servers else None
     start_ingest(
-        feed, spark.read.parquet(args.pages), lexicon, args.out, args.checkpoint, trigger(args),
-        position="position" if args.servers else "timestamp",
+        feed, args.pages, lexicon, args.out, args.checkpoint, trigger(args),
+        position="position" if args.servers else "key", publish=publish,
     ).awaitTermination()
     return []
 
 
 def run_stream(spark: SparkSession, args: argparse.Namespace) -> list[DataFrame]:
     lexicon = load_lexicon(read_lexicon(spark, args.lexicon))
-    scored = A.scored_stream(incoming(spark, args, S.SCRAPED_TOPIC), lexicon)
-    counts = A.windowed_counts(scored, utc(args.start) if args.start else None, args.windows)
-    A.start_analytics(
+    scored = A.scored_stream(incoming(spark, args, "latest", S.SCRAPED_TOPIC), lexicon)
+    start = utc(args.start) if args.start else None
+    counts = A.windowed_counts(scored, start, args.windows, lateness=args.lateness)
+    query = A.start_analytics(
         counts, args.metrics, args.checkpoint, trigger(args), timing_path=args.timing
-    ).awaitTermination()
+    )
+    if start and not args.once:
+        A.await_windows(query, start + timedelta(minutes=WINDOW_MINUTES * args.windows))
+    else:
+        query.awaitTermination()
+    if args.once:
+        A.finish(spark, query, args.metrics, args.checkpoint, timing_path=args.timing)
     return []
 
 
@@ -146,10 +156,13 @@ def compare(spark: SparkSession, args: argparse.Namespace) -> list[DataFrame]:
 
 
 def check(spark: SparkSession, args: argparse.Namespace) -> list[DataFrame]:
-    given = {n: getattr(args, n) for n in S.TABLES if getattr(args, n)}
-    if not given:
-        raise SystemExit("check needs a table")
-    return [Q.schema_gaps({n: (spark.read.parquet(p), S.TABLES[n]) for n, p in given.items()})]
+    def table(path: str | None) -> DataFrame | None:
+        try:
+            return spark.read.parquet(path) if path else None
+        except AnalysisException:  # no such path, or nothing in it
+            return None
+
+    return [Q.schema_gaps({n: (table(getattr(args, n)), S.TABLES[n]) for n in S.TABLES}, spark)]
 
 
 JOBS = {
@@ -167,7 +180,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> li
     args = parse_args(argv)
     answers = JOBS[args.job](spark or build_session(f"newslens {args.job}"), args)
     for answer in answers:
-        answer.show(50, truncate=False)
+        print(*answer.columns, sep="\t")
+        for row in answer.toLocalIterator():
+            print(*row, sep="\t")
     return answers
 
 

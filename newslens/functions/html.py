@@ -9,7 +9,9 @@ shuffled, so a table of any size is extracted in the scan stage.
 from __future__ import annotations
 
 from collections.abc import Callable
-from html.entities import name2codepoint
+import json
+import zlib
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -82,7 +84,9 @@ TOKEN = (
 )
 TAG_NAME = r"^</?([a-zA-Z][a-zA-Z0-9:-]*)"
 RAW_TAGS = ("script", "style", "title")
-ENTITY = r"&(#[xX][0-9a-fA-F]{1,6}|#[0-9]{1,7}|[a-zA-Z][a-zA-Z0-9]*);"
+ENTITY = r"&(#[xX]0*[0-9a-fA-F]{1,6}|#0*[0-9]{1,7}|[a-zA-Z][a-zA-Z0-9]*);"
+# Names of characters are spread over so many small tables.
+ENTITY_SLOTS = 1024
 
 # Stands for a tag between two texts; not a character HTML allows in text.
 BREAK = "\x01"
@@ -557,9 +561,10 @@ def clean_title(title: Column) -> Column:
 
 def decode_entities(text: Column) -> Column:
     """Character references replaced by their characters, each exactly once."""
-    names = F.from_json(
-        F.lit(_entity_json()), "map<string,string>"
-    )
+    slots = F.from_json(F.lit(_entity_json()), "array<map<string,string>>")
+
+    def named(name: Column) -> Column:
+        return F.try_element_at(F.get(slots, (F.crc32(name) % ENTITY_SLOTS).cast("int")), name)
 
     def code_point(number: Column) -> Column:
         return F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
@@ -578,7 +583,7 @@ def decode_entities(text: Column) -> Column:
                     code_point(number),
                 ).otherwise("�"),
             ),
-            F.try_element_at(names, F.regexp_extract(ref, r"^&(\w+);$", 1)),
+            named(F.regexp_extract(ref, r"^&(\w+);$", 1)),
             ref,
         )
 
@@ -592,7 +597,9 @@ def decode_entities(text: Column) -> Column:
 
 
 def _entity_json() -> str:
-    """The character names of HTML 4, from the standard library's table."""
-    import json
-
-    return json.dumps({name: chr(code) for name, code in name2codepoint.items()})
+    """The names of characters, from the standard library's table, by slot."""
+    slots: list[dict[str, str]] = [{} for _ in range(ENTITY_SLOTS)]
+    for name, characters in html5.items():
+        if name.endswith(";"):
+            slots[zlib.crc32(name[:-1].encode()) % ENTITY_SLOTS][name[:-1]] = characters
+    return json.dumps(slots)

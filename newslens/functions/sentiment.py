@@ -9,6 +9,10 @@ A lexicon is a table ``(word, score, kind)`` with scores in thousandths:
 
 The polarity of a text is the mean over its polar words. All sums are integers, so a
 label never depends on the order of addition.
+
+``clean`` gives every lexicon one meaning, however it is used afterwards: rows without a
+word, or without a score where one is needed, count for nothing; the scores of a word that
+is listed several times as one kind are added up; an unknown or missing kind is an error.
 """
 
 from __future__ import annotations
@@ -58,14 +62,30 @@ class Lexicon:
         return word.isin(*self.negators) if self.negators else F.lit(False)
 
 
-def load_lexicon(table: DataFrame, max_words: int = MAX_WORDS_IN_PLAN) -> Lexicon:
-    """Read a lexicon table that is known to be small; raise when it is not."""
-    rows = (
-        table.select("word", "score", "kind", F.hash("word").alias("hash"))
-        .distinct()
-        .limit(max_words + 1)
-        .collect()
+KINDS = ("polar", "intensifier", "negator")
+
+
+def clean(table: DataFrame) -> DataFrame:
+    """One row per word and kind: (word, kind, score bigint)."""
+    known = F.coalesce(F.col("kind").isin(*KINDS), F.lit(False))
+    kind = F.when(known, F.col("kind")).otherwise(
+        F.raise_error(F.concat(F.lit("unknown lexicon kind "), F.coalesce("kind", F.lit("null"))))
+    )
+    rows = table.select("word", kind.alias("kind"), F.col("score").cast("bigint").alias("score"))
+    used = F.col("score").isNotNull() | (F.col("kind") == "negator")
+    return (
+        rows.where(used & (F.col("word") != ""))
+        .groupBy("word", "kind")
+        .agg(F.coalesce(F.sum("score"), F.lit(0)).alias("score"))
     )
+
+
+def load_lexicon(table: DataFrame, max_words: int | None = MAX_WORDS_IN_PLAN) -> Lexicon:
+    """Read a lexicon that is known to be small; raise when it is not."""
+    found = clean(table).select("word", "score", "kind", F.hash("word").alias("hash"))
+    rows = (found.limit(max_words + 1) if max_words else found).collect()
+    if max_words is None:
+        max_words = len(rows)
     if len(rows) > max_words:
         raise LexiconTooLarge(f"lexicon holds more than {max_words} words")
     slots = max(16, 1 << (2 * len(rows)).bit_length())
@@ -77,10 +97,8 @@ def load_lexicon(table: DataFrame, max_words: int = MAX_WORDS_IN_PLAN) -> Lexico
             polar[row["hash"] % slots][row["word"]] = row["score"]
         elif row["kind"] == "intensifier":
             intensifiers[row["word"]] = row["score"]
-        elif row["kind"] == "negator":
-            negators.append(row["word"])
         else:
-            raise ValueError(f"unknown lexicon kind {row['kind']!r}")
+            negators.append(row["word"])
     return Lexicon(json.dumps(polar), slots, json.dumps(intensifiers), tuple(sorted(negators)))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,13 +12,15 @@ from newslens.schemas import PROCESSING_TYPES
 
 
 def conform(table: DataFrame, layout: T.StructType) -> DataFrame:
-    """The table in the given layout: missing columns come as nulls, others are dropped."""
+    """The table in the given layout: missing columns come as nulls, others follow as they are."""
     have = set(table.columns)
+    named = {f.name for f in layout.fields}
     return table.select(
         *[
             (F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
             for f in layout.fields
-        ]
+        ],
+        *[c for c in table.columns if c not in named],
     )
 
 
@@ -26,12 +28,24 @@ def missing_columns(table: DataFrame, layout: T.StructType) -> list[str]:
     return [f.name for f in layout.fields if f.name not in table.columns]
 
 
-def schema_gaps(tables: dict[str, tuple[DataFrame, T.StructType]]) -> DataFrame:
-    """Rows of each table that break a column's rule: (table_name, column_name, issue, rows).
+def schema_gaps(
+    tables: dict[str, tuple[DataFrame | None, T.StructType]], spark: SparkSession | None = None
+) -> DataFrame:
+    """What each table lacks: (table_name, column_name, issue, rows).
 
-    ``missing``: the column is not there, for every row; ``null``: a required column
-    without a value. One aggregation per table; an empty answer means ready for use.
+    ``absent``: there is no such table (None is given for it); ``missing``: the column is
+    not there, whether or not there are rows; ``null``: rows of a required column without a
+    value. One aggregation per table; an empty answer means ready for use.
     """
+    spark = spark or SparkSession.getActiveSession()
+
+    def absent_table(name: str) -> DataFrame:
+        return spark.range(1).select(
+            F.lit(name).alias("table_name"),
+            F.lit(None).cast("string").alias("column_name"),
+            F.lit("absent").alias("issue"),
+            F.lit(0).cast("bigint").alias("rows"),
+        )
 
     def check(name: str, table: DataFrame, layout: T.StructType) -> DataFrame:
         absent = set(missing_columns(table, layout))
@@ -59,10 +73,15 @@ def schema_gaps(tables: dict[str, tuple[DataFrame, T.StructType]]) -> DataFrame:
                 for i, (column, issue) in enumerate(rules)
             ]
         )
-        return counts.select(F.inline(found)).where(F.col("rows") > 0)
+        gaps = counts.select(F.inline(found))
+        return gaps.where((F.col("issue") == "missing") | (F.col("rows") > 0))
 
     return reduce(
-        DataFrame.unionByName, [check(name, table, layout) for name, (table, layout) in tables.items()]
+        DataFrame.unionByName,
+        [
+            absent_table(name) if table is None else check(name, table, layout)
+            for name, (table, layout) in tables.items()
+        ],
     )
 
 
@@ -71,19 +90,19 @@ def invalid_types(results: DataFrame) -> DataFrame:
     return results.where(~F.coalesce(F.col("processing_type").isin(*PROCESSING_TYPES), F.lit(False)))
 
 
-def is_ready(tables: dict[str, tuple[DataFrame, T.StructType]]) -> bool:
-    """Whether every table has its columns, and values where they are required."""
+def is_ready(tables: dict[str, tuple[DataFrame | None, T.StructType]]) -> bool:
+    """Whether every table is there with its columns, and values where they are required."""
     return schema_gaps(tables).isEmpty()
 
 
 # The joins below meet on ids. Spark picks the join by size; where one id holds a large
 # part of the rows that are kept, adaptive execution splits its partition over several
-# tasks. The side that is only looked up is reduced to its distinct ids first: each task
-# drops its own repeats before the shuffle, and the join then needs no further one.
+# tasks. For that nothing may stand between the shuffle and the join, so the side that is
+# only looked up keeps its repeated ids, which semi and anti joins do not mind.
 
 
 def ids(table: DataFrame, column: str, name: str) -> DataFrame:
-    return table.select(F.col(column).alias(name)).distinct()
+    return table.select(F.col(column).alias(name))
 
 
 def raw_with_processed(raw: DataFrame, processed: DataFrame) -> DataFrame:

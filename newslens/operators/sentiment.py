@@ -14,6 +14,7 @@ from newslens.functions.sentiment import (
     PLAIN,
     Lexicon,
     LexiconTooLarge,
+    clean,
     label,
     load_lexicon,
     modifier,
@@ -21,9 +22,8 @@ from newslens.functions.sentiment import (
 )
 from newslens.functions.text import let, lower_words
 
-# Parts each lexicon word is split into for the join: a word that makes up a third of
-# all tokens is then spread over this many tasks.
-SALTS = 32
+# A lexicon of up to this many words is sent to every task; a larger one is shuffled.
+BROADCAST_WORDS = 1_000_000
 
 
 def with_sentiment(
@@ -64,20 +64,20 @@ def join_sentiment(
     key: str = "raw_id",
     modifiers: bool = True,
     threshold: int = 0,
+    broadcast_words: int = BROADCAST_WORDS,
 ) -> DataFrame:
     """Add ``sentiment`` by joining the words of each article with the lexicon.
 
-    ``key`` must be unique. Words are summed per article before they are shuffled, and
-    both sides of the join are salted because frequent words occur in most articles.
-    The text itself is shuffled once, to meet its score.
+    ``key`` must be unique. The polar words are counted and, up to ``broadcast_words``,
+    broadcast, so that words meet their scores where they are read and only the hits of
+    an article are shuffled. Beyond that, words are summed per article and shuffled by
+    word; a word of most articles is split over tasks by adaptive execution, for which
+    the lexicon side holds each word once. The text is shuffled once, to meet its label.
     """
-    closed_class = load_lexicon(lexicon.where("kind <> 'polar'"))
-    polar = (
-        lexicon.where("kind = 'polar'")
-        .select("word", "score")
-        .distinct()
-        .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    )
+    cleaned = clean(lexicon)
+    closed_class = load_lexicon(cleaned.where("kind <> 'polar'"), None)
+    polar = cleaned.where("kind = 'polar'").select("word", "score")
+    small = polar.count() <= broadcast_words
 
     def weighed(words: Column) -> Column:
         return F.transform(
@@ -90,16 +90,17 @@ def join_sentiment(
             ),
         )
 
-    terms = (
-        articles.select(key, F.inline(let(lower_words(F.col("content")), weighed)))
-        .where("word <> ''")
-        .groupBy(key, "word")
-        .agg(F.sum("factor").alias("factor"), F.count(F.lit(1)).alias("n"))
-        .withColumn("salt", F.pmod(F.hash(key), F.lit(SALTS)))
-    )
+    terms = articles.select(key, F.inline(let(lower_words(F.col("content")), weighed)))
+    terms = terms.where("word <> ''")
+    if small:
+        hits = terms.withColumn("n", F.lit(1).cast("bigint")).join(F.broadcast(polar), "word")
+    else:
+        summed = terms.groupBy(key, "word").agg(
+            F.sum("factor").alias("factor"), F.count(F.lit(1)).alias("n")
+        )
+        hits = summed.join(polar.hint("shuffle_merge"), "word")
     scores = (
-        terms.join(polar, ["word", "salt"])
-        .groupBy(key)
+        hits.groupBy(key)
         .agg(F.sum(F.col("score") * F.col("factor")).alias("total"), F.sum("n").alias("hits"))
         .select(key, label(F.col("total"), F.col("hits"), threshold).alias("sentiment"))
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -12,7 +13,8 @@ from newslens.functions.sentiment import Lexicon
 from newslens.functions.text import word_count
 from newslens.operators import extraction
 from newslens.operators.sentiment import with_sentiment
-from newslens.schemas import SCRAPED_TOPIC, scraped_message
+from newslens.operators.quality import conform
+from newslens.schemas import RAW_ARTICLES, SCRAPED_TOPIC, scraped_message
 from newslens.sources.messages import encode
 
 
@@ -76,21 +78,36 @@ def ingest(
     return outputs(raw, extracted, lexicon)
 
 
-def write_ingested(out: Ingested, lexicon: Lexicon, folder: str, part: str = "") -> None:
+def write_ingested(
+    out: Ingested,
+    lexicon: Lexicon,
+    folder: str,
+    part: str = "",
+    publish: Callable[[DataFrame], None] | None = None,
+) -> None:
     """Write all outputs under ``folder``: the extracted articles first, the others from
-    them. With ``part`` they go to a folder of that name, replacing an earlier try."""
+    them. With ``part`` they go to a folder of that name, replacing an earlier try.
+
+    Tables get the time they are written at. Messages go to ``publish`` (a broker), or to
+    files of the topic under ``folder/topics``, which the analytics job reads as they are.
+    """
     spark = out.raw.sparkSession
+    topics = f"{folder}/topics/topic={SCRAPED_TOPIC}/{part.replace('=', '-').replace('/', '-')}"
     part = f"/{part}" if part else ""
     extracted = f"{folder}/extracted{part}"
     out.extracted.write.mode("overwrite").parquet(extracted)
     done = out.from_extracted(spark.read.schema(out.extracted.schema).parquet(extracted), lexicon)
+    now = F.current_timestamp()
     for name, table in (
-        ("raw", done.raw),
-        ("processed", done.processed),
+        ("raw", conform(done.raw.withColumn("received_at", now), RAW_ARTICLES)),
+        ("processed", done.processed.withColumn("processed_at", now)),
         ("rejected", done.rejected),
-        ("messages", done.messages),
     ):
         table.write.mode("overwrite").parquet(f"{folder}/{name}{part}")
+    if publish:
+        publish(done.messages)
+    else:
+        done.messages.drop("topic").withColumn("timestamp", now).write.mode("overwrite").json(topics)
 
 
 def outputs(raw: DataFrame, extracted: DataFrame, lexicon: Lexicon) -> Ingested:

@@ -26,6 +26,7 @@ from newslens.sources import feeds, messages, tables
 from newslens.sources.lexicon import sample_lexicon
 from newslens.sources.tables import STREAM_START
 from newslens.streaming import analytics as A
+from newslens.streaming.ingest import start_ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -47,7 +48,7 @@ def scored(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def article_count(spark, folder):
-    return M.article_count(tables.articles(spark, folder, spread=False))
+    return M.article_count(tables.articles(spark, folder))
 
 
 def word_counts(spark, folder):
@@ -77,7 +78,7 @@ def word_count_per_article(spark, folder):
 
 
 def article_preview(spark, folder):
-    articles = tables.articles(spark, folder, spread=False)
+    articles = tables.articles(spark, folder)
     return articles.select("raw_id", preview(F.col("content")).alias("preview"))
 
 
@@ -139,7 +140,7 @@ def sentiment_share(spark, folder):
 
 
 def source_statistics(spark, folder):
-    return M.source_statistics(tables.articles(spark, folder, spread=False))
+    return M.source_statistics(tables.articles(spark, folder))
 
 
 def source_avg_length(spark, folder):
@@ -159,7 +160,7 @@ def batch_metric_rows(spark, folder):
 
 
 def scan_processed(spark, folder):
-    return tables.processed_articles(tables.articles(spark, folder, spread=False))
+    return tables.processed_articles(tables.articles(spark, folder))
 
 
 # Windows and roll-ups
@@ -180,7 +181,7 @@ def sentiment_per_window(spark, folder):
 
 
 def source_stats_per_window(spark, folder):
-    framed = Win.with_window(tables.articles(spark, folder, spread=False))
+    framed = Win.with_window(tables.articles(spark, folder))
     return M.source_statistics(framed, ["window_start"])
 
 
@@ -193,7 +194,7 @@ def three_windows(spark, folder):
 def filter_since(spark, folder):
     """Messages from the second run on."""
     begin = start_time() + F.expr("INTERVAL 45 MINUTES")
-    return Win.since(tables.articles(spark, folder, spread=False), begin).select("raw_id", "timestamp")
+    return Win.since(tables.articles(spark, folder), begin).select("raw_id", "timestamp")
 
 
 def next_minutes(spark, folder):
@@ -392,7 +393,7 @@ def scraped_messages(spark, folder):
 
 
 def raw_documents(spark: SparkSession, folder: str) -> DataFrame:
-    return tables.articles(spark, folder, spread=False).select(
+    return tables.articles(spark, folder).select(
         F.col("raw_id").alias("id"),
         "source",
         "title",
@@ -427,7 +428,7 @@ def cascade_delete(spark, folder):
 
 
 def conform_schema(spark, folder):
-    articles = tables.articles(spark, folder, spread=False).withColumnRenamed(
+    articles = tables.articles(spark, folder).withColumnRenamed(
         "raw_id", "raw_article_id"
     )
     return Q.conform(articles, S.PROCESSED_ARTICLES)
@@ -447,7 +448,10 @@ def schema_gaps(spark, folder):
         {
             "raw_articles": (raw_articles(spark, folder), S.RAW_ARTICLES),
             "processed_articles": (processed, S.PROCESSED_ARTICLES),
-        }
+            "new_articles": (processed.where("false").select("id", "source"), S.PROCESSED_ARTICLES),
+            "analytics_results": (None, S.ANALYTICS_RESULTS),
+        },
+        spark,
     )
 
 
@@ -465,18 +469,46 @@ def landed_messages(spark: SparkSession, folder: str) -> DataFrame:
 def stream_ingest(spark, folder):
     stream = A.scored_stream(landed_messages(spark, folder), lexicon(spark))
     rows = stream.withColumn("word_count", word_count(F.col("content"))).drop("title", "content")
+    rows = rows.withColumn("raw_id", F.col("raw_id").cast("bigint"))
     path = new_table_path(spark, "scored")
     A.start_scoring(rows, path, new_table_path(spark, "checkpoint"), ONCE).awaitTermination()
     return spark.read.schema(rows.schema).parquet(path)
 
 
-def streamed_results(spark: SparkSession, folder: str) -> DataFrame:
-    counts = A.windowed_counts(A.scored_stream(landed_messages(spark, folder), lexicon(spark)))
-    path = new_table_path(spark, "analytics")
-    A.start_analytics(counts, path, new_table_path(spark, "checkpoint"), ONCE).awaitTermination()
+def streamed_results(
+    spark: SparkSession, folder: str, start: Column | None = None, messages: DataFrame | None = None
+) -> DataFrame:
+    """Stored rows of all windows of a stream that has ended, or of one run from ``start``."""
+    stream = landed_messages(spark, folder) if messages is None else messages
+    counts = A.windowed_counts(A.scored_stream(stream, lexicon(spark)), start)
+    path, progress = new_table_path(spark, "analytics"), new_table_path(spark, "checkpoint")
+    query = A.start_analytics(counts, path, progress, ONCE)
+    query.awaitTermination()
+    A.finish(spark, query, path, progress)
     return spark.read.schema(S.ANALYTICS_RESULTS).parquet(path)
 
 
+def stream_three_windows(spark, folder):
+    """Metric rows of a bounded run: the three windows from 01:00 on, and no other."""
+    results = streamed_results(spark, folder, start_time() + F.expr("INTERVAL 1 HOUR"))
+    return results.select("window_start", "window_end", "metric_name", "metric_value")
+
+
+def stream_from_ingest(spark, folder):
+    """Sentiments of all articles that the ingest job published and the stream read back."""
+    feed = page_feed(spark, folder)
+    out, topics = new_table_path(spark, "tables"), new_table_path(spark, "feeds")
+    messages.write_topics(messages.route(feed).withColumn("timestamp", start_time()), topics)
+    landed = messages.stream_topics(spark, topics, *S.FEED_TOPICS.values())
+    progress = new_table_path(spark, "checkpoint")
+    pages_path = f"{folder}/pages.parquet"
+    start_ingest(landed, pages_path, lexicon(spark), out, progress, ONCE).awaitTermination()
+    published = messages.stream_topics(spark, f"{out}/topics", S.SCRAPED_TOPIC)
+    results = streamed_results(spark, folder, messages=published)
+    moods = M.metric_items(results, M.SENTIMENTS, M.SENTIMENT_ITEMS, ["window_start"])
+    return moods.groupBy("sentiment").agg(F.sum("count").alias("count"))
+
+
 def stream_metric_rows(spark, folder):
     return streamed_results(spark, folder).select(
         "window_start", "window_end", "metric_name", "metric_value", "processing_type"
@@ -549,9 +581,11 @@ QUERIES: dict[str, Query] = {
     "source_avg_length": source_avg_length,
     "source_statistics": source_statistics,
     "source_stats_per_window": source_stats_per_window,
+    "stream_from_ingest": stream_from_ingest,
     "stream_ingest": stream_ingest,
     "stream_metric_rows": stream_metric_rows,
     "stream_report": stream_report,
+    "stream_three_windows": stream_three_windows,
     "three_windows": three_windows,
     "throughput": throughput,
     "timing_metrics": timing_rows,

@@ -157,8 +157,6 @@ metric_rows AS (
 )"""
 
 
-CLOSED = """window_end <= (SELECT max("timestamp") FROM articles) - INTERVAL '10 minutes'"""
-
 RUNS = """
 runs AS (
   SELECT 'streaming' AS processing_type, min(ts) AS start_time, max(ts) AS end_time, count(*) AS n
@@ -404,10 +402,10 @@ SQL: dict[str, str] = {
         ARTICLES,
         """SELECT CAST(NULL AS VARCHAR) AS id, CAST(raw_id AS VARCHAR) AS raw_article_id, source, title,
           content, CAST(NULL AS VARCHAR) AS sentiment, CAST(NULL AS INTEGER) AS word_count,
-          CAST(NULL AS TIMESTAMP) AS processed_at FROM articles""",
+          CAST(NULL AS TIMESTAMP) AS processed_at, "timestamp" FROM articles""",
     ),
     "decode_messages": with_(
-        ARTICLES, "SELECT CAST(raw_id AS INTEGER) AS raw_id, source, title, content FROM articles"
+        ARTICLES, "SELECT CAST(raw_id AS BIGINT) AS raw_id, source, title, content FROM articles"
     ),
     "encode_messages": with_(
         ARTICLES,
@@ -484,7 +482,7 @@ outer_gone AS (
     "page_titles": with_(BODY, "SELECT page_id, title FROM titles"),
     "parse_envelope": with_(
         ARTICLES,
-        """SELECT CAST(raw_id AS INTEGER) AS raw_id, source, title, content, "timestamp"
+        """SELECT CAST(raw_id AS BIGINT) AS raw_id, source, title, content, "timestamp"
            FROM articles""",
     ),
     "processed_articles": with_(PROCESSED, "SELECT * FROM processed"),
@@ -534,7 +532,10 @@ outer_gone AS (
              UNION ALL SELECT 'processed_articles', 'processed_at', 'missing', count(*) FROM articles
              UNION ALL SELECT 'processed_articles', 'title', 'null', count(*) FROM articles
                        WHERE title = content)
-           WHERE rows > 0""",
+           WHERE issue = 'missing' OR rows > 0
+           UNION ALL SELECT 'new_articles', unnest(['raw_article_id', 'title', 'content', 'sentiment',
+             'word_count', 'processed_at']), 'missing', 0
+           UNION ALL SELECT 'analytics_results', NULL, 'absent', 0""",
     ),
     "scraped_messages": with_(
         PROCESSED,
@@ -580,17 +581,25 @@ outer_gone AS (
     ),
     "stream_ingest": with_(
         SCORED,
-        f"""SELECT CAST(raw_id AS INTEGER) AS raw_id, source, "timestamp", sentiment,
+        f"""SELECT CAST(raw_id AS BIGINT) AS raw_id, source, "timestamp", sentiment,
               {words_in('content')} AS word_count FROM scored""",
     ),
     "stream_metric_rows": with_(
         SCORED + "," + WINDOW_REPORT + "," + metric_rows("streaming"),
-        f"SELECT * FROM metric_rows WHERE {CLOSED}",
+        "SELECT * FROM metric_rows",
+    ),
+    "stream_from_ingest": with_(
+        PROCESSED, "SELECT sentiment, CAST(count(*) AS BIGINT) AS count FROM processed GROUP BY sentiment"
+    ),
+    "stream_three_windows": with_(
+        SCORED + "," + WINDOW_REPORT + "," + metric_rows("streaming"),
+        """SELECT window_start, window_end, metric_name, metric_value FROM metric_rows
+           WHERE window_start >= TIMESTAMP '2024-01-01 01:00:00'
+             AND window_start < TIMESTAMP '2024-01-01 01:45:00'""",
     ),
     "stream_report": with_(
         SCORED + "," + WINDOW_REPORT,
-        f"""SELECT window_start, metric_name, key, count, total_length FROM report
-            WHERE {CLOSED}""",
+        "SELECT window_start, metric_name, key, count, total_length FROM report",
     ),
     "three_windows": with_(
         SCORED,

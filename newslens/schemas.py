@@ -18,12 +18,12 @@ FEED_MESSAGE = T.StructType(
 def scraped_message(raw_id: T.DataType | None = None) -> T.StructType:
     """Layout of a scraped article message.
 
-    ``raw_id`` is an integer in messages written by other programs; the ingest job of
+    ``raw_id`` is a number in messages written by other programs; the ingest job of
     this package writes text ids.
     """
     return T.StructType(
         [
-            T.StructField("raw_id", raw_id or T.IntegerType()),
+            T.StructField("raw_id", raw_id or T.LongType()),
             T.StructField("source", T.StringType()),
             T.StructField("title", T.StringType()),
             T.StructField("content", T.StringType()),

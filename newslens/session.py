@@ -5,14 +5,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
-# A table below this many bytes per core is worth spreading by hand; larger ones
-# already come in enough splits.
-SPREAD_BYTES_PER_CORE = 16 * 1024 * 1024
-
 
 def build_session(app: str = "newslens", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the operators are written for.
@@ -63,16 +59,3 @@ def new_table_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that no other run uses."""
     return f"{shared_folder(spark)}/newslens/{name}-{uuid.uuid4().hex}"
 
-
-def spread_small(df: DataFrame) -> DataFrame:
-    """Spread a small table that sits in fewer files than there are cores.
-
-    A table held in one row group is read by one task however many cores are free.
-    Big tables pass through unchanged: they never pay for this shuffle.
-    """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    if size > cores * SPREAD_BYTES_PER_CORE or len(df.inputFiles()) >= cores:
-        return df
-    return df.repartition(cores)

@@ -5,11 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import DataStreamWriter
-
-# Upper bound on records per trigger, so that a backlog is worked off in even batches.
-MAX_OFFSETS_PER_TRIGGER = 10_000_000
-
 
 def has_kafka(spark: SparkSession) -> bool:
     try:
@@ -24,16 +19,22 @@ def stream_kafka(
     servers: str,
     topics: Sequence[str],
     starting: str = "latest",
-    max_offsets: int = MAX_OFFSETS_PER_TRIGGER,
+    max_offsets: int | None = None,
 ) -> DataFrame:
-    """Messages of one or more topics as (topic, value, timestamp, position)."""
-    return (
+    """Messages of one or more topics as (topic, value, timestamp, position).
+
+    ``max_offsets`` bounds the records of a trigger; without it each trigger takes all.
+    """
+    reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", ",".join(topics))
         .option("startingOffsets", starting)
-        .option("maxOffsetsPerTrigger", max_offsets)
-        .load()
+    )
+    if max_offsets:
+        reader = reader.option("maxOffsetsPerTrigger", max_offsets)
+    return (
+        reader.load()
         .selectExpr(
             "topic",
             "CAST(value AS STRING) AS value",
@@ -51,12 +52,3 @@ def write_kafka(messages: DataFrame, servers: str) -> None:
         .option("kafka.bootstrap.servers", servers)
         .save()
     )
-
-
-def publish_stream(messages: DataFrame, servers: str, checkpoint: str) -> DataStreamWriter:
-    return (
-        messages.select("topic", "value")
-        .writeStream.format("kafka")
-        .option("kafka.bootstrap.servers", servers)
-        .option("checkpointLocation", checkpoint)
-    )

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from newslens.schemas import FEED_MESSAGE, SCRAPED_MESSAGE
 from newslens.sources.feeds import topic_of
 
-MESSAGE_FILE = "topic string, value string, timestamp timestamp"
+MESSAGE_FILE = "topic string, value string, timestamp timestamp, key string"
 
 
 def encode(records: DataFrame, fields: T.StructType, *keep: str) -> DataFrame:
@@ -41,8 +41,8 @@ def merge(*topics: DataFrame) -> DataFrame:
 
 
 def write_topics(messages: DataFrame, path: str, mode: str = "append") -> None:
-    """Messages as files, one folder per topic."""
-    messages.write.mode(mode).partitionBy("topic").json(path)
+    """Messages as files, one folder per topic, each with a key that no other one has."""
+    messages.withColumn("key", F.expr("uuid()")).write.mode(mode).partitionBy("topic").json(path)
 
 
 def read_topics(spark: SparkSession, path: str, *names: str) -> DataFrame:

@@ -25,10 +25,18 @@ def write_step(
 
 
 def write_metrics(rows: DataFrame, path: str, run: str, epoch_id: int = 0) -> None:
-    """Metric rows, in folders by processing type first."""
+    """Metric rows with the time they are written at, in folders by processing type first."""
+    rows = rows.withColumn("created_at", F.current_timestamp())
     write_step(rows, path, run, epoch_id, ("processing_type",))
 
 
+def drop_metrics(spark: SparkSession, path: str, processing_type: str, run: str, epoch_id: int) -> None:
+    """Remove the metric rows of one step, wherever the table is stored."""
+    folder = f"{path}/processing_type={processing_type}/run={run}/epoch_id={epoch_id}"
+    place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def stream_id(batch: DataFrame) -> str:
     """Id of the stream that a foreachBatch callback works for."""
     found = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newslens.session import spread_small
-
 # Fixed value: the article stream starts here, one article per minute of its number.
 STREAM_START = "2024-01-01 00:00:00"
 
@@ -15,26 +13,20 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def articles(spark: SparkSession, folder: str, spread: bool = True) -> DataFrame:
-    """Documents as articles: raw_id, source, title (first line), content, timestamp.
-
-    ``spread`` helps operators that work on the text where a small table has one split.
-    """
-    documents = read_table(spark, folder, "documents")
-    if spread:
-        documents = spread_small(documents)
-    minutes = F.make_dt_interval(mins=F.col("doc_id").cast("int"))
-    return documents.select(
+def articles(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents as articles: raw_id, source, title (first line), content, timestamp."""
+    begin = F.unix_micros(F.lit(STREAM_START).cast("timestamp"))
+    return read_table(spark, folder, "documents").select(
         F.col("doc_id").alias("raw_id"),
         "source",
         F.split_part(F.col("text"), F.lit("\n"), F.lit(1)).alias("title"),
         F.col("text").alias("content"),
-        (F.lit(STREAM_START).cast("timestamp") + minutes).alias("timestamp"),
+        F.timestamp_micros(begin + F.col("doc_id") * 60_000_000).alias("timestamp"),
     )
 
 
 def pages(spark: SparkSession, folder: str) -> DataFrame:
-    return spread_small(read_table(spark, folder, "pages"))
+    return read_table(spark, folder, "pages")
 
 
 def events(spark: SparkSession, folder: str) -> DataFrame:

@@ -6,8 +6,9 @@ import time
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from newslens.functions.sentiment import Lexicon
@@ -17,17 +18,23 @@ from newslens.operators.sentiment import with_sentiment
 from newslens.operators.timing import timing_metrics
 from newslens.operators.windows import bounded_run
 from newslens.operators.words import STREAM_TOP
+from newslens.schemas import scraped_message
 from newslens.sources.messages import parse_envelope
-from newslens.sources.sinks import stream_id, write_metrics, write_step
+from newslens.sources.sinks import drop_metrics, stream_id, write_metrics, write_step
 
 # How late a message may be. State is kept for open windows only, this much past them.
 LATENESS = "10 minutes"
+# The step under which windows that are open at the end are stored.
+OPEN_WINDOWS = -1
 TRIGGER = f"{WINDOW_MINUTES} minutes"
 
 
 def scored_stream(messages: DataFrame, lexicon: Lexicon) -> DataFrame:
-    """Parsed and labelled articles; a projection, so it keeps no state."""
-    return with_sentiment(parse_envelope(messages), lexicon)
+    """Parsed and labelled articles; a projection, so it keeps no state.
+
+    Ids are text, as the ingest job publishes them; numbers are read as their digits.
+    """
+    return with_sentiment(parse_envelope(messages, scraped_message(T.StringType())), lexicon)
 
 
 def windowed_counts(
@@ -40,11 +47,13 @@ def windowed_counts(
     """Counts per event-time window, metric and key.
 
     One grouping serves all metrics: one scan of the stream, one state store. With a
-    ``start``, only the run of ``windows`` windows from there on is counted.
+    ``start``, only the run of ``windows`` windows from there on is counted; messages after
+    the run are not counted but still move the watermark, so the last window closes.
     """
+    marked = scored.withWatermark("timestamp", lateness)
     if start is not None and windows is not None:
-        scored = bounded_run(scored, start, windows=windows, minutes=minutes)
-    facts = M.article_facts(scored.withWatermark("timestamp", lateness), by=["timestamp"])
+        marked = bounded_run(marked, start, windows=windows, minutes=minutes)
+    facts = M.article_facts(marked, by=["timestamp"])
     window = F.window("timestamp", f"{minutes} minutes").alias("window")
     return M.count_facts(facts, [window]).select(
         F.col("window.start").alias("window_start"),
@@ -74,22 +83,27 @@ def metric_writer(
             rows = M.report(counts, top, by=["window_start", "window_end"])
             write_metrics(M.metric_rows(rows, "streaming"), path, stream_id(counts), epoch_id)
             if timing_path:
-                log = counts.where(F.col("metric_name") == M.SENTIMENTS).agg(
-                    F.coalesce(F.sum("count"), F.lit(0)).alias("records")
-                )
-                log = log.select(
-                    F.lit("streaming").alias("processing_type"),
-                    F.timestamp_micros(F.lit(int(began * 1_000_000))).alias("start_time"),
-                    F.timestamp_micros(F.lit(int(time.time() * 1_000_000))).alias("end_time"),
-                    "records",
-                )
-                write_step(timing_metrics(log), timing_path, stream_id(counts), epoch_id)
+                write_timing(counts, began, timing_path, stream_id(counts), epoch_id)
         finally:
             counts.unpersist()
 
     return write
 
 
+def write_timing(counts: DataFrame, began: float, path: str, run: str, epoch_id: int) -> None:
+    """How long the counts of a step took, and of how many messages they are."""
+    log = counts.where(F.col("metric_name") == M.SENTIMENTS).agg(
+        F.coalesce(F.sum("count"), F.lit(0)).alias("records")
+    )
+    log = log.select(
+        F.lit("streaming").alias("processing_type"),
+        F.timestamp_micros(F.lit(int(began * 1_000_000))).alias("start_time"),
+        F.timestamp_micros(F.lit(int(time.time() * 1_000_000))).alias("end_time"),
+        "records",
+    )
+    write_step(timing_metrics(log), path, run, epoch_id)
+
+
 def start_analytics(
     counts: DataFrame,
     path: str,
@@ -108,6 +122,49 @@ def start_analytics(
     )
 
 
+def finish(
+    spark: SparkSession,
+    query: StreamingQuery,
+    path: str,
+    checkpoint: str,
+    top: int = STREAM_TOP,
+    timing_path: str | None = None,
+) -> None:
+    """Write the windows that are still open when a stream has ended.
+
+    The counts are read from the state that the ended ``query`` left, and stored as a step of
+    its own that the next call replaces. A stream that goes on from the same progress later
+    writes those windows itself once they close; call this again after it.
+    """
+    began = time.time()
+    state = spark.read.format("statestore").load(checkpoint)
+    fields = [f.name for f in state.schema["value"].dataType.fields]
+    key = F.col("key")
+    names = [f.name for f in state.schema["key"].dataType.fields]
+    counts = state.select(
+        key[names[0]]["start"].alias("window_start"),
+        key[names[0]]["end"].alias("window_end"),
+        key[names[1]].alias("metric_name"),
+        key[names[2]].alias("key"),
+        F.col("value")[fields[0]].alias("count"),
+        F.col("value")[fields[1]].alias("total_length"),
+    )
+    rows = M.metric_rows(M.report(counts, top, by=["window_start", "window_end"]), "streaming")
+    drop_metrics(spark, path, "streaming", str(query.id), OPEN_WINDOWS)
+    write_metrics(rows, path, str(query.id), OPEN_WINDOWS)
+    if timing_path:
+        write_timing(counts, began, timing_path, str(query.id), OPEN_WINDOWS)
+
+
+def await_windows(query: StreamingQuery, end: datetime, poll: float = 5.0) -> None:
+    """Wait until the watermark has passed ``end`` or the query ends, then stop it."""
+    while not query.awaitTermination(poll):
+        mark = ((query.lastProgress or {}).get("eventTime") or {}).get("watermark")
+        if mark and datetime.fromisoformat(mark.replace("Z", "+00:00")) >= end:
+            query.processAllAvailable()
+            query.stop()
+
+
 def start_scoring(
     scored: DataFrame,
     path: str,

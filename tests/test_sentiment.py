@@ -103,8 +103,34 @@ def test_many_words(spark):
 
 
 def test_lexicon_kind_is_checked(spark):
-    with pytest.raises(ValueError):
-        load_lexicon(spark.createDataFrame([("a", 1, "other")], "word string, score int, kind string"))
+    for kind in ("other", None):
+        odd = spark.createDataFrame([("a", 1, kind)], "word string, score int, kind string")
+        with pytest.raises(Exception, match="unknown lexicon kind"):
+            load_lexicon(odd)
+        with pytest.raises(Exception, match="unknown lexicon kind"):
+            Sent.join_sentiment(frame(spark, ["a"]), odd).collect()
+
+
+def test_one_lexicon_means_the_same_on_every_path(spark):
+    rows = [("good", 500, "polar"), ("good", -400, "polar"), ("fine", 300, "polar"), ("", 900, "polar"), ("dull", None, "polar"),
+            (None, 5, "polar"), ("not", None, "negator"), ("very", None, "intensifier"), ("very", 1500, "intensifier"), ("bad", -700, "polar")]
+    table = spark.createDataFrame(rows, "word string, score int, kind string")
+    texts = ["good", "fine dull", "not fine", "very bad  good", "dull", "", "bad very good good good"]
+    articles = frame(spark, texts)
+    for threshold in (0, 100):
+        paths = [
+            Sent.with_sentiment(articles, load_lexicon(table), threshold=threshold),
+            Sent.join_sentiment(articles, table, "raw_id", threshold=threshold),
+            Sent.join_sentiment(articles, table, "raw_id", threshold=threshold, broadcast_words=0),
+        ]
+        labels = [sorted((r["raw_id"], r["sentiment"]) for r in p.collect()) for p in paths]
+        assert labels[0] == labels[1] == labels[2] and labels[0][0][1] in ("positive", "neutral")
+
+
+def test_words_meet_a_small_lexicon_without_a_shuffle(spark, table):
+    joined = Sent.join_sentiment(frame(spark, ["good bad"]).select("raw_id", "content"), table)
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=broadcast" in plan
 
 
 def test_scoring_keeps_no_shuffle(spark, table):

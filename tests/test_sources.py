@@ -9,7 +9,7 @@ from newslens import schemas as S
 from newslens.operators import quality as Q
 from newslens.plans import ingest as I
 from newslens.functions.sentiment import load_lexicon
-from newslens.session import new_table_path, shared_folder, spread_small
+from newslens.session import new_table_path, shared_folder
 from newslens.sources import feeds, jdbc, kafka, messages
 from newslens.sources.lexicon import read_lexicon, sample_lexicon
 
@@ -124,7 +124,11 @@ def test_quality(spark):
     assert Q.raw_with_processed(raw, processed).count() == 2
 
     fixed = Q.conform(processed.withColumn("extra", F.lit(1)), S.PROCESSED_ARTICLES)
-    assert [(f.name, f.dataType) for f in fixed.schema] == [(f.name, f.dataType) for f in S.PROCESSED_ARTICLES]
+    assert [(f.name, f.dataType) for f in fixed.schema][:-1] == [(f.name, f.dataType) for f in S.PROCESSED_ARTICLES]
+    assert fixed.columns[-1] == "extra"
+    bare = {"a": (processed.where("false").select("content"), S.RAW_ARTICLES), "b": (None, S.RAW_ARTICLES)}
+    gaps = sorted((r["table_name"], r["column_name"] or "", r["issue"]) for r in Q.schema_gaps(bare).collect())
+    assert gaps[-1] == ("b", "", "absent") and len(gaps) == 6 and not Q.is_ready(bare)
     gaps = Q.schema_gaps({"raw_articles": (raw, S.RAW_ARTICLES)}).collect()
     assert sorted((r["column_name"], r["issue"], r["rows"]) for r in gaps) == [
         ("content", "missing", 2), ("received_at", "missing", 2),
@@ -146,14 +150,6 @@ def test_lexicon_table(spark, tmp_path):
     assert tuple(read_lexicon(spark, str(tmp_path / "l")).collect()[0]) == ("good", 5, "polar")
 
 
-def test_spread_small(spark, tmp_path):
-    spark.range(1000).coalesce(1).write.parquet(str(tmp_path / "small"))
-    small = spark.read.parquet(str(tmp_path / "small"))
-    assert spread_small(small).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    spark.range(1000).repartition(8).write.parquet(str(tmp_path / "many"))
-    many = spark.read.parquet(str(tmp_path / "many"))
-    assert spread_small(many) is many
-
 
 def test_jdbc_scan_is_cut_into_ranges():
     options = jdbc.scan_options("jdbc:x", "processed_articles", "id", 1, 1000, 8)
@@ -169,5 +165,5 @@ def test_kafka_is_optional(spark):
 
 
 def test_scraped_message_layout():
-    assert S.SCRAPED_MESSAGE["raw_id"].dataType == T.IntegerType()
+    assert S.SCRAPED_MESSAGE["raw_id"].dataType == T.LongType()
     assert S.scraped_message(T.StringType()).names == S.SCRAPED_MESSAGE.names

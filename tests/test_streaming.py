@@ -1,6 +1,6 @@
 """Streams over landed files against the same operators over the whole table."""
 
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -94,12 +94,37 @@ def test_late_messages_are_dropped_after_the_watermark(spark, tmp_path, lexicon)
 
 def test_bounded_run(spark, tmp_path, lexicon):
     root = str(tmp_path)
-    land(spark, f"{root}/in", [article(i, m) for i, m in enumerate([-1, 0, 44, 45, 200])])
+    land(spark, f"{root}/in", [article(i, m) for i, m in enumerate([-1, 0, 16, 44, 45, 200])])
     stream = messages.stream_topics(spark, f"{root}/in")
     counts = A.windowed_counts(A.scored_stream(stream, lexicon), T0, lateness="0 minutes")
     A.start_analytics(counts, f"{root}/out", f"{root}/checkpoint", ONCE).awaitTermination()
     starts = {r["window_start"] for r in stored(spark, root).collect()}
-    assert starts == {T0}
+    assert starts == {T0 + timedelta(minutes=m) for m in (0, 15, 30)}
+
+
+def test_windows_open_at_the_end_are_written_once(spark, tmp_path, lexicon):
+    root = str(tmp_path)
+    for minutes in ([0, 1, 60], [65, 70], [200]):
+        land(spark, f"{root}/in", [article(i, m) for i, m in enumerate(minutes)])
+        stream = messages.stream_topics(spark, f"{root}/in")
+        counts = A.windowed_counts(A.scored_stream(stream, lexicon))
+        query = A.start_analytics(counts, f"{root}/out", f"{root}/checkpoint", ONCE)
+        query.awaitTermination()
+        A.finish(spark, query, f"{root}/out", f"{root}/checkpoint")
+    moods = M.metric_items(stored(spark, root), M.SENTIMENTS, M.SENTIMENT_ITEMS, ["window_start"])
+    counted = {r[0]: r[1] for r in moods.groupBy("window_start").agg(F.sum("count")).collect()}
+    assert counted == {T0 + timedelta(minutes=m): n for m, n in ((0, 2), (60, 3), (195, 1))}
+
+
+def test_a_run_stops_after_its_last_window(spark, tmp_path, lexicon):
+    root = str(tmp_path)
+    land(spark, f"{root}/in", [article(i, m) for i, m in enumerate([0, 20, 40, 90])])
+    stream = messages.stream_topics(spark, f"{root}/in")
+    counts = A.windowed_counts(A.scored_stream(stream, lexicon), T0)
+    query = A.start_analytics(counts, f"{root}/out", f"{root}/checkpoint", {"processingTime": "1 second"})
+    A.await_windows(query, (T0 + timedelta(minutes=45)).replace(tzinfo=timezone.utc), poll=1.0)
+    assert not query.isActive
+    assert {r["window_start"] for r in stored(spark, root).collect()} == {T0 + timedelta(minutes=m) for m in (0, 15, 30)}
 
 
 def test_failure_stops_the_query(spark, tmp_path, lexicon):
@@ -127,10 +152,10 @@ def test_one_state_store_and_one_scan(spark, tmp_path, lexicon):
 
 def test_ingest_stream(spark, tmp_path, lexicon):
     root = str(tmp_path)
-    pages = spark.createDataFrame(
-        [("u1", "<title>One</title><body><article>best</article>"), ("u2", "<body></body>")],
-        "url string, html string",
-    )
+    def crawl(*rows):
+        spark.createDataFrame(rows, "url string, html string").write.mode("append").parquet(f"{root}/pages")
+
+    crawl(("u1", "<title>One</title><body><article>best</article>"), ("u2", "<body></body>"))
 
     def land_feed(rows):
         feed = spark.createDataFrame(rows, "source string, title string, url string, timestamp timestamp")
@@ -138,14 +163,34 @@ def test_ingest_stream(spark, tmp_path, lexicon):
 
     def step():
         stream = messages.stream_topics(spark, f"{root}/in", *S.FEED_TOPICS.values())
-        start_ingest(stream, pages, lexicon, f"{root}/out", f"{root}/checkpoint", ONCE).awaitTermination()
+        start_ingest(stream, f"{root}/pages", lexicon, f"{root}/out", f"{root}/checkpoint", ONCE).awaitTermination()
 
     land_feed([("BBC", "f", "u1", T0), ("Reuters", "f", "u2", T0)])
     step()
     land_feed([("BBC", "f", "u1", T0 + timedelta(minutes=1))])
     step()
     step()
-    counts = {n: spark.read.parquet(f"{root}/out/{n}").count() for n in ("raw", "processed", "rejected", "messages")}
-    assert counts == {"raw": 3, "processed": 2, "rejected": 1, "messages": 2}
+    def written():
+        return {n: spark.read.parquet(f"{root}/out/{n}").count() for n in ("raw", "processed", "rejected")}
+
+    assert written() == {"raw": 3, "processed": 2, "rejected": 1}
+    assert messages.read_topics(spark, f"{root}/out/topics", S.SCRAPED_TOPIC).count() == 2
     ids = spark.read.parquet(f"{root}/out/processed").select("raw_article_id").distinct().count()
     assert ids == 2
+    # A page crawled after the first batch is found, and equal records of one time differ.
+    crawl(("u3", "<title>Three</title><body><article>plain</article>"))
+    land_feed([("BBC", "f", "u3", T0), ("BBC", "f", "u3", T0)])
+    step()
+    assert written() == {"raw": 5, "processed": 4, "rejected": 1}
+    assert spark.read.parquet(f"{root}/out/raw").select("id").distinct().count() == 5
+
+
+def test_markup_of_unasked_pages_is_not_moved(spark, tmp_path):
+    from newslens.streaming.ingest import of_feed
+
+    pages = spark.range(2000).selectExpr("concat('u', id) AS url", "repeat('x', 500) AS html")
+    feed = spark.createDataFrame([("u5",), ("u6",), (None,)], "url string")
+    wanted = of_feed(pages, feed)
+    assert sorted(r["url"] for r in wanted.collect()) == ["u5", "u6"]
+    plan = wanted._jdf.queryExecution().executedPlan().toString()
+    assert not any("Exchange hashpartitioning(url" in line and "html" in line for line in plan.splitlines())
