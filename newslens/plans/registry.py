@@ -289,6 +289,47 @@ def extract_rejected(spark, folder):
     return X.rejected(page_articles(spark, folder))
 
 
+def varied_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """The pages, some of them turned into cases that the table does not hold: empty pages,
+    hidden blocks, an end marker with text after it, links to videos."""
+    html, case = F.col("html"), F.col("page_id") % 6
+    hidden = '<article><p style="display: none">unseen words</p>'
+    ended = "<p>End of Article</p><p>left out</p></article>"
+    return tables.pages(spark, folder).select(
+        "page_id",
+        F.when(case == 5, F.concat("url", F.lit("/videos/1"))).otherwise(F.col("url")).alias("url"),
+        F.when(case == 1, "<html><head></head><body></body></html>")
+        .when(case == 2, F.replace(html, F.lit("<article>"), F.lit(hidden)))
+        .when(case == 3, F.replace(html, F.lit("</article>"), F.lit(ended)))
+        .otherwise(html)
+        .alias("html"),
+    )
+
+
+def varied_articles(spark, folder):
+    """Blanks are made one: those before an end marker are kept as they are on the page."""
+    found = X.articles(varied_pages(spark, folder)).drop("url")
+    return found.withColumn("content", F.regexp_replace("content", " +", " "))
+
+
+def varied_rejected(spark, folder):
+    return X.rejected(X.articles(varied_pages(spark, folder)).drop("url"))
+
+
+def varied_end_marker(spark, folder):
+    return X.end_markers(varied_pages(spark, folder))
+
+
+def varied_hidden(spark, folder):
+    return X.removed_counts(varied_pages(spark, folder))
+
+
+def varied_links(spark, folder):
+    pages = X.with_title(varied_pages(spark, folder))
+    feed = pages.select(source_of(F.col("url")).alias("source"), "title", "url")
+    return feeds.without_videos(feed).select("title", "url")
+
+
 # Feeds and messages
 
 
@@ -595,6 +636,11 @@ QUERIES: dict[str, Query] = {
     "top_words_per_window": top_words_per_window,
     "tumbling_counts": tumbling_counts,
     "unprocessed_raw": unprocessed_raw,
+    "varied_articles": varied_articles,
+    "varied_end_marker": varied_end_marker,
+    "varied_hidden": varied_hidden,
+    "varied_links": varied_links,
+    "varied_rejected": varied_rejected,
     "word_count": word_count_per_article,
     "word_counts": word_counts,
     "word_counts_batch": word_counts_batch,

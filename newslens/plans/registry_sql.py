@@ -648,3 +648,30 @@ outer_gone AS (
             WHERE word <> '' AND word NOT IN ({stop_list()}) GROUP BY word""",
     ),
 }
+
+# The same checks over pages turned into cases that the table does not hold.
+VARIED = """
+pages AS (
+  SELECT page_id, CASE WHEN page_id % 6 = 5 THEN url || '/videos/1' ELSE url END AS url,
+    CASE page_id % 6
+      WHEN 1 THEN '<html><head></head><body></body></html>'
+      WHEN 2 THEN replace(html, '<article>', '<article><p style="display: none">unseen words</p>')
+      WHEN 3 THEN replace(html, '</article>', '<p>End of Article</p><p>left out</p></article>')
+      ELSE html END AS html
+  FROM pages
+),"""
+
+SQL.update(
+    {
+        varied: "WITH " + VARIED + SQL[plain].removeprefix("WITH ")
+        for varied, plain in (
+            ("varied_rejected", "extract_rejected"),
+            ("varied_end_marker", "page_end_marker"),
+            ("varied_hidden", "page_hidden_removed"),
+            ("varied_links", "filter_links"),
+        )
+    }
+)
+SQL["varied_articles"] = with_(
+    VARIED + BODY, "SELECT page_id, title, regexp_replace(content, ' +', ' ', 'g') AS content FROM extracted"
+)

@@ -282,3 +282,10 @@ def test_tokens_lose_nothing(spark):
     rows = spark.createDataFrame([(p,) for p in pages], "html string")
     glued = F.array_join(F.transform(H.tokens(F.col("html")), lambda t: t["text"]), "")
     assert rows.where(glued != F.col("html")).count() == 0
+
+
+def test_names_and_padded_numbers_of_characters(spark):
+    page = "<body><article>it&apos;s &hellip; &NotEqualTilde; &#00000000065; &#x0000041; &nosuch;</article></body>"
+    frame = spark.createDataFrame([(1, "u", page)], "page_id long, url string, html string")
+    (row,) = X.articles(frame).collect()
+    assert row["content"] == "it's … ≂̸ A A &nosuch;"
