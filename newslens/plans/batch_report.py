@@ -21,17 +21,11 @@ from newslens.sources.sinks import read_metrics, write_metrics, write_step
 def batch_report(scored: DataFrame, top: int = W.BATCH_TOP) -> DataFrame:
     """All batch metrics in long form: (metric_name, key, count, total_length).
 
-    Two scans with different columns: words read the text, and one grouping over two
-    key sets gives sentiments and sources.
+    One scan and one grouping serve all of them; the ranking of words and the rest read
+    the same counts, whose shuffle is reused.
     """
-    words = W.top_words(W.count_words(W.all_words(scored)), top).select(
-        F.lit(M.WORDS).alias("metric_name"),
-        F.col("word").alias("key"),
-        "count",
-        F.lit(None).cast("bigint").alias("total_length"),
-    )
-    both = words.unionByName(M.sentiment_and_sources(scored))
-    return both.withColumn("metric_name", F.concat("metric_name", F.lit(M.BATCH_SUFFIX)))
+    counts = M.count_facts(M.article_facts(scored, batch=True))
+    return M.report(counts, top)
 
 
 def batch_metric_rows(scored: DataFrame, at: Column, top: int = W.BATCH_TOP) -> DataFrame:

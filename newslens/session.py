@@ -59,3 +59,10 @@ def new_table_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that no other run uses."""
     return f"{shared_folder(spark)}/newslens/{name}-{uuid.uuid4().hex}"
 
+
+def drop_table(spark: SparkSession, path: str) -> None:
+    """Delete a table that was written to ``new_table_path`` and is no longer read."""
+    if "/newslens/" not in path:
+        raise ValueError(f"not a table of this package: {path}")
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

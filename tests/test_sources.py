@@ -9,7 +9,7 @@ from newslens import schemas as S
 from newslens.operators import quality as Q
 from newslens.plans import ingest as I
 from newslens.functions.sentiment import load_lexicon
-from newslens.session import new_table_path, shared_folder
+from newslens.session import drop_table, new_table_path, shared_folder
 from newslens.sources import feeds, jdbc, kafka, messages
 from newslens.sources.lexicon import read_lexicon, sample_lexicon
 
@@ -142,7 +142,14 @@ def test_quality(spark):
 
 def test_shared_folder_is_the_sessions(spark):
     assert shared_folder(spark) == spark.sparkContext.getConf().get("spark.checkpoint.dir").rstrip("/")
-    assert new_table_path(spark, "a") != new_table_path(spark, "a")
+    path = new_table_path(spark, "a")
+    assert path != new_table_path(spark, "a")
+    spark.range(3).write.parquet(path)
+    drop_table(spark, path)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
+    with pytest.raises(ValueError):
+        drop_table(spark, "/tmp/other")
 
 
 def test_lexicon_table(spark, tmp_path):
