@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from newslens.llm import ngram_join, packing, quality, suffix_dedup, toxicity
 from newslens.llm.common import table
 from newslens.llm.queries import vocabulary
-from newslens.session import new_table_path
+from newslens.session import drop_table, new_table_path
 
 #: No SQL expresses the learned stages.
 ORACLE_SQL = None
@@ -53,10 +53,16 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last stage's table, written and read again like the others."""
-    docs = table(spark, sf_dir, "documents")
+    """The last stage's table, written and read again like the others.
+
+    The table of a stage is deleted when the next one is written; the last one stays.
+    """
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         path = new_table_path(spark, name)
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:
+            drop_table(spark, before)
+        before = path
     return docs
