@@ -4,9 +4,10 @@ A passage is ``PASSAGE`` words in a row. Of the ``ANCHOR``-word beginnings of th
 inside each passage the one with the least hash is its anchor, so that two equal passages
 have equal anchors at the same place, and only about one suffix in thirteen is kept.
 The kept suffixes are brought together by their beginnings, and those that have an equal
-neighbour are extended: every passage to the left and right that belongs to such an anchor
-is looked at, and passages with equal words are found by their hashes. Overlapping repeated
-passages of a document join into one span, which is as long as the repetition is.
+neighbour are extended to the left and right, over all passages that belong to the anchor.
+If all suffixes with that beginning extend to the same words, they are settled as a whole;
+otherwise passages with equal words are found by their hashes, one by one. Overlapping
+repeated passages of a document join into one span, as long as the repetition is.
 
 The occurrence in the document with the least id, and there the first one, is kept; all
 others are to be removed. Texts that are equal as a whole are taken once; their copies
@@ -29,19 +30,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from newslens.llm.common import materialise, slices, strings
-from newslens.llm.words import run_hashes, word_hashes
+from newslens.llm.common import materialise, mix64, slices, strings
+from newslens.llm.words import run_hashes, span_hashes, word_hashes
 
 PASSAGE = 50
 ANCHOR = 25
 #: Suffixes that begin inside a passage.
 INSIDE = PASSAGE - ANCHOR + 1
 
-ANCHORS = "id long, whole long, words int, first int, last int, keys array<long>, places array<int>"
-PASSAGES = "passage long, id long, start int, end int, again int"
+ANCHORS = "id long, whole long, words int, first int, last int, keys array<long>, regions array<long>, places array<int>"
+PASSAGES = "passage long, id long, start int, end int, again int, first_id long"
 # What a passage is within its own document: alone, the first of several, a later one.
-# If the document as a whole has copies, none of its passages is alone.
-ALONE, FIRST, LATER = 0, 1, 2
+# If the document as a whole has copies, none of its passages is alone. SETTLED marks all
+# passages of an anchor as one, whose first document is known.
+ALONE, FIRST, LATER, SETTLED = 0, 1, 2, 3
 
 
 def _with_id(documents: DataFrame, *more: str) -> DataFrame:
@@ -61,6 +63,16 @@ def anchor_of_passages(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return beginnings, views.argmin(axis=1) + np.arange(len(views))
 
 
+def region_of_anchors(words: np.ndarray, anchors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Each anchor's place, its first and last passage, and a hash of all words of these."""
+    places, first = np.unique(anchors, return_index=True)
+    last = np.append(first[1:], len(anchors)) - 1
+    # The words of a region and where the anchor stands in it.
+    size = last - first + PASSAGE
+    region = span_hashes(words, first, size) if len(places) else np.zeros(0, np.uint64)
+    return places, first, last, mix64(region + (places - first).astype(np.uint64))
+
+
 def _texts(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
     texts = strings(batch, "text")
     for a, b in slices(texts):
@@ -72,15 +84,16 @@ def _texts(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray,
 
 def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        words, starts, ends, keys, places = [], [], [], [], []
+        words, starts, ends, keys, regions, places = [], [], [], [], [], []
         for _, hashes, first, last in _texts(batch):
             beginnings, anchors = anchor_of_passages(hashes)
-            anchors = np.unique(anchors)
+            own, _, _, region = region_of_anchors(hashes, anchors)
             words.append(len(hashes))
             starts.append(int(first[0]) if len(first) else 0)
             ends.append(int(last[-1]) if len(last) else 0)
-            keys.append(beginnings[anchors].view(np.int64))
-            places.append(anchors.astype(np.int32))
+            keys.append(beginnings[own].view(np.int64))
+            regions.append(region.view(np.int64))
+            places.append(own.astype(np.int32))
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("id"),
@@ -89,37 +102,54 @@ def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.array(starts, pa.int32()),
                 pa.array(ends, pa.int32()),
                 pa.array(keys, pa.list_(pa.int64())),
+                pa.array(regions, pa.list_(pa.int64())),
                 pa.array(places, pa.list_(pa.int32())),
             ],
-            ["id", "whole", "words", "first", "last", "keys", "places"],
+            ["id", "whole", "words", "first", "last", "keys", "regions", "places"],
         )
 
 
 def _extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The passages around the anchors that have an equal elsewhere, with their characters."""
+    """The passages around the anchors that have an equal elsewhere, with their characters.
+
+    ``wanted`` holds for each such anchor its place and, if it is settled as a whole, the
+    least id among the documents that hold it.
+    """
     for batch in batches:
-        ids, wanted = batch.column("id").to_pylist(), batch.column("places").to_pylist()
-        copied = batch.column("copied").to_pylist()
+        ids, copied = batch.column("id").to_pylist(), batch.column("copied").to_pylist()
+        wanted = batch.column("wanted").to_pylist()
         for k, hashes, first, last in _texts(batch):
-            _, anchors = anchor_of_passages(hashes)
-            at = np.flatnonzero(np.isin(anchors, np.array(wanted[k], np.int64)))
-            if not len(at):
-                continue
+            beginnings, anchors = anchor_of_passages(hashes)
+            places, begin, end, _ = region_of_anchors(hashes, anchors)
+            heads = {w["place"]: w["first_id"] for w in wanted[k]}
+            # Whole regions of settled anchors; of equal ones in one document the first.
+            own = np.array([i for i, p in enumerate(places.tolist()) if heads.get(p) is not None], np.int64)
+            head = np.array([heads[int(p)] for p in places[own]], np.int64)
+            earliest = np.zeros(len(own), bool)
+            earliest[np.unique(beginnings[places[own]], return_index=True)[1]] = True
+            whole = mix64(np.array([ids[k]]).view(np.uint64) * np.uint64(31) + begin[own].astype(np.uint64)).view(np.int64)
+            # Passages of the other anchors, one by one.
+            single = np.array([p for p, h in heads.items() if h is None], np.int64)
+            at = np.flatnonzero(np.isin(anchors, single))
             passages = run_hashes(hashes, PASSAGE)[at].view(np.int64)
-            _, inverse, counts = np.unique(passages, return_inverse=True, return_counts=True)
-            earliest = np.zeros(len(at), bool)
-            earliest[np.unique(inverse, return_index=True)[1]] = True
-            alone = FIRST if copied[k] else ALONE
-            again = np.where(counts[inverse] == 1, alone, np.where(earliest, FIRST, LATER))
+            _, unique_at, inverse, counts = np.unique(passages, return_index=True, return_inverse=True, return_counts=True)
+            first_of = np.zeros(len(at), bool)
+            first_of[unique_at] = True
+            again = np.where(counts[inverse] == 1, FIRST if copied[k] else ALONE, np.where(first_of, FIRST, LATER))
+            starts, ends = np.concatenate((begin[own], at)), np.concatenate((end[own], at)) + PASSAGE - 1
+            if not len(starts):
+                continue
+            state = np.concatenate((np.where(earliest, SETTLED, SETTLED + 1), again)).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(passages, pa.int64()),
-                    pa.array(np.full(len(at), ids[k], np.int64)),
-                    pa.array(first[at].astype(np.int32)),
-                    pa.array(last[at + PASSAGE - 1].astype(np.int32)),
-                    pa.array(again.astype(np.int32)),
+                    pa.array(np.concatenate((whole, passages)), pa.int64()),
+                    pa.array(np.full(len(starts), ids[k], np.int64)),
+                    pa.array(first[starts].astype(np.int32)),
+                    pa.array(last[ends].astype(np.int32)),
+                    pa.array(state),
+                    pa.array(np.concatenate((head, np.zeros(len(at), np.int64))), pa.int64(), mask=np.arange(len(starts)) >= len(own)),
                 ],
-                ["passage", "id", "start", "end", "again"],
+                ["passage", "id", "start", "end", "again", "first_id"],
             )
 
 
@@ -147,29 +177,31 @@ def repeated_passages(documents: DataFrame) -> DataFrame:
     marked = anchored.join(wholes, "whole")
     copies = marked.where((F.col("copies") > 1) & (F.col("id") != F.col("head")))
     heads = marked.where(F.col("id") == F.col("head"))
-    # Suffixes by their beginnings; those that have an equal one.
+    # Suffixes by their beginnings; those that have an equal one, or stand in a copied text.
     copied = (F.col("copies") > 1).alias("copied")
-    suffixes = heads.select("id", "whole", copied, F.explode(F.arrays_zip("keys", "places")).alias("s")).select(
-        "id", "whole", "copied", F.col("s.keys").alias("key"), F.col("s.places").alias("place")
+    suffixes = heads.select("id", "whole", copied, F.explode(F.arrays_zip("keys", "regions", "places")).alias("s")).select(
+        "id", "whole", "copied", F.col("s.keys").alias("key"), F.col("s.regions").alias("region"), F.col("s.places").alias("place")
     )
-    shared = suffixes.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
-    equal = suffixes.where("NOT copied").join(shared, "key", "left_semi")
-    wanted = equal.groupBy("id", "whole").agg(F.collect_list("place").alias("places")).withColumn("copied", F.lit(False))
-    wanted = wanted.unionByName(heads.where("copies > 1").select("id", "whole", "places", copied))
-    found = texts.join(wanted, ["id", "whole"]).select("id", "text", "places", "copied").mapInArrow(_extend, PASSAGES)
-    found = materialise(found)
-    holders = (
-        found.where(F.col("again") != LATER).groupBy("passage").agg(F.min("id").alias("first_id"), F.count(F.lit(1)).alias("n"))
+    groups = suffixes.groupBy("key").agg(
+        F.count(F.lit(1)).alias("n"), F.min("region").alias("low"), F.max("region").alias("high"),
+        F.min("id").alias("first_id"), F.max(F.col("copied").cast("int")).alias("any_copied"),
     )
-    several = holders.where("n > 1").select("passage", "first_id")
-    known = found.join(several, "passage", "left").where(F.col("first_id").isNotNull() | (F.col("again") != ALONE))
-    spans = known.select(
-        "id",
-        ((F.col("again") != LATER) & (F.coalesce("first_id", "id") == F.col("id"))).alias("kept"),
-        "start",
-        "end",
-        F.coalesce("first_id", "id").alias("first_id"),
+    groups = groups.where("n > 1 OR any_copied = 1").select("key", F.when(F.col("low") == F.col("high"), F.col("first_id")).alias("first_id"))
+    wanted = (
+        suffixes.join(groups, "key")
+        .groupBy("id", "whole")
+        .agg(F.collect_list(F.struct("place", "first_id")).alias("wanted"), F.first("copied").alias("copied"))
+    )
+    # Made twice below, once for each use: that costs less than keeping it.
+    found = texts.join(wanted, ["id", "whole"]).select("id", "text", "wanted", "copied").mapInArrow(_extend, PASSAGES)
+    holders = (
+        found.where(F.col("again") < LATER).groupBy("passage").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("n"))
     )
+    several = holders.where("n > 1").select("passage", "least")
+    known = found.join(several, "passage", "left").where("least IS NOT NULL OR again <> 0")
+    first = F.coalesce("first_id", "least", "id")
+    inside = F.col("again").isin(LATER, SETTLED + 1)
+    spans = known.select("id", (~inside & (first == F.col("id"))).alias("kept"), "start", "end", first.alias("first_id"))
     whole_copies = copies.select("id", F.lit(False).alias("kept"), F.col("first").alias("start"), F.col("last").alias("end"), F.col("head").alias("first_id"))
     return _joined(spans.unionByName(whole_copies), ["id", "kept"]).select(F.col("id").alias("doc_id"), "start", "end", "kept", "first_doc_id")
 

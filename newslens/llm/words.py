@@ -69,6 +69,13 @@ def run_hashes(hashes: np.ndarray, n: int) -> np.ndarray:
     return mix64((running[n:] - running[:size]) * inverses[:size] * _STEP)
 
 
+def span_hashes(hashes: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Hash of ``size`` words from ``first`` on, for spans of any lengths."""
+    powers, inverses = _power_tables(len(hashes) + 1)
+    running = np.concatenate(([np.uint64(0)], np.cumsum(hashes * powers[: len(hashes)], dtype=np.uint64)))
+    return mix64((running[first + size] - running[first]) * inverses[first] * _STEP + size.astype(np.uint64))
+
+
 def shingles(words: np.ndarray, n: int) -> np.ndarray:
     """Distinct hashes of ``n`` words in a row of one text; a shorter text is one run."""
     if not len(words):
