@@ -35,6 +35,8 @@ from newslens.llm.words import run_hashes, span_hashes, word_hashes
 
 PASSAGE = 50
 ANCHOR = 25
+#: Texts with copies are broadcast up to this number, else shuffled.
+BROADCAST_TEXTS = 1_000_000
 #: Suffixes that begin inside a passage.
 INSIDE = PASSAGE - ANCHOR + 1
 
@@ -117,20 +119,24 @@ def _extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """
     for batch in batches:
         ids, copied = batch.column("id").to_pylist(), batch.column("copied").to_pylist()
-        wanted = batch.column("wanted").to_pylist()
+        wanted = batch.column("wanted")
+        borders, asked = wanted.offsets.to_numpy(), wanted.values.field("place").to_numpy(zero_copy_only=False)
+        least = wanted.values.field("first_id")
+        settled = least.is_valid().to_numpy(zero_copy_only=False)
+        least = least.fill_null(0).to_numpy(zero_copy_only=False)
         for k, hashes, first, last in _texts(batch):
             beginnings, anchors = anchor_of_passages(hashes)
             places, begin, end, _ = region_of_anchors(hashes, anchors)
-            heads = {w["place"]: w["first_id"] for w in wanted[k]}
+            part = slice(borders[k], borders[k + 1])
             # Whole regions of settled anchors; of equal ones in one document the first.
-            own = np.array([i for i, p in enumerate(places.tolist()) if heads.get(p) is not None], np.int64)
-            head = np.array([heads[int(p)] for p in places[own]], np.int64)
+            mine, head = asked[part][settled[part]], least[part][settled[part]]
+            order = np.argsort(mine, kind="stable")
+            own, head = np.searchsorted(places, mine[order]), head[order]
             earliest = np.zeros(len(own), bool)
             earliest[np.unique(beginnings[places[own]], return_index=True)[1]] = True
             whole = mix64(np.array([ids[k]]).view(np.uint64) * np.uint64(31) + begin[own].astype(np.uint64)).view(np.int64)
             # Passages of the other anchors, one by one.
-            single = np.array([p for p, h in heads.items() if h is None], np.int64)
-            at = np.flatnonzero(np.isin(anchors, single))
+            at = np.flatnonzero(np.isin(anchors, asked[part][~settled[part]]))
             passages = run_hashes(hashes, PASSAGE)[at].view(np.int64)
             _, unique_at, inverse, counts = np.unique(passages, return_index=True, return_inverse=True, return_counts=True)
             first_of = np.zeros(len(at), bool)
@@ -172,9 +178,14 @@ def repeated_passages(documents: DataFrame) -> DataFrame:
     """
     texts = _with_id(documents)
     anchored = materialise(texts.mapInArrow(_anchors, ANCHORS))
-    # One document for each whole text; the others are copies.
-    wholes = anchored.where(F.col("words") >= PASSAGE).groupBy("whole").agg(F.min("id").alias("head"), F.count(F.lit(1)).alias("copies"))
-    marked = anchored.join(wholes, "whole")
+    # One document for each whole text; the others are copies. Only texts that have copies are
+    # looked up, so that the anchors of all others stay where they are.
+    long = anchored.where(F.col("words") >= PASSAGE)
+    wholes = long.groupBy("whole").agg(F.min("id").alias("head"), F.count(F.lit(1)).alias("n"))
+    wholes = materialise(wholes.where("n > 1"))
+    few = wholes.count() <= BROADCAST_TEXTS
+    marked = long.join(F.broadcast(wholes) if few else wholes, "whole", "left")
+    marked = marked.withColumns({"copies": F.coalesce("n", F.lit(1)), "head": F.coalesce("head", "id")}).drop("n")
     copies = marked.where((F.col("copies") > 1) & (F.col("id") != F.col("head")))
     heads = marked.where(F.col("id") == F.col("head"))
     # Suffixes by their beginnings; those that have an equal one, or stand in a copied text.
