@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from newslens.session import shared_folder
 
 #: Characters of text worked on at once inside a task; longer texts are taken alone.
-BATCH_CHARS = 2_000_000
+BATCH_CHARS = 500_000
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
