@@ -48,6 +48,9 @@ RATIOS = (1.0, 1.02, 1.04, 1.06, 1.08, 1.1, 1.13, 1.16, 1.2, 1.25, 1.3, 1.4, 1.5
 #: Vectors of a list and queries that meet in one unit of work, at most about.
 CHUNK = 4096
 
+#: Queries whose best candidates a task holds before it gives them out.
+HELD_QUERIES = 20_000
+
 CANDIDATE, QUERY = 0, 1
 
 
@@ -290,9 +293,19 @@ def _place(index, sides):
 
 
 def _score(keep: int):
-    """Units come sorted, candidates before queries; per query its best candidates of the unit."""
+    """Units come sorted, candidates before queries; per query its best candidates of a task.
+
+    What the units of a task find for one query is put together before it is given out, so
+    a query yields a row per task and not one per list.
+    """
+
+    def merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+        ids, first = np.unique(np.concatenate([p[0] for p in parts]), return_index=True)
+        scores = np.concatenate([p[1] for p in parts])[first]
+        order = np.lexsort((ids, -scores))[:keep]
+        return ids[order], scores[order]
 
-    def best(unit: list[dict], fresh: list[dict]) -> Iterator[pa.RecordBatch]:
+    def best(unit: list[dict], fresh: list[dict]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         ids = np.array([r["first"] for r in unit], np.int64)
         table = np.frombuffer(b"".join(r["vec"] for r in unit), "<f8").reshape(len(unit), -1)
         for at in range(0, len(fresh), 256):
@@ -301,30 +314,43 @@ def _score(keep: int):
             kept = min(keep, len(unit))
             # All that tie with the last kept score stay in the running.
             edge = -np.partition(-scores, kept - 1, axis=1)[:, kept - 1]
-            firsts, lists, values = [], [], []
             for k, row in enumerate(part):
                 near = np.flatnonzero(scores[k] >= edge[k])
                 near = near[np.lexsort((ids[near], -scores[k][near]))][:kept]
-                firsts.append(row["first"])
-                lists.append(ids[near])
-                values.append(scores[k][near])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(firsts, pa.int64()), pa.array(lists, pa.list_(pa.int64())), pa.array(values, pa.list_(pa.float64()))],
-                ["query", "firsts", "scores"],
-            )
+                yield row["first"], ids[near], scores[k][near]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, unit, asked = None, [], []
+        held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+
+        def finish() -> None:
+            if unit and asked:
+                for query, ids, scores in best(unit, asked):
+                    parts = held.setdefault(query, [])
+                    parts.append((ids, scores))
+                    if len(parts) >= 16:
+                        held[query] = [merged(parts)]
+
+        def flush() -> pa.RecordBatch:
+            found = [merged(parts) for parts in held.values()]
+            out = pa.RecordBatch.from_arrays(
+                [pa.array(list(held), pa.int64()), pa.array([f[0] for f in found], pa.list_(pa.int64())), pa.array([f[1] for f in found], pa.list_(pa.float64()))],
+                ["query", "firsts", "scores"],
+            )
+            held.clear()
+            return out
+
         for batch in batches:
             for row in batch.to_pylist():
                 own = row["list"], row["chunk"], row["block"]
                 if own != key:
-                    if unit and asked:
-                        yield from best(unit, asked)
+                    finish()
                     key, unit, asked = own, [], []
+                    if len(held) > HELD_QUERIES:
+                        yield flush()
                 (unit if row["side"] == CANDIDATE else asked).append(row)
-        if unit and asked:
-            yield from best(unit, asked)
+        finish()
+        yield flush()
 
     return run
 
