@@ -27,7 +27,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from newslens.llm import bpe
-from newslens.llm.common import strings
+from newslens.llm.common import materialise, strings
 
 #: Ids in a block.
 BLOCK = 1 << 16
@@ -141,8 +141,10 @@ def separator_scan(
         _search(kind, separator, carry),
         f"file {types['file']}, block long, size long, places array<long>{extra}",
     )
+    # A few numbers a block, used twice below: looked for once.
+    found = materialise(found)
     run = F.floor(F.col("block") / RUN).alias("run")
-    found = found.select("*", run, F.size("places").cast("long").alias("n"), F.element_at("places", -1).alias("tail"))
+    found = found.select("*", run, F.size("places").cast("long").alias("n"), F.try_element_at("places", F.lit(-1)).alias("tail"))
     # Within a run: ids, separators and the place after the last separator so far.
     before = W.partitionBy("file", "run").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
     own = found.withColumns(
