@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from newslens.llm.common import slices, strings
 
 #: Words kept in a worker's cache; when it is full only those of the batch at hand stay.
-CACHED_WORDS = 300_000
+CACHED_WORDS = 400_000
 #: Letters up to which a failing word is merged by looking at all its pairs each time.
 SHORT_WORD = 40
 END_OF_WORD = "</w>"
@@ -241,6 +241,20 @@ class Encoder:
         return out
 
 
+def library_encode(known: Encoder, words: list[str]) -> list[list[int]]:
+    """The same by the model of the library itself, which is given words as it would cut them."""
+    tokenize, special = _library(known.path).model.tokenize, known.special
+    out = []
+    for word in words:
+        if word in special:
+            out.append([special[word]])
+            continue
+        if not (word.isascii() and word.isprintable()):
+            word = "".join([BYTE_LETTER[b] for b in word.encode("utf-8", "surrogateescape")])
+        out.append([token.id for token in tokenize(word)])
+    return out
+
+
 @lru_cache(maxsize=4)
 def encoder(path: str) -> Encoder:
     return Encoder(path)
@@ -256,8 +270,8 @@ def _library(path: str):
 class WordCache:
     """What is kept of each word: ``keep`` makes it from the encoder and the word's ids."""
 
-    def __init__(self, path: str, keep: Callable, specials: bool = True) -> None:
-        self.encoder, self.keep, self.specials = encoder(path), keep, specials
+    def __init__(self, path: str, keep: Callable, specials: bool, encode: Callable) -> None:
+        self.encoder, self.keep, self.specials, self.encode = encoder(path), keep, specials, encode
         self.kept: dict[str, object] = {}
 
     def documents(self, texts: list[str]) -> Iterator[tuple[list[str], list]]:
@@ -268,7 +282,7 @@ class WordCache:
             new = list(own - self.kept.keys())
             if len(self.kept) + len(new) > CACHED_WORDS:
                 self.kept = {w: self.kept[w] for w in own if w in self.kept}
-            self.kept.update(zip(new, (self.keep(self.encoder, ids) for ids in self.encoder.encode_words(new))))
+            self.kept.update(zip(new, (self.keep(self.encoder, ids) for ids in self.encode(self.encoder, new))))
             kept = self.kept
             for text in words:
                 yield text, [kept[w] for w in text]
@@ -277,12 +291,12 @@ class WordCache:
 _CACHES: dict[tuple, WordCache] = {}
 
 
-def cache(path: str, keep: Callable, specials: bool = True) -> WordCache:
+def cache(path: str, keep: Callable, specials: bool = True, encode: Callable = Encoder.encode_words) -> WordCache:
     """The worker's cache for a file and a kind of value; it outlives a task."""
-    key = (path, keep, specials)
+    key = (path, keep, specials, encode)
     if key not in _CACHES:
         _CACHES.clear()
-        _CACHES[key] = WordCache(path, keep, specials)
+        _CACHES[key] = WordCache(path, keep, specials, encode)
     return _CACHES[key]
 
 

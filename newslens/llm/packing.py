@@ -21,7 +21,6 @@ packed like any other; an empty table gives no rows. Extra columns are ignored.
 from __future__ import annotations
 
 import zlib
-from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,6 +37,8 @@ SEQUENCE = 2048
 SEPARATOR = 1
 SENTENCE_CUT = 4.0
 FORCED_CUT = 64.0
+#: Of the sentence ends within so many tokens of a document one is offered.
+SENTENCE_STEP = 10
 #: Places offered in a stretch without a sentence end are so many tokens apart.
 FORCED_STEP = 256
 #: Tokens of the stream that are planned at once.
@@ -71,20 +72,26 @@ def best_cuts(places: np.ndarray, costs: np.ndarray) -> list[int]:
         size *= 2
     at, price = places.tolist(), costs.tolist()
     total, came = [0.0] * n, [0] * n
-    queue: deque[tuple[float, int]] = deque([(float(at[0]), 0)])
+    # The queue: predecessors by place, with rising cost + place; those before head are too far.
+    keys, who, head = [float(at[0])], [0], 0
     for j in range(1, n):
-        low = at[j] - SEQUENCE
-        while at[queue[0][1]] < low:
-            queue.popleft()
-        best, i = queue[0][0] + SEQUENCE - at[j], queue[0][1]
-        for k in exact.get(j, ()):
-            if total[k] <= best:
-                best, i = total[k], k
-        total[j], came[j] = best + price[j], i
-        key = total[j] + at[j]
-        while queue and queue[-1][0] >= key:
-            queue.pop()
-        queue.append((key, j))
+        place = at[j]
+        low = place - SEQUENCE
+        while at[who[head]] < low:
+            head += 1
+        best, i = keys[head] + SEQUENCE - place, who[head]
+        if j in exact:
+            for k in exact[j]:
+                if total[k] <= best:
+                    best, i = total[k], k
+        best += price[j]
+        total[j], came[j] = best, i
+        best += place
+        while len(keys) > head and keys[-1] >= best:
+            keys.pop()
+            who.pop()
+        keys.append(best)
+        who.append(j)
     chain = [n - 1]
     while chain[-1]:
         chain.append(came[chain[-1]])
@@ -175,18 +182,24 @@ class Stream:
 
 def _sentence_ends(words: list[str], kept: list[bytes]) -> np.ndarray:
     """Numbers of tokens before the places after a full stop, exclamation or question mark."""
-    last = [i for i, w in enumerate(words) if "." in w or "!" in w or "?" in w]
-    if not last:
+    ends = {w for w in set(words) if "." in w or "!" in w or "?" in w}
+    if not ends:
         return np.zeros(0, np.int64)
-    tokens = np.cumsum(np.fromiter(map(len, kept), np.int64, len(kept))) // 4
-    return tokens[last]
+    last = np.fromiter(map(ends.__contains__, words), np.bool_, len(words))
+    return spaced((np.cumsum(np.fromiter(map(len, kept), np.int64, len(kept))) // 4)[last])
+
+
+def spaced(places: np.ndarray) -> np.ndarray:
+    """The first of rising places in each stretch of ``SENTENCE_STEP``."""
+    stretch = places // SENTENCE_STEP
+    return places[np.diff(stretch, prepend=-1) > 0]
 
 
 def pack(documents: DataFrame, path: str) -> DataFrame:
     """One row per piece of a document, with the sequence and the offset it stands at."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = bpe.cache(path, bpe.id_bytes)
+        known = bpe.cache(path, bpe.id_bytes, encode=bpe.library_encode)
         stream = Stream(TaskContext.get().partitionId() << 32)
         end = np.array([SEPARATOR], "<u4").tobytes()
         for batch in batches:
