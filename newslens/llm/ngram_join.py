@@ -14,14 +14,16 @@ per node, not per pair: the number of documents it is linked with there, and one
 it is connected with. So no pair is ever a row, a cluster of any size is spread over many
 tasks, and no link within a cluster is lost.
 
-Defined cases: a null or empty text has the empty set, and those documents are copies of
-one another; a text shorter than a run is one run; rows with a null or repeated id keep
+Defined cases: null, empty and blank texts are copies of one another; any other text without
+a word (of symbols only) is like no other but those that differ from it in white space
+alone; a text shorter than a run is one run; rows with a null or repeated id keep
 their own rows (a null id never names a class unless all ids of the class are null); an
 empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -79,6 +81,14 @@ def node_of(runs: np.ndarray) -> int:
     return int(mix64(both).view(np.int64)[0])
 
 
+def node_of_text(text: str, runs: np.ndarray) -> int:
+    """The number of the text's set; of the text itself, but for white space, if it has no word."""
+    written = "" if len(runs) else " ".join(text.split())
+    if not written:
+        return node_of(runs)
+    return int.from_bytes(hashlib.blake2b(written.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+
+
 def path_keys(least: np.ndarray, trees: int) -> np.ndarray:
     """One number per trie for the prefix found there."""
     steps = least.reshape(trees, -1).astype(np.uint64)
@@ -117,8 +127,9 @@ def signatures(documents: DataFrame) -> DataFrame:
         masks, odds = _hash_family(TREES * length)
         for batch in batches:
             nodes, sizes, paths = [], [], []
-            for runs in _runs_of(strings(batch, "text")):
-                nodes.append(node_of(runs))
+            texts = strings(batch, "text")
+            for text, runs in zip(texts, _runs_of(texts)):
+                nodes.append(node_of_text(text, runs))
                 sizes.append(len(runs))
                 paths.append(path_keys(minhash(runs, masks, odds), TREES) if len(runs) else [])
             yield pa.RecordBatch.from_arrays(

@@ -19,6 +19,7 @@ def _word_characters() -> np.ndarray:
     return np.frombuffer(bytes(chr(i).isalnum() or chr(i) == "_" for i in range(0x10000)), np.bool_)
 
 
+#: For each character of the first plane: is it part of a word?
 WORD_CHARACTER = _word_characters()
 _powers = np.ones(1, np.uint64)
 _inverses = np.ones(1, np.uint64)
@@ -38,6 +39,16 @@ def lowered(text: str) -> str:
     return text.replace("İ", "i").lower()
 
 
+def in_words(codes: np.ndarray) -> np.ndarray:
+    """For each character: is it part of a word? Those beyond the first plane are looked up one by one."""
+    flags = WORD_CHARACTER[np.minimum(codes, 0xFFFF)]
+    beyond = np.flatnonzero(codes > 0xFFFF)
+    if len(beyond):
+        distinct, inverse = np.unique(codes[beyond], return_inverse=True)
+        flags[beyond] = np.array([chr(c).isalnum() for c in distinct.tolist()], np.bool_)[inverse]
+    return flags
+
+
 def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """All words of the texts: hash, first and last + 1 character; and where each text's words begin.
 
@@ -47,7 +58,7 @@ def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, n
     if not len(codes):
         none = np.zeros(0, np.int64)
         return none.astype(np.uint64), none, none, np.zeros(len(texts) + 1, np.int64)
-    inside = WORD_CHARACTER[np.minimum(codes, 0xFFFF)]
+    inside = in_words(codes)
     change = np.diff(inside.astype(np.int8), prepend=0, append=0)
     first, last = np.flatnonzero(change == 1), np.flatnonzero(change == -1)
     powers, inverses = _power_tables(len(codes))

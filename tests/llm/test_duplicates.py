@@ -87,6 +87,22 @@ def test_keep_one_of_each_class(spark, odd, empty):
     assert ngram_join.keep_one(empty).count() == 0
 
 
+def test_letters_beyond_the_first_plane_are_words(spark):
+    head = "notice of the day"
+    rare = ["".join(chr(0x20000 + 40 * k + j) for j in range(6)) for k in range(8)]
+    rows = [(k, f"{head} {' '.join(rare[k:] + rare[:k])} 𝐚𝐛{chr(0x1D41A + k)}") for k in range(6)]
+    rows += [(10 + k, rare[k]) for k in range(3)] + [(20, rare[0])]
+    assert found_classes(ngram_join.near_duplicates(frame(spark, rows))) == brute_classes(rows)
+    assert sorted(r["doc_id"] for r in ngram_join.keep_one(frame(spark, rows)).collect()) == [*range(6), 10, 11, 12]
+
+
+def test_texts_without_words_stay_apart(spark):
+    rows = [(1, "😀"), (2, "😀 🎉"), (3, " 😀\n"), (4, "--- ***"), (5, ""), (6, None), (7, " \t"), (8, "!?")]
+    assert sorted(r["doc_id"] for r in ngram_join.keep_one(frame(spark, rows)).collect()) == [1, 2, 4, 5, 8]
+    links = {r["doc_id"]: r["n_links"] for r in ngram_join.near_duplicates(frame(spark, rows)).collect()}
+    assert links == {1: 1, 2: 0, 3: 1, 4: 0, 5: 2, 6: 2, 7: 2, 8: 0}
+
+
 def test_repeated_id_with_other_text_stays(spark):
     rows = [(1, sentence(1, 40)), (1, sentence(2, 40)), (2, sentence(2, 40)), (1, sentence(1, 40))]
     kept = sorted(r["text"] for r in ngram_join.keep_one(frame(spark, rows)).collect())
@@ -180,6 +196,16 @@ def test_passages_of_51_words_are_found(spark):
     assert {i for i, *_ in want} == {*range(12), 60, 61}
 
 
+def test_passages_with_letters_beyond_the_first_plane(spark):
+    words = sentence(70, 60).split()
+    mixed = lambda at: " ".join(f"{w} {chr(0x20000 + at + k)}" for k, w in enumerate(words))
+    rare = " ".join(chr(0x20500 + k) for k in range(55))
+    rows = [(1, mixed(0)), (2, mixed(100)), (3, rare + " one"), (4, "two " + rare)]
+    want = brute_spans(rows)
+    assert found_spans(suffix_dedup.repeated_passages(frame(spark, rows))) == want
+    assert {i for i, *_ in want} == {3, 4}
+
+
 def test_removal_keeps_the_first(spark, odd, empty):
     passage = sentence(70, 60)
     rows = [(1, f"Start. {passage} end"), (2, f"é {passage}, more"), (3, passage), (4, "plain"), (5, None)]
