@@ -15,8 +15,9 @@ are spans from end to end.
 
 Defined cases: null and empty texts and texts of fewer words than a passage have no spans;
 a document without an id is reported under a number from 2^62 on, made from its text; under a
-repeated id each text counts for itself and the spans are of both; a passage that overlaps
-its own repetition is kept once; an empty table gives no rows; extra columns are kept by
+repeated id each text counts for itself and has its own spans, and of two of them that hold a
+passage the one with the lesser text hash is the first; a passage that overlaps its own
+repetition is kept once; an empty table gives no rows; extra columns are kept by
 ``remove_repeats`` and ignored by the others.
 """
 
@@ -41,19 +42,26 @@ BROADCAST_TEXTS = 1_000_000
 INSIDE = PASSAGE - ANCHOR + 1
 
 ANCHORS = "id long, whole long, words int, first int, last int, keys array<long>, regions array<long>, places array<int>"
-PASSAGES = "passage long, id long, start int, end int, again int, first_id long"
+PASSAGES = "passage long, id long, whole long, start int, end int, again int, first_id long"
 # What a passage is within its own document: alone, the first of several, a later one.
 # If the document as a whole has copies, none of its passages is alone. SETTLED marks all
-# passages of an anchor as one, whose first document is known.
+# passages of an anchor as one, whose first document is known, in that document; the number
+# after it in all others.
 ALONE, FIRST, LATER, SETTLED = 0, 1, 2, 3
 
 
-def _with_id(documents: DataFrame, *more: str) -> DataFrame:
-    """(id, whole, text): ``whole`` is a hash of the text."""
+def _keys() -> tuple[Column, Column]:
+    """The id, or a number made from the text, and a hash of the text."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     made = F.shiftrightunsigned(F.xxhash64(text), 2).bitwiseOR(F.lit(1 << 62))
-    number = F.coalesce(F.col("doc_id").cast("long"), made)
-    return documents.select(number.alias("id"), F.xxhash64(text, F.length(text)).alias("whole"), text.alias("text"), *more)
+    return F.coalesce(F.col("doc_id").cast("long"), made), F.xxhash64(text, F.length(text))
+
+
+def _with_id(documents: DataFrame) -> DataFrame:
+    """(id, whole, text): ``whole`` is a hash of the text."""
+    number, whole = _keys()
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    return documents.select(number.alias("id"), whole.alias("whole"), text.alias("text"))
 
 
 def anchor_of_passages(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -115,26 +123,28 @@ def _extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The passages around the anchors that have an equal elsewhere, with their characters.
 
     ``wanted`` holds for each such anchor its place and, if it is settled as a whole, the
-    least id among the documents that hold it.
+    least id among the documents that hold it and whether this document is the first of them.
     """
     for batch in batches:
-        ids, copied = batch.column("id").to_pylist(), batch.column("copied").to_pylist()
+        ids, wholes, copied = (batch.column(c).to_pylist() for c in ("id", "whole", "copied"))
         wanted = batch.column("wanted")
         borders, asked = wanted.offsets.to_numpy(), wanted.values.field("place").to_numpy(zero_copy_only=False)
         least = wanted.values.field("first_id")
         settled = least.is_valid().to_numpy(zero_copy_only=False)
         least = least.fill_null(0).to_numpy(zero_copy_only=False)
+        heads = wanted.values.field("is_first").fill_null(False).to_numpy(zero_copy_only=False)
         for k, hashes, first, last in _texts(batch):
             beginnings, anchors = anchor_of_passages(hashes)
             places, begin, end, _ = region_of_anchors(hashes, anchors)
             part = slice(borders[k], borders[k + 1])
             # Whole regions of settled anchors; of equal ones in one document the first.
-            mine, head = asked[part][settled[part]], least[part][settled[part]]
+            mine, head, is_first = (x[part][settled[part]] for x in (asked, least, heads))
             order = np.argsort(mine, kind="stable")
-            own, head = np.searchsorted(places, mine[order]), head[order]
+            own, head, is_first = np.searchsorted(places, mine[order]), head[order], is_first[order]
             earliest = np.zeros(len(own), bool)
             earliest[np.unique(beginnings[places[own]], return_index=True)[1]] = True
-            whole = mix64(np.array([ids[k]]).view(np.uint64) * np.uint64(31) + begin[own].astype(np.uint64)).view(np.int64)
+            document = mix64(np.array([ids[k]], np.int64).view(np.uint64)) + np.array([wholes[k]], np.int64).view(np.uint64)
+            regions = mix64(document * np.uint64(31) + begin[own].astype(np.uint64)).view(np.int64)
             # Passages of the other anchors, one by one.
             at = np.flatnonzero(np.isin(anchors, asked[part][~settled[part]]))
             passages = run_hashes(hashes, PASSAGE)[at].view(np.int64)
@@ -145,17 +155,18 @@ def _extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             starts, ends = np.concatenate((begin[own], at)), np.concatenate((end[own], at)) + PASSAGE - 1
             if not len(starts):
                 continue
-            state = np.concatenate((np.where(earliest, SETTLED, SETTLED + 1), again)).astype(np.int32)
+            state = np.concatenate((np.where(earliest & is_first, SETTLED, SETTLED + 1), again)).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.concatenate((whole, passages)), pa.int64()),
+                    pa.array(np.concatenate((regions, passages)), pa.int64()),
                     pa.array(np.full(len(starts), ids[k], np.int64)),
+                    pa.array(np.full(len(starts), wholes[k], np.int64)),
                     pa.array(first[starts].astype(np.int32)),
                     pa.array(last[ends].astype(np.int32)),
                     pa.array(state),
                     pa.array(np.concatenate((head, np.zeros(len(at), np.int64))), pa.int64(), mask=np.arange(len(starts)) >= len(own)),
                 ],
-                ["passage", "id", "start", "end", "again", "first_id"],
+                ["passage", "id", "whole", "start", "end", "again", "first_id"],
             )
 
 
@@ -170,12 +181,8 @@ def _joined(spans: DataFrame, keys: list[str]) -> DataFrame:
     ).drop("number")
 
 
-def repeated_passages(documents: DataFrame) -> DataFrame:
-    """(doc_id, start, end, kept, first_doc_id): spans of characters that also stand elsewhere.
-
-    ``kept`` tells the first occurrence from those to be removed; ``first_doc_id`` is the
-    least id among the documents that hold a passage of the span.
-    """
+def _spans(documents: DataFrame) -> DataFrame:
+    """(id, whole, start, end, kept, first_doc_id): the spans of each text."""
     texts = _with_id(documents)
     anchored = materialise(texts.mapInArrow(_anchors, ANCHORS))
     # One document for each whole text; the others are copies. Only texts that have copies are
@@ -195,26 +202,38 @@ def repeated_passages(documents: DataFrame) -> DataFrame:
     )
     groups = suffixes.groupBy("key").agg(
         F.count(F.lit(1)).alias("n"), F.min("region").alias("low"), F.max("region").alias("high"),
-        F.min("id").alias("first_id"), F.max(F.col("copied").cast("int")).alias("any_copied"),
+        F.min(F.struct("id", "whole")).alias("least"), F.max(F.col("copied").cast("int")).alias("any_copied"),
     )
-    groups = groups.where("n > 1 OR any_copied = 1").select("key", F.when(F.col("low") == F.col("high"), F.col("first_id")).alias("first_id"))
+    groups = groups.where("n > 1 OR any_copied = 1").select("key", F.when(F.col("low") == F.col("high"), F.col("least")).alias("least"))
+    # The head of a text is one document, so its hash tells whether it is the first.
+    place = F.struct("place", F.col("least.id").alias("first_id"), (F.col("least.whole") == F.col("whole")).alias("is_first"))
     wanted = (
         suffixes.join(groups, "key")
         .groupBy("id", "whole")
-        .agg(F.collect_list(F.struct("place", "first_id")).alias("wanted"), F.first("copied").alias("copied"))
+        .agg(F.collect_list(place).alias("wanted"), F.first("copied").alias("copied"))
     )
     # Made twice below, once for each use: that costs less than keeping it.
-    found = texts.join(wanted, ["id", "whole"]).select("id", "text", "wanted", "copied").mapInArrow(_extend, PASSAGES)
-    holders = (
-        found.where(F.col("again") < LATER).groupBy("passage").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("n"))
+    found = texts.join(wanted, ["id", "whole"]).select("id", "whole", "text", "wanted", "copied").mapInArrow(_extend, PASSAGES)
+    holders = found.where(F.col("again") < LATER).groupBy("passage").agg(
+        F.min(F.struct("id", "whole")).alias("least"), F.count(F.lit(1)).alias("n")
     )
     several = holders.where("n > 1").select("passage", "least")
     known = found.join(several, "passage", "left").where("least IS NOT NULL OR again <> 0")
-    first = F.coalesce("first_id", "least", "id")
-    inside = F.col("again").isin(LATER, SETTLED + 1)
-    spans = known.select("id", (~inside & (first == F.col("id"))).alias("kept"), "start", "end", first.alias("first_id"))
-    whole_copies = copies.select("id", F.lit(False).alias("kept"), F.col("first").alias("start"), F.col("last").alias("end"), F.col("head").alias("first_id"))
-    return _joined(spans.unionByName(whole_copies), ["id", "kept"]).select(F.col("id").alias("doc_id"), "start", "end", "kept", "first_doc_id")
+    first = F.coalesce("first_id", "least.id", "id")
+    is_first = (F.col("again") < LATER) & F.coalesce(F.col("least.whole") == F.col("whole"), F.lit(True))
+    kept = ((F.col("again") == SETTLED) | is_first).alias("kept")
+    spans = known.select("id", "whole", kept, "start", "end", first.alias("first_id"))
+    whole_copies = copies.select("id", "whole", F.lit(False).alias("kept"), F.col("first").alias("start"), F.col("last").alias("end"), F.col("head").alias("first_id"))
+    return _joined(spans.unionByName(whole_copies), ["id", "whole", "kept"])
+
+
+def repeated_passages(documents: DataFrame) -> DataFrame:
+    """(doc_id, start, end, kept, first_doc_id): spans of characters that also stand elsewhere.
+
+    ``kept`` tells the first occurrence from those to be removed; ``first_doc_id`` is the
+    least id among the documents that hold a passage of the span.
+    """
+    return _spans(documents).select(F.col("id").alias("doc_id"), "start", "end", "kept", "first_doc_id")
 
 
 def without(text: str, spans: str) -> Column:
@@ -231,12 +250,13 @@ def remove_repeats(documents: DataFrame) -> DataFrame:
 
     ``n_chars`` follows the text if there is such a column; all other columns stay.
     """
-    cut = repeated_passages(documents).where(~F.col("kept"))
-    cuts = cut.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans_to_cut"))
-    cuts = cuts.withColumnRenamed("doc_id", "id_to_cut")
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    made = F.shiftrightunsigned(F.xxhash64(text), 2).bitwiseOR(F.lit(1 << 62))
-    joined = documents.withColumn("id_to_cut", F.coalesce(F.col("doc_id").cast("long"), made)).join(cuts, "id_to_cut", "left")
+    cut = _spans(documents).where(~F.col("kept"))
+    cuts = cut.groupBy(F.col("id").alias("id_to_cut"), F.col("whole").alias("text_to_cut")).agg(
+        F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans_to_cut")
+    )
+    number, whole = _keys()
+    marked = documents.withColumns({"id_to_cut": number, "text_to_cut": whole})
+    joined = marked.join(cuts, ["id_to_cut", "text_to_cut"], "left")
     left = F.when(F.col("spans_to_cut").isNull(), F.col("text")).otherwise(without("text", "spans_to_cut"))
     columns = [left.alias("text") if c == "text" else F.col(c) for c in documents.columns]
     out = joined.select(*columns)

@@ -220,6 +220,22 @@ def test_removal_keeps_the_first(spark, odd, empty):
     assert suffix_dedup.repeated_passages(empty).count() == 0
 
 
+def test_spans_of_one_text_do_not_cut_another_under_its_id(spark):
+    passage, other = sentence(70, 60), sentence(71, 60)
+    clean = sentence(72, 200)
+    rows = [
+        (1, f"Start {passage} end"), (5, f"Here {passage} stands"), (5, clean), (5, f"{sentence(73, 20)} {other}"), (5, f"Now {other} ends"),
+        (None, f"{sentence(74, 15)} {passage}"), (7, clean + " more"),
+    ]
+    left = [r["text"] for r in suffix_dedup.remove_repeats(frame(spark, rows)).collect()]
+    # Texts that stand first are whole; every passage is left once.
+    assert rows[0][1] in left and clean in left and " more" in left
+    core = " ".join(passage.split()[:59])
+    assert sum(core in t for t in left) == 1 and sum(" ".join(other.split()[:59]) in t for t in left) == 1
+    assert "Here . stands" in left and len(left) == len(rows)
+    assert (rows[3][1] in left) != (rows[4][1] in left)
+
+
 def test_hashes_of_runs_do_not_depend_on_place():
     hashes, first, last, borders = word_hashes(["a bb ccc dd e", "zz a BB, ccc; dd e", ""])
     one, two = hashes[: borders[1]], hashes[borders[1] : borders[2]]
