@@ -9,9 +9,9 @@ stand together under a prefix are linked to one of them, not with each other, an
 nodes form clusters.
 
 Within a cluster every pair of nodes is compared exactly. A cluster is cut into blocks of
-a bounded number of runs; each pair of blocks is one unit of work, whose result is one row
+a bounded number of runs and nodes; each pair of blocks is one unit of work, whose result is one row
 per node, not per pair: the number of documents it is linked with there, and one node that
-it is connected with. So no pair is ever a row, a cluster of any size is spread over many
+it is connected with. A task counts shared runs for a strip of nodes at a time. So no pair is ever a row, a cluster of any size is spread over many
 tasks, and no link within a cluster is lost.
 
 Defined cases: null, empty and blank texts are copies of one another; any other text without
@@ -42,8 +42,14 @@ LONGEST = 12
 RECALL = 0.995
 #: Runs of words in a block of a cluster, about.
 BLOCK_RUNS = 300_000
+#: Nodes in a block of a cluster, about.
+BLOCK_NODES = 2000
 #: Runs shared by more nodes of a block pair than this are counted by matrix products.
 FEW = 8
+#: Pairs of nodes whose shared runs are counted at once.
+STRIP = 2_000_000
+#: Runs that are columns of a matrix product at once.
+COLUMNS = 1024
 
 SIGNATURES = "doc_id long, id long, whole long, node long, size int, paths array<long>"
 BLOCKS = "unit long, cluster long, i int, j int, block int, node long, copies long, runs binary"
@@ -190,32 +196,55 @@ def block_pairs(documents: DataFrame, members: DataFrame) -> DataFrame:
     return joined.select("text", "node", "cluster", "copies", "block", "blocks").mapInArrow(run, BLOCKS)
 
 
+class Held:
+    """The runs that several of the sets hold, and who holds them."""
+
+    def __init__(self, sets: list[np.ndarray]) -> None:
+        self.n = n = len(sets)
+        owner = np.repeat(np.arange(n), [len(s) for s in sets])
+        values = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
+        order = np.argsort(values, kind="stable")
+        values, owner = values[order], owner[order]
+        starts = np.flatnonzero(np.concatenate(([True], values[1:] != values[:-1]))) if len(values) else np.zeros(0, np.int64)
+        held = np.diff(np.append(starts, len(values)))
+        # Each ordered pair of holders of a run that few hold, as one number.
+        pairs = []
+        for c in range(2, min(FEW, n) + 1):
+            rows = owner[starts[held == c][:, None] + np.arange(c)]
+            pairs += [rows[:, a] * n + rows[:, b] for a in range(c) for b in range(c) if a != b]
+        self.pairs = np.sort(np.concatenate(pairs)) if pairs else np.zeros(0, np.int64)
+        # Holders and columns of the runs that many hold.
+        many = np.flatnonzero(held > FEW)
+        self.parts = []
+        for at in range(0, len(many), COLUMNS):
+            part = many[at : at + COLUMNS]
+            column = np.repeat(np.arange(len(part)), held[part])
+            places = np.repeat(starts[part], held[part]) + np.arange(len(column)) - np.repeat(np.cumsum(held[part]) - held[part], held[part])
+            self.parts.append((owner[places], column, len(part)))
+
+    def counts(self, a: int, b: int) -> np.ndarray:
+        """How many elements the sets from ``a`` to ``b`` have in common with each set; its own size is left open."""
+        n = self.n
+        low, high = np.searchsorted(self.pairs, [a * n, b * n])
+        counts = np.bincount(self.pairs[low:high] - a * n, minlength=(b - a) * n).reshape(b - a, n).astype(np.int32)
+        for owner, column, width in self.parts:
+            marks = np.zeros((n, width), np.float32)
+            marks[owner, column] = 1
+            counts += (marks[a:b] @ marks.T).astype(np.int32)
+        return counts
+
+
+def strips(n: int) -> Iterator[tuple[int, int]]:
+    """Ranges of rows of a matrix of n x n with at most ``STRIP`` cells, or one row."""
+    size = max(1, STRIP // max(1, n))
+    for a in range(0, n, size):
+        yield a, min(a + size, n)
+
+
 def shared_counts(sets: list[np.ndarray]) -> np.ndarray:
     """How many elements each two of the sets have in common."""
-    n = len(sets)
-    owner = np.repeat(np.arange(n), [len(s) for s in sets])
-    values = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
-    order = np.argsort(values, kind="stable")
-    values, owner = values[order], owner[order]
-    starts = np.flatnonzero(np.concatenate(([True], values[1:] != values[:-1]))) if len(values) else np.zeros(0, np.int64)
-    held = np.diff(np.append(starts, len(values)))
-    counts = np.zeros((n, n), np.int32)
-    for c in range(2, min(FEW, n) + 1):
-        rows = owner[starts[held == c][:, None] + np.arange(c)]
-        if not len(rows):
-            continue
-        for a in range(c):
-            for b in range(a + 1, c):
-                counts += np.bincount(rows[:, a] * n + rows[:, b], minlength=n * n).reshape(n, n).astype(np.int32)
-    many = np.flatnonzero(held > FEW)
-    for at in range(0, len(many), 4096):
-        part = many[at : at + 4096]
-        column = np.repeat(np.arange(len(part)), held[part])
-        places = np.repeat(starts[part], held[part]) + np.arange(len(column)) - np.repeat(np.cumsum(held[part]) - held[part], held[part])
-        marks = np.zeros((n, len(part)), np.float32)
-        marks[owner[places], column] = 1
-        counts += np.triu(marks @ marks.T, 1).astype(np.int32)
-    return counts + counts.T
+    held = Held(sets)
+    return np.concatenate([held.counts(a, b) for a, b in strips(len(sets))])
 
 
 def compare(rows: list[dict], threshold: float = THRESHOLD) -> list[tuple[int, int, int]]:
@@ -223,19 +252,25 @@ def compare(rows: list[dict], threshold: float = THRESHOLD) -> list[tuple[int, i
     rows = list({r["node"]: r for r in rows}.values())
     sets = [np.frombuffer(r["runs"], np.uint64) for r in rows]
     sizes = np.array([len(s) for s in sets])
-    shared = shared_counts(sets)
-    linked = (1 + threshold) * shared >= threshold * (sizes[:, None] + sizes[None, :]) - 1e-9
+    block = np.array([r["block"] for r in rows])
+    apart = bool(rows) and rows[0]["i"] != rows[0]["j"]
+    linked = np.zeros((len(rows), len(rows)), np.bool_)
+    held = Held(sets)
+    for a, b in strips(len(rows)):
+        linked[a:b] = (1 + threshold) * held.counts(a, b) >= threshold * (sizes[a:b, None] + sizes[None, :]) - 1e-9
+        if apart:
+            linked[a:b] &= block[a:b, None] != block[None, :]
     np.fill_diagonal(linked, False)
-    if rows and rows[0]["i"] != rows[0]["j"]:
-        block = np.array([r["block"] for r in rows])
-        linked &= block[:, None] != block[None, :]
     copies = np.array([r["copies"] for r in rows], np.int64)
-    links = linked @ copies
+    links = np.array([copies[own].sum() for own in linked], np.int64)
     order = np.argsort([r["node"] for r in rows], kind="stable")
     rank = np.empty(len(rows), np.int64)
     rank[order] = np.arange(len(rows))
     while True:
-        least = np.minimum(rank, np.where(linked, rank[None, :], len(rows)).min(axis=1, initial=len(rows)))
+        least = rank.copy()
+        for a, b in strips(len(rows)):
+            near = np.where(linked[a:b], rank[None, :], len(rows)).min(axis=1, initial=len(rows))
+            np.minimum(rank[a:b], near, out=least[a:b])
         if (least == rank).all():
             break
         rank = least
@@ -278,7 +313,8 @@ def classes(documents: DataFrame) -> DataFrame:
     )
     nodes = materialise(nodes)
     grouped = materialise(clusters(nodes.select("node", "paths")).join(nodes.select("node", "id", "copies", "size"), "node"))
-    sizes = grouped.groupBy("cluster").agg(F.greatest(F.lit(1), F.ceil(F.sum("size") / BLOCK_RUNS)).cast("int").alias("blocks"))
+    needed = F.greatest(F.ceil(F.sum("size") / BLOCK_RUNS), F.ceil(F.count(F.lit(1)) / BLOCK_NODES))
+    sizes = grouped.groupBy("cluster").agg(F.greatest(F.lit(1), needed).cast("int").alias("blocks"))
     block = F.pmod(F.xxhash64("node"), F.col("blocks").cast("long")).cast("int")
     members = grouped.join(sizes, "cluster").select("id", "node", "cluster", "copies", block.alias("block"), "blocks")
     units = block_pairs(documents, members).repartition("unit").sortWithinPartitions("unit", "cluster", "i", "j")

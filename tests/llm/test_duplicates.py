@@ -2,6 +2,7 @@
 
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -72,6 +73,34 @@ def test_group_of_near_copies_over_many_blocks(spark, monkeypatch):
     assert found_classes(ngram_join.near_duplicates(frame(spark, rows))) == brute_classes(rows)
 
 
+def test_group_of_many_short_texts_over_blocks_of_nodes(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "BLOCK_NODES", 20)
+    monkeypatch.setattr(ngram_join, "STRIP", 100)
+    base = sentence(6, 30).split()
+    rows = [(k, " ".join(base[:29] + [f"no{k % 75}", "x" * (k % 2)])) for k in range(150)] + [(500, "a b")]
+    assert found_classes(ngram_join.near_duplicates(frame(spark, rows))) == brute_classes(rows)
+    blocks = []
+    monkeypatch.setattr(ngram_join, "block_pairs", lambda d, members: blocks.extend(members.collect()) or 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        ngram_join.near_duplicates(frame(spark, rows))
+    assert len({r["block"] for r in blocks}) > 3
+
+
+def test_memory_of_a_block_pair_of_short_texts():
+    random_ = np.random.default_rng(3)
+    common = random_.integers(0, 2**63, 22).astype(np.uint64)
+    rows = [
+        {"node": k, "copies": 1, "i": 0, "j": 1, "block": k % 2, "runs": np.r_[common, random_.integers(0, 2**63, 4).astype(np.uint64)].tobytes()}
+        for k in range(4000)
+    ]
+    tracemalloc.start()
+    found = ngram_join.compare(rows, 0.6)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == [(k, 0, 2000) for k in range(4000)]
+    assert peak < 150e6
+
+
 def test_ngram_odd_documents(spark, odd, empty):
     rows = [(r["doc_id"], r["text"]) for r in odd.select("doc_id", "text").collect()]
     assert found_classes(ngram_join.near_duplicates(odd)) == brute_classes(rows)
