@@ -20,6 +20,7 @@ packed like any other; an empty table gives no rows. Extra columns are ignored.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -37,8 +38,8 @@ SEQUENCE = 2048
 SEPARATOR = 1
 SENTENCE_CUT = 4.0
 FORCED_CUT = 64.0
-#: Of the sentence ends within so many tokens of a document one is offered.
-SENTENCE_STEP = 10
+#: What ends a sentence, in any script.
+FULL_STOP = re.compile("[.!?\u0589\u061d\u061f\u06d4\u0700-\u0702\u0964\u0965\u104a\u104b\u1362\u1367\u1368\u17d4\u17d5\u1803\u1809\u203c\u203d\u2047-\u2049\u3002\ufe52\ufe56\ufe57\uff01\uff0e\uff1f\uff61]")
 #: Places offered in a stretch without a sentence end are so many tokens apart.
 FORCED_STEP = 256
 #: Tokens of the stream that are planned at once.
@@ -182,17 +183,11 @@ class Stream:
 
 def _sentence_ends(words: list[str], kept: list[bytes]) -> np.ndarray:
     """Numbers of tokens before the places after a full stop, exclamation or question mark."""
-    ends = {w for w in set(words) if "." in w or "!" in w or "?" in w}
+    ends = set(filter(FULL_STOP.search, set(words)))
     if not ends:
         return np.zeros(0, np.int64)
     last = np.fromiter(map(ends.__contains__, words), np.bool_, len(words))
-    return spaced((np.cumsum(np.fromiter(map(len, kept), np.int64, len(kept))) // 4)[last])
-
-
-def spaced(places: np.ndarray) -> np.ndarray:
-    """The first of rising places in each stretch of ``SENTENCE_STEP``."""
-    stretch = places // SENTENCE_STEP
-    return places[np.diff(stretch, prepend=-1) > 0]
+    return (np.cumsum(np.fromiter(map(len, kept), np.int64, len(kept))) // 4)[last]
 
 
 def pack(documents: DataFrame, path: str) -> DataFrame:

@@ -144,6 +144,15 @@ def test_cuts_are_the_cheapest():
         assert price == pytest.approx(best[len(places) - 1])
 
 
+@pytest.mark.parametrize("mark", [".", "!", "?", "。", "।", "؟", "۔", "！", "።"])
+def test_every_sentence_end_is_offered(mark):
+    known = bpe.WordCache(vocabulary(), bpe.id_bytes, True, bpe.library_encode)
+    ((words, kept),) = known.documents([f"go {mark} " * 30])
+    places = packing._sentence_ends(words, kept).tolist()
+    lengths = np.cumsum([len(k) // 4 for k in kept]).tolist()
+    assert places == [n for w, n in zip(words, lengths) if mark in w] and len(places) == 30
+
+
 def test_long_stretch_without_sentences():
     places, costs = packing.offered_places(np.array([10_000]), np.zeros(0, np.int64))
     assert np.diff(places).max() <= packing.SEQUENCE and costs.max() == packing.FORCED_CUT
