@@ -1,10 +1,11 @@
-"""Near-duplicate documents: an LSH forest over MinHash signatures, then exact Jaccard.
+"""Near-duplicate documents: fixed bands of MinHash signatures, then exact Jaccard.
 
 A document is the set of its runs of five words. Documents with the same set are one node;
-copies are counted, never paired. Each node has a path in each of ``TREES`` tries, whose
-steps are MinHash values. Two sets of likeness s share a prefix of d steps with
-probability s^d; starting from ``LONGEST`` steps, prefixes are shortened until two sets
-exactly at the threshold meet in some trie with probability ``RECALL`` or more. Nodes that
+copies are counted, never paired. Each node has ``TREES`` paths, whose steps are MinHash
+values. Two sets of likeness s share a path of d steps with probability s^d; d is the
+same for all data: the most steps, up to ``LONGEST``, with which two sets exactly at the
+threshold share some path with probability ``RECALL`` or more. This stands in for a forest
+of sorted tries, whose prefixes would be shortened where too few meet. Nodes that
 stand together under a prefix are linked to one of them, not with each other, and linked
 nodes form clusters.
 
@@ -12,7 +13,8 @@ Within a cluster every pair of nodes is compared exactly. A cluster is cut into
 a bounded number of runs and nodes; each pair of blocks is one unit of work, whose result is one row
 per node, not per pair: the number of documents it is linked with there, and one node that
 it is connected with. A task counts shared runs for a strip of nodes at a time. So no pair is ever a row, a cluster of any size is spread over many
-tasks, and no link within a cluster is lost.
+tasks, and no link within a cluster is lost; two sets that share no path are compared only
+if other links bring them into one cluster.
 
 Defined cases: null, empty and blank texts are copies of one another; any other text without
 a word (of symbols only) is like no other but those that differ from it in white space
