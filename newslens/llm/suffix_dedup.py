@@ -3,8 +3,8 @@
 A passage is ``PASSAGE`` words in a row. Of the ``ANCHOR``-word beginnings of the suffixes
 inside each passage the one with the least hash is its anchor, so that two equal passages
 have equal anchors at the same place, and only about one suffix in thirteen is kept.
-The kept suffixes are brought together by their beginnings, and those that have an equal
-neighbour are extended to the left and right, over all passages that belong to the anchor.
+The kept suffixes are grouped by a hash of their beginnings, which replaces the sort of a
+suffix array, and those whose beginning stands elsewhere too are extended to the left and right, over all passages that belong to the anchor.
 If all suffixes with that beginning extend to the same words, they are settled as a whole;
 otherwise passages with equal words are found by their hashes, one by one. Overlapping
 repeated passages of a document join into one span, as long as the repetition is.
