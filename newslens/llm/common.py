@@ -62,12 +62,17 @@ def label_sample(labels: DataFrame, name: str, keep: Column, bound: int) -> Data
 
 
 def labelled_texts(documents: DataFrame, sample: DataFrame) -> DataFrame:
-    """(doc_id, text, label) of a bounded sample: the ids are broadcast, text never moves."""
+    """(doc_id, text, label) of a bounded sample, one row per id: the ids are broadcast.
+
+    Of several texts under one id the least is taken, first within each task, so no more
+    texts than ids times tasks move and the bound on ids is one on rows.
+    """
     texts = documents.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     )
-    return texts.join(F.broadcast(sample), "doc_id")
+    held = texts.join(F.broadcast(sample), "doc_id")
+    return held.groupBy("doc_id").agg(F.min("text").alias("text"), F.first("label").alias("label"))
 
 
 def slices(texts: list[str], limit: int = BATCH_CHARS) -> Iterator[tuple[int, int]]:

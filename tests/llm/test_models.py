@@ -238,3 +238,12 @@ def test_pipeline_stages_on_odd_documents(spark, odd, empty):
         for name, stage in corpus_pipeline.STAGES:
             docs = stage(spark, docs, FOLDER)
             docs.collect()
+
+
+def test_one_labelled_text_per_id(spark):
+    from newslens.llm.common import labelled_texts
+
+    rows = [(1, f"text {k}") for k in range(40)] + [(2, "b"), (2, "b"), (3, None), (4, "not labelled"), (None, "x")]
+    sample = spark.createDataFrame([(1, 1), (2, 0), (3, 1), (9, 0)], "doc_id long, label int")
+    found = labelled_texts(frame(spark, rows).repartition(5), sample).collect()
+    assert sorted((r["doc_id"], r["text"], r["label"]) for r in found) == [(1, "text 0", 1), (2, "b", 0), (3, "", 1)]
