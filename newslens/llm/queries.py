@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from newslens.llm import ann, bpe, fingerprints, language, ngram_join, packing, quality, sql, suffix_dedup, token_counts, toxicity
+from newslens.llm import ann, bpe, fingerprints, language, licenses, ngram_join, packing, quality, sql, suffix_dedup, token_counts, toxicity
 from newslens.llm.common import fold, table
 
 #: The vocabulary file that the token queries use; it stays where it is installed.
@@ -89,6 +89,11 @@ def op10_quality(spark, folder):
     )
 
 
+def op13_licenses(spark, folder):
+    """What the base phrases and all signature rules find in every document."""
+    return licenses.summary(licenses.scan(table(spark, folder, "documents").select("doc_id", "text")))
+
+
 def pipeline(spark, folder):
     """All stages of the corpus pipeline over the documents."""
     import corpus_pipeline
@@ -107,6 +112,7 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_bpe": op9_bpe,
     "op10_quality": op10_quality,
+    "op13_licenses": op13_licenses,
     "pipeline": pipeline,
 }
 

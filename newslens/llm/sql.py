@@ -5,6 +5,8 @@ Constants are written out here, not taken from the operators, so that a wrong on
 
 from __future__ import annotations
 
+from newslens.llm.license_rules import RULES
+
 
 def _fingerprint_of(numbers: str, everything: str) -> str:
     parts = []
@@ -68,4 +70,64 @@ SELECT doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
 FROM h
 """
 
-SQL = {"op1_imatch": IMATCH}
+
+def _signatures() -> str:
+    """The signature rules are data of the scan; the base phrases are written out below."""
+    return ", ".join(
+        f"({r.rule}, {r.tier}, '{r.label}', '{r.keyword}', '{r.regex}')" for r in RULES if r.tier < 5
+    )
+
+
+def _tokens_in(piece: str) -> str:
+    return f"(length({piece}) - length(replace({piece}, ' ', '')))"
+
+
+LICENSES = rf"""
+WITH given AS (
+  SELECT row_number() OVER () AS r, doc_id,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low
+  FROM documents
+),
+worded AS (
+  SELECT r, doc_id, len(regexp_extract_all(low, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS n_words,
+    trim(regexp_replace(low, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+', ' -', 'g'), ' -') AS inner_words
+  FROM given
+),
+lined AS (SELECT r, doc_id, n_words, CASE WHEN inner_words = '' THEN '' ELSE '-' || inner_words || ' ' END AS words FROM worded),
+rules(rule, tier, label, keyword, regex) AS (VALUES {_signatures()},
+  (100000, 5, 'mit', '-license ', '-mit -license '), (100001, 5, 'apache', '-license ', '-apache -license '),
+  (100002, 5, 'gpl', '-license ', '-general -public -license ')),
+matched AS (
+  SELECT r, rule, tier, label, string_split_regex(words, regex) AS parts, regexp_extract_all(words, regex) AS hits
+  FROM lined JOIN rules ON contains(words, keyword) AND regexp_matches(words, regex)
+),
+placed AS (SELECT *, generate_subscripts(hits, 1) AS i FROM matched),
+spans AS (
+  SELECT r, rule, tier, label, {_tokens_in("hits[i]")} AS size,
+    list_sum(list_transform(parts[1:i], lambda p: {_tokens_in("p")}))
+      + coalesce(list_sum(list_transform(hits[1:i - 1], lambda p: {_tokens_in("p")})), 0) AS first
+  FROM placed
+),
+kept AS (
+  SELECT * FROM spans s WHERE tier = 5 OR NOT EXISTS (
+    SELECT 1 FROM spans e WHERE e.r = s.r AND e.first <= s.first AND e.first + e.size >= s.first + s.size
+      AND (e.tier < s.tier OR (e.tier = s.tier AND (e.size > s.size OR (e.size = s.size AND e.rule < s.rule)))))
+),
+base AS (
+  SELECT r, count(*) AS n_base, min(first) AS first_word, max(first) AS last_word,
+    string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels
+  FROM spans WHERE tier = 5 GROUP BY r
+),
+named AS (
+  SELECT r, count(*) AS n_kept, string_agg(DISTINCT label, ',' ORDER BY label) AS labels,
+    max(CASE tier WHEN 1 THEN 1.0 WHEN 2 THEN 0.95 WHEN 3 THEN 0.9 WHEN 4 THEN 0.6 ELSE 0.75 END)::DOUBLE AS score
+  FROM kept GROUP BY r
+),
+counted AS (SELECT r, count(*) AS n_found FROM spans GROUP BY r)
+SELECT doc_id, n_words::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word,
+  last_word::BIGINT AS last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+  coalesce(score, 0.0::DOUBLE) AS score, coalesce(n_found, 0)::BIGINT AS n_found, coalesce(n_kept, 0)::BIGINT AS n_kept
+FROM lined LEFT JOIN base USING (r) LEFT JOIN named USING (r) LEFT JOIN counted USING (r)
+"""
+
+SQL = {"op1_imatch": IMATCH, "op13_licenses": LICENSES}
