@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from newslens.llm import ann, bpe, fingerprints, language, licenses, ngram_join, packing, quality, sql, suffix_dedup, token_counts, toxicity
+from newslens.llm import ann, bpe, fingerprints, language, licenses, ngram_join, packing, quality, spelling, sql, suffix_dedup, token_counts, toxicity, whitening
 from newslens.llm.common import fold, table
 
 #: The vocabulary file that the token queries use; it stays where it is installed.
@@ -89,6 +89,19 @@ def op10_quality(spark, folder):
     )
 
 
+def op11_whitening(spark, folder):
+    """The first 16 whitened components of every vector."""
+    embeddings = table(spark, folder, "embeddings").select("vec_id", "embedding")
+    model = whitening.fit(embeddings)
+    rows = whitening.components(whitening.transform(embeddings, model), model)
+    return rows.withColumn("deviation", F.col("deviation").cast("bigint"))
+
+
+def op12_spelling(spark, folder):
+    """Form, root and near words of every word of the documents."""
+    return spelling.spelling_variants(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 def op13_licenses(spark, folder):
     """What the base phrases and all signature rules find in every document."""
     return licenses.summary(licenses.scan(table(spark, folder, "documents").select("doc_id", "text")))
@@ -112,6 +125,8 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_bpe": op9_bpe,
     "op10_quality": op10_quality,
+    "op11_whitening": op11_whitening,
+    "op12_spelling": op12_spelling,
     "op13_licenses": op13_licenses,
     "pipeline": pipeline,
 }
