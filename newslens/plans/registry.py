@@ -26,6 +26,7 @@ from newslens.sources import feeds, messages, tables
 from newslens.sources.lexicon import sample_lexicon
 from newslens.sources.tables import STREAM_START
 from newslens.streaming import analytics as A
+from newslens.streaming import late_pages as L
 from newslens.streaming.ingest import start_ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -547,6 +548,87 @@ def stream_from_ingest(spark, folder):
     return moods.groupBy("sentiment").agg(F.sum("count").alias("count"))
 
 
+def land_in_order(rows: DataFrame, part: Column, parts: int, path: str, form: str) -> None:
+    """The rows as one file per part, the parts one after the other, as they would land."""
+    numbered = rows.withColumn("_part", part)
+    for i in range(parts):
+        one = numbered.where(F.col("_part") == i).drop("_part").coalesce(1)
+        one.write.mode("append").format(form).save(path)
+
+
+def sent_feed(spark: SparkSession, folder: str) -> DataFrame:
+    """Feed messages, one a minute by page number, with the number as their key."""
+    feed = page_feed(spark, folder)
+    minutes = F.make_dt_interval(mins=F.col("page_id").cast("int"))
+    return messages.route(
+        feed.withColumn("timestamp", start_time() + minutes).withColumn("key", F.col("page_id").cast("string")),
+        "timestamp", "key",
+    )
+
+
+def stream_late_pages(spark, folder):
+    """What became of each feed record: a third of the pages is crawled 20 minutes after its
+    record and lands in a later batch, a fifth is never crawled, a seventh is crawled twice."""
+    number = F.col("page_id").cast("int")
+    late = number % 3 == 0
+    minutes = F.make_dt_interval(mins=number + F.when(late, 20).otherwise(0))
+    pages = tables.pages(spark, folder).where(number % 5 != 4).select(
+        "page_id", "url", "html", (start_time() + minutes).alias("crawled_at")
+    )
+    again = pages.where(number % 7 == 0).withColumn("crawled_at", F.col("crawled_at") + F.expr("INTERVAL 2 MINUTES"))
+    # Something that lands long after, so that what still waits is given up. The page has a
+    # url, because one without is left out before the watermark sees it.
+    end = spark.range(1).select((start_time() + F.expr("INTERVAL 1000 DAYS")).alias("end"))
+    crawled = new_table_path(spark, "crawled")
+    every = pages.unionByName(again).withColumn("_late", F.when(number % 3 == 0, 1).otherwise(0)).unionByName(
+        end.select(F.lit(-1).cast("bigint").alias("page_id"), F.lit("end").alias("url"),
+                   F.lit("").alias("html"), F.col("end").alias("crawled_at"), F.lit(2).alias("_late"))
+    )
+    land_in_order(every.drop("page_id"), F.col("_late"), 3, crawled, "parquet")
+    topics = new_table_path(spark, "feeds")
+    feed = sent_feed(spark, folder).withColumn("_end", F.lit(0)).unionByName(
+        end.select(F.lit(S.FEED_TOPICS["BBC"]).alias("topic"), F.lit("{}").alias("value"),
+                   F.col("end").alias("timestamp"), F.lit("end").alias("key"), F.lit(1).alias("_end"))
+    )
+    land_in_order(feed, F.col("_end"), 2, topics, "json")
+    landed = messages.stream_topics(spark, topics, files_per_batch=1)
+    # Files of one batch hold days of messages here; the lateness covers the whole table.
+    lateness = "500 days"
+    out, progress = new_table_path(spark, "tables"), new_table_path(spark, "checkpoint")
+    L.start_waiting_ingest(
+        L.feed_records(landed, lateness=lateness), L.crawled_pages(spark, crawled, files_per_batch=1),
+        lexicon(spark), out, progress, ONCE, lateness=lateness,
+    ).awaitTermination()
+    done = spark.read.parquet(f"{out}/processed").select("raw_article_id", "source", F.lit("processed").alias("outcome"), "word_count")
+    gone = spark.read.parquet(f"{out}/rejected").where("url IS NOT NULL").select(
+        "raw_article_id", "source", F.lit("rejected").alias("outcome"), F.lit(None).cast("int").alias("word_count")
+    )
+    return done.unionByName(gone)
+
+
+def stream_distinct_articles(spark, folder):
+    """Records of a feed that is polled three times, the third time after a restart."""
+    feed = sent_feed(spark, folder).withColumn("poll", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))))
+    shift = F.make_dt_interval(mins=F.col("poll") * 10)
+    feed = feed.withColumn("timestamp", F.col("timestamp") + shift).withColumn("key", F.concat_ws("-", "key", "poll"))
+    topics, out, progress = (new_table_path(spark, n) for n in ("feeds", "distinct", "checkpoint"))
+
+    def poll() -> None:
+        landed = messages.stream_topics(spark, topics, files_per_batch=1)
+        records = L.distinct_records(L.feed_records(landed, lateness="500 days"))
+        (
+            records.select("source", "title", "url")
+            .writeStream.format("parquet").option("path", out).option("checkpointLocation", progress)
+            .trigger(**ONCE).start().awaitTermination()
+        )
+
+    land_in_order(feed.where("poll < 2"), F.col("poll"), 2, topics, "json")
+    poll()
+    land_in_order(feed.where("poll = 2"), F.lit(0), 1, topics, "json")
+    poll()
+    return spark.read.schema("source string, title string, url string").parquet(out)
+
+
 def stream_metric_rows(spark, folder):
     return streamed_results(spark, folder).select(
         "window_start", "window_end", "metric_name", "metric_value", "processing_type"
@@ -619,8 +701,10 @@ QUERIES: dict[str, Query] = {
     "source_avg_length": source_avg_length,
     "source_statistics": source_statistics,
     "source_stats_per_window": source_stats_per_window,
+    "stream_distinct_articles": stream_distinct_articles,
     "stream_from_ingest": stream_from_ingest,
     "stream_ingest": stream_ingest,
+    "stream_late_pages": stream_late_pages,
     "stream_metric_rows": stream_metric_rows,
     "stream_report": stream_report,
     "stream_three_windows": stream_three_windows,

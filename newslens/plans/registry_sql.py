@@ -588,6 +588,17 @@ outer_gone AS (
         SCORED + "," + WINDOW_REPORT + "," + metric_rows("streaming"),
         "SELECT * FROM metric_rows",
     ),
+    "stream_distinct_articles": with_(
+        BODY + "," + FEED,
+        "SELECT source, min(title) AS title, url FROM feed GROUP BY source, url",
+    ),
+    "stream_late_pages": with_(
+        PROCESSED,
+        """SELECT r.id AS raw_article_id, r.source,
+             CASE WHEN p.id IS NULL OR r.page_id % 5 = 4 THEN 'rejected' ELSE 'processed' END AS outcome,
+             CASE WHEN r.page_id % 5 <> 4 THEN p.word_count END AS word_count
+           FROM raw r LEFT JOIN processed p ON p.raw_article_id = r.id""",
+    ),
     "stream_from_ingest": with_(
         PROCESSED, "SELECT sentiment, CAST(count(*) AS BIGINT) AS count FROM processed GROUP BY sentiment"
     ),
