@@ -27,6 +27,7 @@ from decimal import Decimal
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,7 +40,10 @@ COMPONENTS = 16
 #: Numbers of a block that a task works on at once.
 BLOCK = 1 << 19
 
-SUMS = "i int, j int, total decimal(38,0)"
+#: Sums that travel in one row, and how many groups of tasks are added up before all are.
+SUMS_A_ROW, TASK_GROUPS = 4096, 64
+
+WHOLE, REAL = "decimal(38,0)", "double"
 
 
 @dataclass(frozen=True)
@@ -99,20 +103,49 @@ def squared(y: np.ndarray) -> np.ndarray:
     return out
 
 
-def _rows(i, j, totals) -> pa.RecordBatch:
+def _layout(kind: str) -> str:
+    return f"task int, block int, totals array<{kind}>"
+
+
+def _rows(totals, kind: str, task: int | None = None, block: int | None = None) -> pa.RecordBatch:
+    """The sums of a task, some thousand to a row."""
+    task = TaskContext.get().partitionId() % TASK_GROUPS if task is None else task
+    starts = range(0, len(totals), SUMS_A_ROW)
+    number = (lambda x: Decimal(int(x))) if kind == WHOLE else float
+    value = pa.decimal128(38, 0) if kind == WHOLE else pa.float64()
     return pa.RecordBatch.from_arrays(
         [
-            pa.array(i, pa.int32()),
-            pa.array(j, pa.int32()),
-            pa.array([Decimal(int(t)) for t in totals], pa.decimal128(38, 0)),
+            pa.array([task] * len(starts), pa.int32()),
+            pa.array([i if block is None else block for i in range(len(starts))], pa.int32()),
+            pa.array([[number(x) for x in totals[i : i + SUMS_A_ROW]] for i in starts], pa.list_(value)),
         ],
-        ["i", "j", "total"],
+        ["task", "block", "totals"],
     )
 
 
-def _summed(partial: DataFrame) -> dict[tuple[int, int], int]:
-    rows = partial.groupBy("i", "j").agg(F.sum("total").alias("total")).collect()
-    return {(r["i"], r["j"]): int(r["total"]) for r in rows}
+def _summed(partial: DataFrame, kind: str) -> list:
+    """The sums of all tasks, place by place: first over groups of tasks, then over the groups.
+
+    A task adds up row by row and holds the sums only, never the rows of all others.
+    """
+
+    def adding(keep_task: bool):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held: dict[tuple[int, int], np.ndarray] = {}
+            for batch in batches:
+                for task, block, totals in zip(*(c.to_pylist() for c in batch.columns)):
+                    row = np.array([int(t) for t in totals], object) if kind == WHOLE else np.array(totals)
+                    key = (task if keep_task else 0, block)
+                    held[key] = held[key] + row if key in held else row
+            for (task, block), totals in held.items():
+                yield _rows(totals, kind, task, block)
+
+        return run
+
+    groups = partial.repartition("task", "block").mapInArrow(adding(True), _layout(kind))
+    rows = groups.repartition("block").mapInArrow(adding(False), _layout(kind)).collect()
+    number = int if kind == WHOLE else float
+    return [number(t) for r in sorted(rows, key=lambda r: r["block"]) for t in r["totals"]]
 
 
 def first_sums(fit_list: DataFrame) -> tuple[int, list[int]]:
@@ -125,12 +158,10 @@ def first_sums(fit_list: DataFrame) -> tuple[int, list[int]]:
             some = added(x).astype(object)
             total = some if total is None else total + some
         if n:
-            width = len(total)
-            yield _rows([-1, *range(width)], [-1] * (width + 1), [n, *total])
+            yield _rows([n, *total], WHOLE)
 
-    found = _summed(fit_list.mapInArrow(run, SUMS))
-    n = found.pop((-1, -1), 0)
-    return n, [found[i, -1] for i in range(len(found))]
+    n, *sums = _summed(fit_list.mapInArrow(run, _layout(WHOLE)), WHOLE)
+    return n, sums
 
 
 def covariances(fit_list: DataFrame, n: int, sums: list[int]) -> list[list[int]]:
@@ -144,11 +175,11 @@ def covariances(fit_list: DataFrame, n: int, sums: list[int]) -> list[list[int]]
             some = squared(exact(x, largest(x) + int(np.abs(middle).max())) - middle)
             total = some if total is None else total + some
         if total is not None:
-            i, j = np.triu_indices(len(total))
-            yield _rows(i, j, total[i, j])
+            yield _rows(total[np.triu_indices(len(total))], WHOLE)
 
-    squares = _summed(fit_list.mapInArrow(run, SUMS))
     width = len(sums)
+    pairs = zip(*(i.tolist() for i in np.triu_indices(width)))
+    squares = dict(zip(pairs, _summed(fit_list.mapInArrow(run, _layout(WHOLE)), WHOLE)))
     rest = [s - n * c for s, c in zip(sums, centre)]
     alone = [n * squares[i, i] - rest[i] ** 2 for i in range(width)]
     out = [[0] * width for _ in range(width)]
@@ -183,15 +214,9 @@ def identity_error(fit_list: DataFrame, model: Whitening) -> float:
             w = projected(deviations(x, model), model)
             total[:size] += w.T @ w
             total[size] += w.sum(axis=0)
-        i, j = np.indices(total.shape)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(i.ravel(), pa.int32()), pa.array(j.ravel(), pa.int32()), pa.array(total.ravel())], ["i", "j", "total"]
-        )
+        yield _rows(total.ravel(), REAL)
 
-    rows = fit_list.mapInArrow(run, "i int, j int, total double").groupBy("i", "j").agg(F.sum("total").alias("total"))
-    total = np.zeros((size + 1, size))
-    for r in rows.collect():
-        total[r["i"], r["j"]] = r["total"]
+    total = np.array(_summed(fit_list.mapInArrow(run, _layout(REAL)), REAL)).reshape(size + 1, size)
     mean = total[size] / model.n
     return float(np.abs(total[:size] / model.n - np.outer(mean, mean) - np.eye(size)).max())
 
