@@ -179,6 +179,17 @@ def metric_rows(rows: DataFrame, processing_type: str, parts: int = 1) -> DataFr
     )
 
 
+def latest(results: DataFrame) -> DataFrame:
+    """One row per run, window, metric and part: what a later step wrote replaces what an
+    earlier one did. Windows that were stored while open have the lowest step of all, so the
+    row of the closed window stands in for them. Results without steps are as they are."""
+    if not {"run", "epoch_id"} <= set(results.columns):
+        return results
+    rest = [c for c in results.columns if c not in ("run", "id")]
+    newest = F.max_by(F.struct(*rest), "epoch_id").alias("row")
+    return results.groupBy("run", "id").agg(newest).select("id", "run", "row.*").select(*results.columns)
+
+
 def recent_metrics(results: DataFrame, processing_type: str = "streaming", n: int = 3) -> DataFrame:
     """The last ``n`` stored rows of one processing type."""
     return (

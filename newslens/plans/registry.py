@@ -16,6 +16,7 @@ from newslens.operators import extraction as X
 from newslens.operators import metrics as M
 from newslens.operators import quality as Q
 from newslens.operators import sentiment as Sent
+from newslens.operators import summaries as Sum
 from newslens.operators import timing
 from newslens.operators import windows as Win
 from newslens.operators import words as W
@@ -27,6 +28,7 @@ from newslens.sources.lexicon import sample_lexicon
 from newslens.sources.tables import STREAM_START
 from newslens.streaming import analytics as A
 from newslens.streaming import late_pages as L
+from newslens.streaming import partials as P
 from newslens.streaming.ingest import start_ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -635,6 +637,40 @@ def stream_metric_rows(spark, folder):
     )
 
 
+def partial_stream(spark: SparkSession, folder: str, parts: int = 3) -> tuple[DataFrame, str]:
+    """Metric rows of a stream of several batches in order of time, and its folder of partial counts."""
+    sent = article_messages(spark, folder)
+    first, last = (sent.agg(f("timestamp")).first()[0] for f in (F.min, F.max))
+    share = F.unix_micros("timestamp") - F.unix_micros(F.lit(first))
+    length = F.unix_micros(F.lit(last)) - F.unix_micros(F.lit(first)) + 1
+    topics = new_table_path(spark, "messages")
+    land_in_order(sent.withColumn("key", F.lit("")), F.floor(share * parts / length), parts, topics, "json")
+    path, partials, progress = (new_table_path(spark, n) for n in ("analytics", "partials", "checkpoint"))
+    landed = messages.stream_topics(spark, topics, S.SCRAPED_TOPIC, files_per_batch=1)
+    query = P.start_partial_analytics(A.scored_stream(landed, lexicon(spark)), path, partials, progress, ONCE)
+    query.awaitTermination()
+    P.write_open_windows(spark, query, path, partials)
+    return M.latest(spark.read.parquet(path)), partials
+
+
+def stream_metric_rows_partial(spark, folder):
+    """The rows of ``stream_metric_rows`` from partial counts; no state holds words."""
+    results, _ = partial_stream(spark, folder)
+    return results.where(F.col("metric_name") != Sum.SUMMARY).select(
+        "window_start", "window_end", "metric_name", "metric_value", "processing_type"
+    )
+
+
+def rollup_top_words_exact(spark, folder):
+    """The exact overall ranking from short summaries of windows; undecided words are counted."""
+    framed = Win.with_window(tables.articles(spark, folder))
+    window = ["window_start", "window_end"]
+    counts = W.count_words(W.long_words(framed, window), window)
+    stored = Sum.summary_rows(Sum.summarise(counts, window, 20), "streaming")
+    words = W.long_words(tables.articles(spark, folder)).withColumn("count", F.lit(1).cast("bigint"))
+    return Sum.exact_top_words(Sum.stored_summaries(stored), words, W.STREAM_TOP)
+
+
 def stream_report(spark, folder):
     """The stored rows of a stream read back into long form."""
     results = streamed_results(spark, folder)
@@ -685,6 +721,7 @@ QUERIES: dict[str, Query] = {
     "rollup_sentiment": rollup_sentiment,
     "rollup_sources": rollup_sources,
     "rollup_top_words": rollup_top_words,
+    "rollup_top_words_exact": rollup_top_words_exact,
     "rollup_words": rollup_words,
     "route_topics": route_topics,
     "scan_processed": scan_processed,
@@ -706,6 +743,7 @@ QUERIES: dict[str, Query] = {
     "stream_ingest": stream_ingest,
     "stream_late_pages": stream_late_pages,
     "stream_metric_rows": stream_metric_rows,
+    "stream_metric_rows_partial": stream_metric_rows_partial,
     "stream_report": stream_report,
     "stream_three_windows": stream_three_windows,
     "three_windows": three_windows,

@@ -599,6 +599,11 @@ outer_gone AS (
              CASE WHEN r.page_id % 5 <> 4 THEN p.word_count END AS word_count
            FROM raw r LEFT JOIN processed p ON p.raw_article_id = r.id""",
     ),
+    "rollup_top_words_exact": with_(ARTICLES, f"{WORD_COUNTS} {TOP.format(10)}"),
+    "stream_metric_rows_partial": with_(
+        SCORED + "," + WINDOW_REPORT + "," + metric_rows("streaming"),
+        "SELECT * FROM metric_rows",
+    ),
     "stream_from_ingest": with_(
         PROCESSED, "SELECT sentiment, CAST(count(*) AS BIGINT) AS count FROM processed GROUP BY sentiment"
     ),
