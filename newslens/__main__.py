@@ -14,6 +14,7 @@ from newslens.functions.sentiment import load_lexicon
 from newslens.functions.times import RUN_WINDOWS, WINDOW_MINUTES
 from newslens.operators import metrics as M
 from newslens.operators import quality as Q
+from newslens.operators import summaries as Sum
 from newslens.operators import words as W
 from newslens.operators.sentiment import score_articles
 from newslens.operators.timing import compare_performance
@@ -23,6 +24,7 @@ from newslens.session import build_session
 from newslens.sources import feeds, kafka, messages
 from newslens.sources.lexicon import read_lexicon
 from newslens.streaming import analytics as A
+from newslens.streaming import late_pages, partials
 from newslens.streaming.ingest import start_ingest
 
 
@@ -44,13 +46,14 @@ def parse_args(argv: list[str] | None) -> argparse.Namespace:
     sub = job("publish", "landed feeds to topics", out="folder of topic messages")
     sub.add_argument("--rss", action="append", default=[], metavar="SOURCE=PATH")
     sub.add_argument("--api", action="append", default=[], metavar="SOURCE=PATH")
-    stream(
-        job(
-            "ingest", "feed topics and crawled pages to article tables",
-            pages="table (url, html)", lexicon="table (word, score, kind)",
-            out="folder of the article tables", checkpoint="folder of the stream's progress",
-        )
+    sub = job(
+        "ingest", "feed topics and crawled pages to article tables",
+        pages="table (url, html), with crawled_at if records wait", lexicon="table (word, score, kind)",
+        out="folder of the article tables", checkpoint="folder of the stream's progress",
     )
+    stream(sub)
+    sub.add_argument("--wait", help="how long a record waits for a page that is not there yet, as in '1 hour'")
+    sub.add_argument("--distinct", help="suppress records that repeat one of this time before, as in '1 hour'")
     sub = job(
         "stream", "scraped messages to windowed metrics",
         lexicon="table (word, score, kind)", metrics="table of metric rows",
@@ -61,6 +64,7 @@ def parse_args(argv: list[str] | None) -> argparse.Namespace:
     sub.add_argument("--windows", type=int, default=RUN_WINDOWS)
     sub.add_argument("--timing", help="table of run times")
     sub.add_argument("--lateness", default=A.LATENESS, help="how late a message may be")
+    sub.add_argument("--partials", help="folder of partial counts, next to the metrics if not given")
     job(
         "batch", "all processed articles to metrics",
         articles="table (raw_article_id, source, title, content)",
@@ -68,6 +72,7 @@ def parse_args(argv: list[str] | None) -> argparse.Namespace:
         timing="table of run times",
     )
     sub = job("summary", "roll-up of stored stream metrics", metrics="table of metric rows")
+    sub.add_argument("--partials", help="folder of partial counts, next to the metrics if not given")
     sub.add_argument("--start", type=datetime.fromisoformat, help="only the run from this time on")
     sub.add_argument("--windows", type=int, default=RUN_WINDOWS)
     job("compare", "batch against streaming run times", timing="table of run times")
@@ -110,27 +115,41 @@ def run_ingest(spark: SparkSession, args: argparse.Namespace) -> list[DataFrame]
     lexicon = load_lexicon(read_lexicon(spark, args.lexicon))
     feed = incoming(spark, args, "earliest", *S.FEED_TOPICS.values())
     publish = (lambda rows: kafka.write_kafka(rows, args.servers)) if args.servers else None
-    start_ingest(
-        feed, args.pages, lexicon, args.out, args.checkpoint, trigger(args),
-        position="position" if args.servers else "key", publish=publish,
-    ).awaitTermination()
+    position = "position" if args.servers else "key"
+    if args.distinct:
+        feed = late_pages.distinct_messages(feed, position, args.distinct)
+    if args.wait:
+        records = late_pages.feed_records(feed, position, None if args.distinct else late_pages.LATENESS)
+        query = late_pages.start_waiting_ingest(
+            records, late_pages.crawled_pages(spark, args.pages), lexicon, args.out, args.checkpoint,
+            trigger(args), wait=args.wait, publish=publish,
+        )
+    else:
+        query = start_ingest(
+            feed, args.pages, lexicon, args.out, args.checkpoint, trigger(args), position=position, publish=publish
+        )
+    query.awaitTermination()
     return []
 
 
+def partials_of(args: argparse.Namespace) -> str:
+    return args.partials or f"{args.metrics.rstrip('/')}-partials"
+
+
 def run_stream(spark: SparkSession, args: argparse.Namespace) -> list[DataFrame]:
     lexicon = load_lexicon(read_lexicon(spark, args.lexicon))
     scored = A.scored_stream(incoming(spark, args, "latest", S.SCRAPED_TOPIC), lexicon)
     start = utc(args.start) if args.start else None
-    counts = A.windowed_counts(scored, start, args.windows, lateness=args.lateness)
-    query = A.start_analytics(
-        counts, args.metrics, args.checkpoint, trigger(args), timing_path=args.timing
+    query = partials.start_partial_analytics(
+        scored, args.metrics, partials_of(args), args.checkpoint, trigger(args), args.lateness,
+        start=start, windows=args.windows, timing_path=args.timing,
     )
     if start and not args.once:
         A.await_windows(query, start + timedelta(minutes=WINDOW_MINUTES * args.windows))
     else:
         query.awaitTermination()
     if args.once:
-        A.finish(spark, query, args.metrics, args.checkpoint, timing_path=args.timing)
+        partials.write_open_windows(spark, query, args.metrics, partials_of(args), timing_path=args.timing)
     return []
 
 
@@ -141,12 +160,25 @@ def run_batch(spark: SparkSession, args: argparse.Namespace) -> list[DataFrame]:
 
 
 def summary(spark: SparkSession, args: argparse.Namespace) -> list[DataFrame]:
-    results = spark.read.parquet(args.metrics).where(F.col("processing_type") == "streaming")
+    """Shares of sentiments, the most frequent words and the sources of all stored windows.
+
+    The ranking is exact: most words are decided by the summaries of the windows, the others
+    are counted from the stored counts. Metric rows without summaries are rolled up.
+    """
+    results = M.latest(spark.read.parquet(args.metrics)).where(F.col("processing_type") == "streaming")
+    counts = partials.all_counts(spark, partials_of(args)).where(F.col("metric_name") == M.WORDS)
     if args.start:
         results = M.of_run(results, utc(args.start), args.windows)
+        counts = M.of_run(counts, utc(args.start), args.windows)
+    if counts.isEmpty():
+        words = W.top_words(M.rollup_words(results), W.STREAM_TOP)
+    else:
+        words = Sum.exact_top_words(
+            Sum.stored_summaries(results), counts.select(F.col("key").alias("word"), "count"), W.STREAM_TOP
+        )
     return [
         M.with_share(M.rollup_sentiment(results)),
-        W.top_words(M.rollup_words(results), W.STREAM_TOP),
+        words,
         M.with_average_length(M.rollup_sources(results)),
     ]
 

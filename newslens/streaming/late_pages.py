@@ -28,10 +28,12 @@ WAIT, LOOK_BACK = "1 hour", "1 day"
 LATENESS = "10 minutes"
 
 
-def feed_records(messages: DataFrame, position: str = "key", lateness: str = LATENESS) -> DataFrame:
-    """Feed messages as records with an id and the time they were sent at; a stream with a watermark."""
+def feed_records(messages: DataFrame, position: str = "key", lateness: str | None = LATENESS) -> DataFrame:
+    """Feed messages as records with an id and the time they were sent at; a stream with a watermark.
+
+    ``lateness`` is None where the messages have one already."""
     feed = decode(messages.where(F.col("value").isNotNull()), FEED_MESSAGE, position, "timestamp")
-    return feed.withWatermark("timestamp", lateness).select(
+    return (feed.withWatermark("timestamp", lateness) if lateness else feed).select(
         raw_article_id(F.col("source"), F.col("url"), F.col(position)).alias("id"), "source", "title", "url", "timestamp"
     )
 
@@ -46,6 +48,14 @@ def distinct_records(records: DataFrame) -> DataFrame:
     return records.withColumn("_same", key).dropDuplicatesWithinWatermark(["_same"]).drop("_same")
 
 
+def distinct_messages(messages: DataFrame, position: str = "key", within: str = LATENESS) -> DataFrame:
+    """As ``distinct_records``, over messages that are not read yet, whose columns stay as they are."""
+    record = F.from_json(F.col("value").cast("string"), FEED_MESSAGE)
+    same = F.struct(record["source"].alias("source"), F.coalesce(record["url"], F.col(position)).alias("url"))
+    marked = messages.withWatermark("timestamp", within).withColumn("_same", same)
+    return marked.dropDuplicatesWithinWatermark(["_same"]).drop("_same")
+
+
 def crawled_pages(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
     """Pages as they land: (url, html, crawled_at). Without a ``crawled_at`` in the files, the
     time at which a file was written stands for it."""
@@ -117,6 +127,8 @@ def start_waiting_ingest(
         part = f"run={stream_id(batch)}/epoch={epoch_id}"
         batch.persist()
         try:
+            if batch.isEmpty():
+                return
             write_ingested(outputs(raw, extracted, lexicon), lexicon, folder, part=part, publish=publish)
         finally:
             batch.unpersist()

@@ -223,14 +223,21 @@ def write_open_windows(
     partials: str,
     top: int = STREAM_TOP,
     listed: int = Sum.LISTED,
+    timing_path: str | None = None,
 ) -> None:
     """Metric rows of the windows that are still open when a stream has ended.
 
     They are stored as provisional: a row that a later batch of the same stream writes for the
     same window takes their place when results are read (``metrics.latest``).
     """
-    run = str(query.id)
+    began, run = time.time(), str(query.id)
     closed = clock(spark, partials, run)["closed"]
     still = open_counts(spark, partials).where((F.col("run") == run) & (micros(F.col("window_end")) > closed))
     drop_metrics(spark, path, "streaming", run, OPEN_WINDOWS)
-    write_windows(added(still), path, run, OPEN_WINDOWS, top, listed)
+    whole = added(still).persist()
+    try:
+        write_windows(whole, path, run, OPEN_WINDOWS, top, listed)
+        if timing_path:
+            write_timing(whole, began, timing_path, run, OPEN_WINDOWS)
+    finally:
+        whole.unpersist()
