@@ -19,7 +19,7 @@ from newslens.operators import words as W
 from newslens.operators.sentiment import score_articles
 from newslens.operators.timing import compare_performance
 from newslens.plans import batch_report as B
-
+from newslens.plans import incremental
 from newslens.session import build_session
 from newslens.sources import feeds, kafka, messages
 from newslens.sources.lexicon import read_lexicon
@@ -65,12 +65,13 @@ def parse_args(argv: list[str] | None) -> argparse.Namespace:
     sub.add_argument("--timing", help="table of run times")
     sub.add_argument("--lateness", default=A.LATENESS, help="how late a message may be")
     sub.add_argument("--partials", help="folder of partial counts, next to the metrics if not given")
-    job(
+    sub = job(
         "batch", "all processed articles to metrics",
         articles="table (raw_article_id, source, title, content)",
         lexicon="table (word, score, kind)", metrics="table of metric rows",
         timing="table of run times",
     )
+    sub.add_argument("--store", help="folder of counts: read only files that came since the last run with it")
     sub = job("summary", "roll-up of stored stream metrics", metrics="table of metric rows")
     sub.add_argument("--partials", help="folder of partial counts, next to the metrics if not given")
     sub.add_argument("--start", type=datetime.fromisoformat, help="only the run from this time on")
@@ -154,9 +155,14 @@ def run_stream(spark: SparkSession, args: argparse.Namespace) -> list[DataFrame]
 
 
 def run_batch(spark: SparkSession, args: argparse.Namespace) -> list[DataFrame]:
-    articles = spark.read.parquet(args.articles).drop("sentiment")
-    scored = score_articles(articles, read_lexicon(spark, args.lexicon), key="raw_article_id")
-    return [B.run_batch(scored, args.metrics, args.timing)]
+    lexicon = read_lexicon(spark, args.lexicon)
+
+    def score(articles: DataFrame) -> DataFrame:
+        return score_articles(articles.drop("sentiment"), lexicon, key="raw_article_id")
+
+    if args.store:
+        return [incremental.run_incremental(spark, args.articles, args.store, score, args.metrics, args.timing)]
+    return [B.run_batch(score(spark.read.parquet(args.articles)), args.metrics, args.timing)]
 
 
 def summary(spark: SparkSession, args: argparse.Namespace) -> list[DataFrame]:

@@ -18,14 +18,30 @@ from newslens.schemas import TIMING_METRICS
 from newslens.sources.sinks import read_metrics, write_metrics, write_step
 
 
+def batch_words(scored: DataFrame) -> DataFrame:
+    """Counts of all words in the layout of the report, none cut."""
+    return W.count_words(W.all_words(scored)).select(
+        F.lit(M.WORDS + M.BATCH_SUFFIX).alias("metric_name"),
+        F.col("word").alias("key"),
+        "count",
+        F.lit(None).cast("bigint").alias("total_length"),
+    )
+
+
+def batch_groups(scored: DataFrame) -> DataFrame:
+    """Counts of sentiments and sources in the layout of the report."""
+    groups = M.sentiment_and_sources(scored)
+    return groups.withColumn("metric_name", F.concat("metric_name", F.lit(M.BATCH_SUFFIX)))
+
+
 def batch_report(scored: DataFrame, top: int = W.BATCH_TOP) -> DataFrame:
     """All batch metrics in long form: (metric_name, key, count, total_length).
 
-    One scan and one grouping serve all of them; the ranking of words and the rest read
-    the same counts, whose shuffle is reused.
+    Words are counted apart from the rest: a second scan of the text costs a third of what it
+    costs to carry the name of a metric with every word through one common grouping.
     """
-    counts = M.count_facts(M.article_facts(scored, batch=True))
-    return M.report(counts, top)
+    words = batch_words(scored).orderBy(F.desc("count"), F.asc("key")).limit(top)
+    return words.unionByName(batch_groups(scored))
 
 
 def batch_metric_rows(scored: DataFrame, at: Column, top: int = W.BATCH_TOP) -> DataFrame:

@@ -384,6 +384,7 @@ SQL: dict[str, str] = {
         "SELECT * FROM metric_rows",
     ),
     "batch_report": with_(SCORED + "," + BATCH_REPORT, "SELECT * FROM report"),
+    "batch_report_incremental": with_(SCORED + "," + BATCH_REPORT, "SELECT * FROM report"),
     "cascade_delete": with_(
         ARTICLES + "," + RAW_DOCUMENTS,
         """SELECT id AS raw_article_id, source, title, url FROM raw_documents
