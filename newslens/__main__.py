@@ -10,13 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newslens import schemas as S
-from newslens.functions.sentiment import load_lexicon
 from newslens.functions.times import RUN_WINDOWS, WINDOW_MINUTES
 from newslens.operators import metrics as M
 from newslens.operators import quality as Q
 from newslens.operators import summaries as Sum
 from newslens.operators import words as W
-from newslens.operators.sentiment import score_articles
+from newslens.operators.sentiment import labeller, score_articles
 from newslens.operators.timing import compare_performance
 from newslens.plans import batch_report as B
 from newslens.plans import incremental
@@ -26,6 +25,7 @@ from newslens.sources.lexicon import read_lexicon
 from newslens.streaming import analytics as A
 from newslens.streaming import late_pages, partials
 from newslens.streaming.ingest import start_ingest
+from newslens.streaming.progress import observed
 
 
 def parse_args(argv: list[str] | None) -> argparse.Namespace:
@@ -113,7 +113,7 @@ def trigger(args: argparse.Namespace) -> dict[str, bool] | None:
 
 
 def run_ingest(spark: SparkSession, args: argparse.Namespace) -> list[DataFrame]:
-    lexicon = load_lexicon(read_lexicon(spark, args.lexicon))
+    lexicon = labeller(read_lexicon(spark, args.lexicon))
     feed = incoming(spark, args, "earliest", *S.FEED_TOPICS.values())
     publish = (lambda rows: kafka.write_kafka(rows, args.servers)) if args.servers else None
     position = "position" if args.servers else "key"
@@ -138,12 +138,12 @@ def partials_of(args: argparse.Namespace) -> str:
 
 
 def run_stream(spark: SparkSession, args: argparse.Namespace) -> list[DataFrame]:
-    lexicon = load_lexicon(read_lexicon(spark, args.lexicon))
-    scored = A.scored_stream(incoming(spark, args, "latest", S.SCRAPED_TOPIC), lexicon)
+    lexicon = labeller(read_lexicon(spark, args.lexicon))
+    read = observed(A.parsed_stream(incoming(spark, args, "latest", S.SCRAPED_TOPIC)))
     start = utc(args.start) if args.start else None
     query = partials.start_partial_analytics(
-        scored, args.metrics, partials_of(args), args.checkpoint, trigger(args), args.lateness,
-        start=start, windows=args.windows, timing_path=args.timing,
+        read, args.metrics, partials_of(args), args.checkpoint, trigger(args), args.lateness,
+        start=start, windows=args.windows, timing_path=args.timing, score=lambda new: A.scored_batch(new, lexicon),
     )
     if start and not args.once:
         A.await_windows(query, start + timedelta(minutes=WINDOW_MINUTES * args.windows))

@@ -58,6 +58,28 @@ def score_articles(
         return join_sentiment(articles, lexicon, key, modifiers, threshold)
 
 
+Labeller = Callable[[DataFrame, str], DataFrame]
+
+
+def labeller(lexicon: DataFrame, max_words: int = MAX_WORDS_IN_PLAN) -> Lexicon | Labeller:
+    """What labels articles by a lexicon of any size, chosen once for many batches.
+
+    Small lexicons go into the plan; larger ones stay a table and are joined by each batch, as
+    a function of articles and the name of their key.
+    """
+    try:
+        return load_lexicon(lexicon, max_words)
+    except LexiconTooLarge:
+        return lambda articles, key: join_sentiment(articles, lexicon, key)
+
+
+def labelled(articles: DataFrame, lexicon: Lexicon | Labeller, key: str) -> DataFrame:
+    """Articles with their ``sentiment``; ``key`` may repeat only where the content does."""
+    if isinstance(lexicon, Lexicon):
+        return with_sentiment(articles, lexicon)
+    return lexicon(articles, key)
+
+
 def join_sentiment(
     articles: DataFrame,
     lexicon: DataFrame,

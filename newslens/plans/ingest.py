@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from newslens.functions.sentiment import Lexicon
 from newslens.functions.text import word_count
 from newslens.operators import extraction
-from newslens.operators.sentiment import with_sentiment
+from newslens.operators.sentiment import Labeller, labelled
 from newslens.operators.quality import conform
 from newslens.schemas import RAW_ARTICLES, SCRAPED_TOPIC, scraped_message
 from newslens.sources.messages import encode
@@ -121,9 +121,9 @@ def outputs(raw: DataFrame, extracted: DataFrame, lexicon: Lexicon) -> Ingested:
     )
 
 
-def finish(accepted: DataFrame, lexicon: Lexicon) -> DataFrame:
+def finish(accepted: DataFrame, lexicon: Lexicon | Labeller) -> DataFrame:
     """Accepted articles as processed ones: id, sentiment and word count added."""
-    return with_sentiment(accepted, lexicon).select(
+    return labelled(accepted, lexicon, "raw_article_id").select(
         F.md5(F.concat_ws("|", F.lit("processed"), "raw_article_id")).alias("id"),
         "raw_article_id",
         "source",

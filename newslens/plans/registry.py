@@ -673,6 +673,26 @@ def stream_metric_rows_partial(spark, folder):
     )
 
 
+def stream_late_counts(spark, folder):
+    """Messages per window that came after it was closed: of the first third every eleventh
+    message lands with the last third."""
+    sent = article_messages(spark, folder)
+    last = sent.agg(F.max("timestamp")).first()[0]
+    third = (F.unix_micros(F.lit(last)) - F.unix_micros(start_time())) / 3
+    at = (F.unix_micros("timestamp") - F.unix_micros(start_time())) / third
+    held_back = (at < 1) & (F.pmod(F.unix_micros("timestamp"), F.lit(660_000_000)) == 0)
+    part = F.when(held_back, 2).when(at < 1, 0).when(at < 2, 1).otherwise(2)
+    topics = new_table_path(spark, "messages")
+    land_in_order(sent.withColumn("key", F.lit("")), part, 3, topics, "json")
+    path, partials, progress = (new_table_path(spark, n) for n in ("analytics", "partials", "checkpoint"))
+    landed = A.parsed_stream(messages.stream_topics(spark, topics, S.SCRAPED_TOPIC, files_per_batch=1))
+    lex = lexicon(spark)
+    P.start_partial_analytics(
+        landed, path, partials, progress, ONCE, score=lambda new: A.scored_batch(new, lex)
+    ).awaitTermination()
+    return P.late_counts(spark, partials)
+
+
 def rollup_top_words_exact(spark, folder):
     """The exact overall ranking from short summaries of windows; undecided words are counted."""
     framed = Win.with_window(tables.articles(spark, folder))
@@ -755,6 +775,7 @@ QUERIES: dict[str, Query] = {
     "stream_from_ingest": stream_from_ingest,
     "stream_ingest": stream_ingest,
     "stream_late_pages": stream_late_pages,
+    "stream_late_counts": stream_late_counts,
     "stream_metric_rows": stream_metric_rows,
     "stream_metric_rows_partial": stream_metric_rows_partial,
     "stream_report": stream_report,

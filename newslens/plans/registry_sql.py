@@ -600,6 +600,27 @@ outer_gone AS (
              CASE WHEN r.page_id % 5 <> 4 THEN p.word_count END AS word_count
            FROM raw r LEFT JOIN processed p ON p.raw_article_id = r.id""",
     ),
+    "stream_late_counts": with_(
+        ARTICLES
+        + """,
+        sent AS (
+          SELECT "timestamp" AS sent_at, time_bucket(INTERVAL '15 minutes', "timestamp") AS window_start,
+            epoch_us("timestamp" - TIMESTAMP '2024-01-01 00:00:00') AS since,
+            (SELECT epoch_us(max("timestamp") - TIMESTAMP '2024-01-01 00:00:00') / 3 FROM articles) AS third
+          FROM articles
+        ),
+        parted AS (
+          SELECT *, CASE WHEN since / third < 1 AND epoch_us(sent_at) % 660000000 = 0 THEN 2
+            WHEN since / third < 1 THEN 0 WHEN since / third < 2 THEN 1 ELSE 2 END AS part FROM sent
+        ),
+        marks AS (
+          SELECT p.part, (SELECT max(sent_at) - INTERVAL '10 minutes' FROM parted b WHERE b.part < p.part) AS mark
+          FROM (SELECT DISTINCT part FROM parted) p
+        )""",
+        """SELECT window_start, window_start + INTERVAL '15 minutes' AS window_end, CAST(count(*) AS BIGINT) AS count
+           FROM parted JOIN marks USING (part) WHERE window_start + INTERVAL '15 minutes' <= mark
+           GROUP BY window_start""",
+    ),
     "rollup_top_words_exact": with_(ARTICLES, f"{WORD_COUNTS} {TOP.format(10)}"),
     "stream_metric_rows_partial": with_(
         SCORED + "," + WINDOW_REPORT + "," + metric_rows("streaming"),

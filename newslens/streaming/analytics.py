@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 from newslens.functions.sentiment import Lexicon
 from newslens.functions.times import RUN_WINDOWS, WINDOW_MINUTES
 from newslens.operators import metrics as M
-from newslens.operators.sentiment import with_sentiment
+from newslens.operators.sentiment import Labeller, labelled, with_sentiment
 from newslens.operators.timing import timing_metrics
 from newslens.operators.windows import bounded_run
 from newslens.operators.words import STREAM_TOP
@@ -34,7 +34,22 @@ def scored_stream(messages: DataFrame, lexicon: Lexicon) -> DataFrame:
 
     Ids are text, as the ingest job publishes them; numbers are read as their digits.
     """
-    return with_sentiment(parse_envelope(messages, scraped_message(T.StringType())), lexicon)
+    return with_sentiment(parsed_stream(messages), lexicon)
+
+
+def parsed_stream(messages: DataFrame) -> DataFrame:
+    """Parsed articles without labels."""
+    return parse_envelope(messages, scraped_message(T.StringType()))
+
+
+def scored_batch(articles: DataFrame, lexicon: Lexicon | Labeller) -> DataFrame:
+    """The articles of one batch with their labels, by a lexicon of any size.
+
+    A label depends on the text alone, so texts are told apart by their digest."""
+    if isinstance(lexicon, Lexicon):
+        return with_sentiment(articles, lexicon)
+    keyed = articles.withColumn("_text", F.sha2("content", 256))
+    return labelled(keyed, lexicon, "_text").drop("_text")
 
 
 def windowed_counts(

@@ -151,8 +151,13 @@ def partial_writer(
     top: int = STREAM_TOP,
     listed: int = Sum.LISTED,
     timing_path: str | None = None,
+    score: Callable[[DataFrame], DataFrame] | None = None,
 ) -> Callable[[DataFrame, int], None]:
-    """Callback that stores the partial counts of a micro-batch and the windows it closes."""
+    """Callback that stores the partial counts of a micro-batch and the windows it closes.
+
+    ``score`` labels the articles of a batch where the stream does not carry labels yet; a
+    batch is a table, so it may join a lexicon of any size.
+    """
 
     def write(batch: DataFrame, epoch_id: int) -> None:
         began, spark, run = time.time(), batch.sparkSession, stream_id(batch)
@@ -173,7 +178,8 @@ def partial_writer(
             late = micros(F.col("window_end")) <= last["closed"]
             missed = framed.where(late).groupBy(*WINDOW).agg(F.count(F.lit(1)).alias("count"))
             write_step(missed, f"{partials}/late", run, epoch_id)
-            counts = window_counts(framed.where(~late))
+            timely = framed.where(~late)
+            counts = window_counts(score(timely) if score else timely)
             write_step(_dated(counts), f"{partials}/open", run, epoch_id, ("window_date",))
 
             done = micros(F.col("window_end")).between(last["closed"] + 1, closed)

@@ -1,6 +1,7 @@
 """Streams that keep partial counts in files: against the whole table, replays, late rows, open windows."""
 
 import random
+import time
 from collections import Counter
 from datetime import timedelta
 
@@ -8,15 +9,16 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from newslens.functions.sentiment import load_lexicon
+from newslens.functions.sentiment import Lexicon, load_lexicon
 from newslens.operators import metrics as M
 from newslens.operators import summaries as Sum
-from newslens.operators.sentiment import with_sentiment
+from newslens.operators.sentiment import labeller, score_articles, with_sentiment
 from newslens.plans import batch_report as B
 from newslens.sources import messages
-from newslens.sources.lexicon import sample_lexicon
+from newslens.sources.lexicon import read_lexicon, sample_lexicon
 from newslens.streaming import analytics as A
 from newslens.streaming import partials as P
+from newslens.streaming.progress import Account, observed
 
 from test_streaming import ONCE, T0, article, land
 
@@ -164,3 +166,52 @@ def test_decided_words_are_not_counted(spark):
     broken = spark.createDataFrame([("one", 1)], "word string, count long")
     got = Sum.exact_top_words(summaries, broken, 2).collect()
     assert [tuple(r) for r in got] == [("one", 18), ("two", 10)]
+
+
+def test_a_large_lexicon_labels_alike_in_batch_and_stream(spark, tmp_path, lexicon):
+    """200,000 words: more than go into a plan."""
+    root = str(tmp_path)
+    large = spark.range(200_000).select(
+        F.concat(F.lit("w"), F.col("id")).alias("word"), (F.col("id") % 7 - 3).cast("int").alias("score"), F.lit("polar").alias("kind")
+    ).unionByName(sample_lexicon(spark))
+    large.write.parquet(f"{root}/lexicon")
+    table = read_lexicon(spark, f"{root}/lexicon")
+    texts = [f"w{i * 37 % 200_000} not w{i * 91 % 200_000} best" if i % 5 else "best that words" for i in range(60)]
+    frame = land(spark, f"{root}/in", [article(i, i, t) for i, t in enumerate(texts)])
+    found = labeller(table)
+    assert not isinstance(found, Lexicon)
+    stream = A.parsed_stream(messages.stream_topics(spark, f"{root}/in"))
+    query = P.start_partial_analytics(
+        stream, f"{root}/out", f"{root}/partials", f"{root}/c", ONCE, score=lambda new: A.scored_batch(new, found)
+    )
+    query.awaitTermination()
+    P.write_open_windows(spark, query, f"{root}/out", f"{root}/partials")
+    whole = score_articles(frame, table, key="raw_id")
+    assert stored(spark, root) == sorted(
+        (r["window_start"], r["metric_name"], r["metric_value"]) for r in B.windowed_metric_rows(whole).collect()
+    )
+    in_plan = load_lexicon(table, None)
+    assert sorted(map(tuple, with_sentiment(frame, in_plan).select("raw_id", "sentiment").collect())) == sorted(
+        map(tuple, whole.select("raw_id", "sentiment").collect())
+    )
+
+
+def test_numbers_of_a_batch_are_reported(spark, tmp_path, lexicon):
+    root = str(tmp_path)
+    land(spark, f"{root}/in", [article(i, i) for i in range(7)])
+    broken = spark.createDataFrame([("not json", T0)], "value string, timestamp timestamp")
+    messages.write_topics(broken.withColumn("topic", F.lit("scraped_articles")), f"{root}/in")
+    account = Account()
+    spark.streams.addListener(account)
+    try:
+        stream = observed(A.parsed_stream(messages.stream_topics(spark, f"{root}/in")))
+        P.start_partial_analytics(
+            stream, f"{root}/out", f"{root}/partials", f"{root}/c", ONCE, score=lambda new: A.scored_batch(new, lexicon)
+        ).awaitTermination()
+        for _ in range(50):
+            if account.batches:
+                break
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(account)
+    assert (account.total("messages"), account.total("unreadable")) == (8, 1)
