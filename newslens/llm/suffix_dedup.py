@@ -11,7 +11,8 @@ repeated passages of a document join into one span, as long as the repetition is
 
 The occurrence in the document with the least id, and there the first one, is kept; all
 others are to be removed. Texts that are equal as a whole are taken once; their copies
-are spans from end to end.
+are spans from end to end. Of rows that repeat id and text one counts as the first; the
+others are copies of it, each a span from end to end.
 
 Defined cases: null and empty texts and texts of fewer words than a passage have no spans;
 a document without an id is reported under a number from 2^62 on, made from its text; under a
@@ -38,6 +39,8 @@ PASSAGE = 50
 ANCHOR = 25
 #: Texts with copies are broadcast up to this number, else shuffled.
 BROADCAST_TEXTS = 1_000_000
+#: Parts over which rows that repeat id and text are dealt.
+SALTS = 64
 #: Suffixes that begin inside a passage.
 INSIDE = PASSAGE - ANCHOR + 1
 
@@ -182,19 +185,26 @@ def _joined(spans: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def _spans(documents: DataFrame) -> DataFrame:
-    """(id, whole, start, end, kept, first_doc_id): the spans of each text."""
+    """(id, whole, extra, start, end, kept, first_doc_id): the spans of each text.
+
+    ``extra`` spans are those of the rows beyond the first that repeat id and text.
+    """
     texts = _with_id(documents)
     anchored = materialise(texts.mapInArrow(_anchors, ANCHORS))
     # One document for each whole text; the others are copies. Only texts that have copies are
     # looked up, so that the anchors of all others stay where they are.
     long = anchored.where(F.col("words") >= PASSAGE)
-    wholes = long.groupBy("whole").agg(F.min("id").alias("head"), F.count(F.lit(1)).alias("n"))
-    wholes = materialise(wholes.where("n > 1"))
+    rows = long.groupBy("whole", "id").agg(F.count(F.lit(1)).alias("rows"))
+    wholes = rows.groupBy("whole").agg(F.min(F.struct("id", "rows")).alias("least"), F.sum("rows").alias("n"))
+    wholes = wholes.where("n > 1").select("whole", F.col("least.id").alias("head"), F.col("least.rows").alias("head_rows"), "n")
+    wholes = materialise(wholes)
     few = wholes.count() <= BROADCAST_TEXTS
     marked = long.join(F.broadcast(wholes) if few else wholes, "whole", "left")
     marked = marked.withColumns({"copies": F.coalesce("n", F.lit(1)), "head": F.coalesce("head", "id")}).drop("n")
     copies = marked.where((F.col("copies") > 1) & (F.col("id") != F.col("head")))
-    heads = marked.where(F.col("id") == F.col("head"))
+    # Rows that repeat the first one of a text are no heads of their own.
+    several_rows = marked.where((F.col("head_rows") > 1) & (F.col("id") == F.col("head"))).dropDuplicates(["id", "whole"])
+    heads = marked.where((F.col("id") == F.col("head")) & (F.coalesce("head_rows", F.lit(1)) == 1)).unionByName(several_rows)
     # Suffixes by their beginnings; those that have an equal one, or stand in a copied text.
     copied = (F.col("copies") > 1).alias("copied")
     suffixes = heads.select("id", "whole", copied, F.explode(F.arrays_zip("keys", "regions", "places")).alias("s")).select(
@@ -222,16 +232,22 @@ def _spans(documents: DataFrame) -> DataFrame:
     first = F.coalesce("first_id", "least.id", "id")
     is_first = (F.col("again") < LATER) & F.coalesce(F.col("least.whole") == F.col("whole"), F.lit(True))
     kept = ((F.col("again") == SETTLED) | is_first).alias("kept")
-    spans = known.select("id", "whole", kept, "start", "end", first.alias("first_id"))
-    whole_copies = copies.select("id", "whole", F.lit(False).alias("kept"), F.col("first").alias("start"), F.col("last").alias("end"), F.col("head").alias("first_id"))
-    return _joined(spans.unionByName(whole_copies), ["id", "whole", "kept"])
+    spans = known.select("id", "whole", F.lit(False).alias("extra"), kept, "start", "end", first.alias("first_id"))
+
+    def from_end_to_end(rows: DataFrame, extra: bool) -> DataFrame:
+        return rows.select(
+            "id", "whole", F.lit(extra).alias("extra"), F.lit(False).alias("kept"), F.col("first").alias("start"), F.col("last").alias("end"), F.col("head").alias("first_id")
+        )
+
+    every = spans.unionByName(from_end_to_end(copies, False)).unionByName(from_end_to_end(several_rows, True))
+    return _joined(every, ["id", "whole", "extra", "kept"])
 
 
 def repeated_passages(documents: DataFrame) -> DataFrame:
     """(doc_id, start, end, kept, first_doc_id): spans of characters that also stand elsewhere.
 
-    ``kept`` tells the first occurrence from those to be removed; ``first_doc_id`` is the
-    least id among the documents that hold a passage of the span.
+    ``kept`` tells the first occurrence from those to be removed (under an id whose row is
+    repeated both, of different rows); ``first_doc_id`` is the least id among the documents that hold a passage of the span.
     """
     return _spans(documents).select(F.col("id").alias("doc_id"), "start", "end", "kept", "first_doc_id")
 
@@ -245,19 +261,42 @@ def without(text: str, spans: str) -> Column:
     )
 
 
+def _one_first(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """Rows with a flag that is true for one row of each key.
+
+    A key that holds very many rows is first dealt over ``SALTS`` parts; only the first of
+    each part compete in the end.
+    """
+    dealt = rows.withColumn("part_of_key", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)))
+    order = F.lit(1)
+    dealt = dealt.withColumn("place_in_part", F.row_number().over(W.partitionBy(*keys, "part_of_key").orderBy(order)))
+    part = F.when(F.col("place_in_part") == 1, -1).otherwise(F.col("part_of_key"))
+    dealt = dealt.withColumn("part_of_key", part)
+    place = F.row_number().over(W.partitionBy(*keys, "part_of_key").orderBy(order))
+    return dealt.withColumn(name, (F.col("place_in_part") == 1) & (place == 1)).drop("part_of_key", "place_in_part")
+
+
 def remove_repeats(documents: DataFrame) -> DataFrame:
     """The documents, with every repeated passage but its first occurrence cut out.
 
     ``n_chars`` follows the text if there is such a column; all other columns stay.
     """
     cut = _spans(documents).where(~F.col("kept"))
+    span = F.struct("start", "end")
     cuts = cut.groupBy(F.col("id").alias("id_to_cut"), F.col("whole").alias("text_to_cut")).agg(
-        F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans_to_cut")
+        F.sort_array(F.collect_list(F.when(~F.col("extra"), span))).alias("first_to_cut"),
+        F.sort_array(F.collect_list(F.when(F.col("extra"), span))).alias("rest_to_cut"),
     )
     number, whole = _keys()
     marked = documents.withColumns({"id_to_cut": number, "text_to_cut": whole})
     joined = marked.join(cuts, ["id_to_cut", "text_to_cut"], "left")
-    left = F.when(F.col("spans_to_cut").isNull(), F.col("text")).otherwise(without("text", "spans_to_cut"))
+    repeated = F.coalesce(F.size("rest_to_cut") > 0, F.lit(False))
+    once = joined.where(~repeated).withColumn("spans_to_cut", F.col("first_to_cut"))
+    rest = _one_first(joined.where(repeated), ["id_to_cut", "text_to_cut"], "is_first_row")
+    rest = rest.withColumn("spans_to_cut", F.when(F.col("is_first_row"), F.col("first_to_cut")).otherwise(F.col("rest_to_cut")))
+    joined = once.unionByName(rest.drop("is_first_row"))
+    nothing = F.coalesce(F.size("spans_to_cut") == 0, F.lit(True))
+    left = F.when(nothing, F.col("text")).otherwise(without("text", "spans_to_cut"))
     columns = [left.alias("text") if c == "text" else F.col(c) for c in documents.columns]
     out = joined.select(*columns)
     if "n_chars" in documents.columns:

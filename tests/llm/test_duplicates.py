@@ -249,6 +249,29 @@ def test_removal_keeps_the_first(spark, odd, empty):
     assert suffix_dedup.repeated_passages(empty).count() == 0
 
 
+def test_repeated_rows_lose_all_copies_but_one(spark):
+    """Rows that repeat id and text: one stays as it is, the others are cut from end to end."""
+    t, u, v = sentence(71, 80), sentence(72, 90), sentence(73, 70)
+    rows = [(1, t), (1, t), (2, u), (3, t), (3, t), (4, v), (4, v), (4, v), (5, f"x {u} y"), (5, f"x {u} y"), (None, u), (None, u)]
+    left = [(r["doc_id"], r["text"].strip(" .")) for r in suffix_dedup.remove_repeats(frame(spark, rows).repartition(3)).collect()]
+    assert len(left) == len(rows)
+    for i, text, n in ((1, t, 1), (2, u, 1), (3, t, 0), (4, v, 1), (None, u, 0)):
+        mine = [x for k, x in left if k == i]
+        assert sorted(x for x in mine if x) == [text.strip(" .")] * n, i
+    # One of the two rows of 5 keeps what is its own, the other is a copy of it.
+    assert sorted(len(x) for k, x in left if k == 5)[0] == 0
+    assert sorted((x for k, x in left if k == 5), key=len)[1].startswith("x")
+    spans = {(r["doc_id"], r["kept"], r["first_doc_id"]) for r in suffix_dedup.repeated_passages(frame(spark, rows)).collect()}
+    assert {(1, True, 1), (1, False, 1), (2, True, 2), (3, False, 1), (4, True, 4), (4, False, 4), (5, False, 2)} <= spans
+
+
+def test_many_rows_of_one_id_and_text(spark):
+    t = sentence(74, 60)
+    rows = [(1, t)] * 500 + [(2, sentence(75, 60))]
+    left = [r["text"] for r in suffix_dedup.remove_repeats(frame(spark, rows).repartition(7)).collect()]
+    assert len(left) == 501 and sum(x == t for x in left) == 1 and sum(len(x) > 50 for x in left) == 2
+
+
 def test_spans_of_one_text_do_not_cut_another_under_its_id(spark):
     passage, other = sentence(70, 60), sentence(71, 60)
     clean = sentence(72, 200)
