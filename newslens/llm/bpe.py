@@ -108,6 +108,7 @@ class Encoder:
                 self.inner[name] = number
                 for n in range(1, min(len(name), 3) + 1):
                     self.reach[name[:n]] = max(self.reach.get(name[:n], 0), len(name))
+        self.longest_final = max(map(len, self.final), default=0)
 
     def compatible(self, a: np.ndarray, b: np.ndarray, until: np.ndarray | None = None) -> np.ndarray:
         """For each pair: does no merge across the border come before those inside a and b?
@@ -163,7 +164,7 @@ class Encoder:
         inner, final, reach, n = self.inner, self.final, self.reach, len(letters)
         out, at = [], 0
         while at < n:
-            if (token := final.get(letters[at:])) is not None:
+            if n - at <= self.longest_final and (token := final.get(letters[at:])) is not None:
                 out.append(token)
                 break
             longest = reach.get(letters[at : at + 3]) or reach.get(letters[at : at + 2]) or 1

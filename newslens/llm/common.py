@@ -13,6 +13,8 @@ from newslens.session import shared_folder
 
 #: Characters of text worked on at once inside a task; longer texts are taken alone.
 BATCH_CHARS = 500_000
+#: Rows whose texts a task holds as strings at once.
+PIECE_ROWS = 500
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -100,6 +102,13 @@ def sums_between(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return running[ends[1:]] - running[ends[:-1]]
 
 
+def pieces(batches: Iterator[pa.RecordBatch], rows: int = PIECE_ROWS) -> Iterator[pa.RecordBatch]:
+    """The batches cut into few rows each, so that only these become Python strings at once."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def strings(batch: pa.RecordBatch, name: str) -> list[str]:
     return ["" if x is None else x for x in batch.column(name).to_pylist()]
 
@@ -111,7 +120,7 @@ def keep_rows(documents: DataFrame, keep) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             yield batch.filter(pa.array(keep(strings(batch, "text")), pa.bool_()))
 
     return documents.mapInArrow(run, documents.schema)

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newslens.llm.common import materialise, mix64, slices, strings
+from newslens.llm.common import materialise, mix64, pieces, slices, strings
 from newslens.llm.components import components
 from newslens.llm.words import shingles, word_hashes
 
@@ -46,6 +46,8 @@ RECALL = 0.995
 BLOCK_RUNS = 300_000
 #: Nodes in a block of a cluster, about.
 BLOCK_NODES = 2000
+#: Bytes of runs that a task puts into one batch.
+BLOCK_BYTES = 8 << 20
 #: Runs shared by more nodes of a block pair than this are counted by matrix products.
 FEW = 8
 #: Pairs of nodes whose shared runs are counted at once.
@@ -133,7 +135,7 @@ def signatures(documents: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         masks, odds = _hash_family(TREES * length)
-        for batch in batches:
+        for batch in pieces(batches):
             nodes, sizes, paths = [], [], []
             texts = strings(batch, "text")
             for text, runs in zip(texts, _runs_of(texts)):
@@ -176,9 +178,10 @@ def block_pairs(documents: DataFrame, members: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["unit", "cluster", "i", "j", "block", "node", "copies", "runs"]
         kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
-        for batch in batches:
+        for batch in pieces(batches):
             rows = batch.select(["node", "cluster", "copies", "block", "blocks"]).to_pylist()
             out: list[tuple] = []
+            held = 0
             for row, runs in zip(rows, _runs_of(strings(batch, "text"))):
                 if node_of(runs) != row["node"]:  # another text under a repeated id
                     continue
@@ -186,15 +189,16 @@ def block_pairs(documents: DataFrame, members: DataFrame) -> DataFrame:
                 for other in range(row["blocks"]):
                     i, j = min(own, other), max(own, other)
                     out.append((_unit(row["cluster"], i, j), row["cluster"], i, j, own, row["node"], row["copies"], data))
-                if len(out) > 2000:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names)
-                    out = []
+                    held += len(data)
+                    if held > BLOCK_BYTES:
+                        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names)
+                        out, held = [], 0
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names)
 
-    texts = _with_id(documents).select("id", "text")
-    # A repeated id, or one text under one id twice, must not count twice.
-    joined = texts.join(members, "id")
+    texts = _with_id(documents).select("id", "whole", "text")
+    # Other texts under the same id are other nodes; one text under one id twice counts once.
+    joined = texts.join(members, ["id", "whole"])
     return joined.select("text", "node", "cluster", "copies", "block", "blocks").mapInArrow(run, BLOCKS)
 
 
@@ -311,14 +315,15 @@ def classes(documents: DataFrame) -> DataFrame:
     """(doc_id, id, whole, root, copies, n_links) of every row; equal roots are one class."""
     signed = materialise(signatures(documents))
     nodes = signed.groupBy("node").agg(
-        F.count(F.lit(1)).alias("copies"), F.min("id").alias("id"), F.first("size").alias("size"), F.first("paths").alias("paths")
+        F.count(F.lit(1)).alias("copies"), F.min(F.struct("id", "whole")).alias("least"), F.first("size").alias("size"), F.first("paths").alias("paths")
     )
-    nodes = materialise(nodes)
-    grouped = materialise(clusters(nodes.select("node", "paths")).join(nodes.select("node", "id", "copies", "size"), "node"))
+    nodes = materialise(nodes.select("node", "copies", "least.id", "least.whole", "size", "paths"))
+    known = nodes.select("node", "id", "whole", "copies", "size")
+    grouped = materialise(clusters(nodes.select("node", "paths")).join(known, "node"))
     needed = F.greatest(F.ceil(F.sum("size") / BLOCK_RUNS), F.ceil(F.count(F.lit(1)) / BLOCK_NODES))
     sizes = grouped.groupBy("cluster").agg(F.greatest(F.lit(1), needed).cast("int").alias("blocks"))
     block = F.pmod(F.xxhash64("node"), F.col("blocks").cast("long")).cast("int")
-    members = grouped.join(sizes, "cluster").select("id", "node", "cluster", "copies", block.alias("block"), "blocks")
+    members = grouped.join(sizes, "cluster").select("id", "whole", "node", "cluster", "copies", block.alias("block"), "blocks")
     units = block_pairs(documents, members).repartition("unit").sortWithinPartitions("unit", "cluster", "i", "j")
     found = materialise(units.mapInArrow(_compare_units, LINKS))
     # In a cluster of one block the root is already the least node of its component.

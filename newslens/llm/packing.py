@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newslens.llm import bpe
-from newslens.llm.common import strings
+from newslens.llm.common import pieces, strings
 
 SEQUENCE = 2048
 #: The id that ends each document.
@@ -197,7 +197,7 @@ def pack(documents: DataFrame, path: str) -> DataFrame:
         known = bpe.cache(path, bpe.id_bytes, encode=bpe.library_encode)
         stream = Stream(TaskContext.get().partitionId() << 32)
         end = np.array([SEPARATOR], "<u4").tobytes()
-        for batch in batches:
+        for batch in pieces(batches):
             ids = batch.column("doc_id").to_pylist()
             for doc_id, (words, kept) in zip(ids, known.documents(strings(batch, "text"))):
                 stream.add(doc_id, b"".join(kept) + end, _sentence_ends(words, kept))

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newslens.llm.common import code_points, keep_rows, label_sample, labelled_texts, slices, strings, sums_between
+from newslens.llm.common import code_points, keep_rows, label_sample, labelled_texts, pieces, slices, strings, sums_between
 
 #: Labelled rows used for fitting, at most about so many.
 MAX_FIT_ROWS = 20_000
@@ -245,7 +245,7 @@ def fit(documents: DataFrame, labels: DataFrame, keep: Column | None = None) ->
     sample = label_sample(labels, "quality", F.lit(True) if keep is None else keep, MAX_FIT_ROWS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             rows = _rows_of(strings(batch, "text"))
             yield pa.RecordBatch.from_arrays(
                 [
@@ -279,7 +279,7 @@ def score(documents: DataFrame, model: Model | None) -> DataFrame:
     """(doc_id, score, predicted): how likely a document is to be good."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             texts = strings(batch, "text")
             values = np.full(len(texts), 0.5) if model is None else model.scores(_rows_of(texts))
             yield pa.RecordBatch.from_arrays(

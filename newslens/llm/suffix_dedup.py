@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from newslens.llm.common import materialise, mix64, slices, strings
+from newslens.llm.common import materialise, mix64, pieces, slices, strings
 from newslens.llm.words import run_hashes, span_hashes, word_hashes
 
 PASSAGE = 50
@@ -96,7 +96,7 @@ def _texts(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray,
 
 
 def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in pieces(batches):
         words, starts, ends, keys, regions, places = [], [], [], [], [], []
         for _, hashes, first, last in _texts(batch):
             beginnings, anchors = anchor_of_passages(hashes)
@@ -128,7 +128,7 @@ def _extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     ``wanted`` holds for each such anchor its place and, if it is settled as a whole, the
     least id among the documents that hold it and whether this document is the first of them.
     """
-    for batch in batches:
+    for batch in pieces(batches):
         ids, wholes, copied = (batch.column(c).to_pylist() for c in ("id", "whole", "copied"))
         wanted = batch.column("wanted")
         borders, asked = wanted.offsets.to_numpy(), wanted.values.field("place").to_numpy(zero_copy_only=False)

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newslens.llm.common import keep_rows, label_sample, labelled_texts, strings
+from newslens.llm.common import keep_rows, label_sample, labelled_texts, pieces, strings
 
 WORD = re.compile(r"\w+")
 #: Lengths of the beginnings that stand in for unknown words, the longest first.
@@ -97,7 +97,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 )
                 counter.clear()
 
-    for batch in batches:
+    for batch in pieces(batches):
         for text, label in zip(strings(batch, "text"), batch.column("label").to_pylist()):
             counts[1 if label else 0].update(tokens(text))
             if len(counts[0]) + len(counts[1]) > _FLUSH:
@@ -244,7 +244,7 @@ def fit(documents: DataFrame, labels: DataFrame, keep=None) -> Model | None:
     raw = Model(words, stems, rate, math.log(0.1), 1.0, 0.0)
 
     def evidence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             values = [analyse(text, raw)[0] for text in strings(batch, "text")]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(values, pa.float64()), batch.column("label").cast(pa.int32())], ["x", "y"]
@@ -271,7 +271,7 @@ def score(documents: DataFrame, model: Model | None) -> DataFrame:
     """One row per document: score, prediction, evidence and the toxic passages."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             scores, evidences, passages = [], [], []
             for text in strings(batch, "text"):
                 evidence, found = (0.0, []) if model is None else analyse(text, model)

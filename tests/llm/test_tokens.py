@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 import zlib
 
 import numpy as np
@@ -153,6 +154,20 @@ def test_every_sentence_end_is_offered(mark):
     assert places == [n for w, n in zip(words, lengths) if mark in w] and len(places) == 30
 
 
+def test_a_very_long_word_takes_time_in_proportion():
+    """A blob without a blank, of many times the letters of any token."""
+    known = bpe.encoder(vocabulary())
+    r = random.Random(5)
+    blob = "".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(400_000))
+    seconds = []
+    for size in (100_000, 400_000):
+        begin = time.perf_counter()
+        ids = known.encode_words([blob[:size]])
+        seconds.append(time.perf_counter() - begin)
+    assert seconds[1] < 10 * seconds[0] + 1, seconds
+    assert ids == bpe.library_encode(known, [blob])
+
+
 def test_long_stretch_without_sentences():
     places, costs = packing.offered_places(np.array([10_000]), np.zeros(0, np.int64))
     assert np.diff(places).max() <= packing.SEQUENCE and costs.max() == packing.FORCED_CUT
