@@ -26,6 +26,7 @@ from newslens.plans import ingest as I
 from newslens.session import new_table_path
 from newslens.sources import feeds, messages, tables
 from newslens.sources.lexicon import sample_lexicon
+from newslens.sources.paged import PagedFeed
 from newslens.sources.tables import STREAM_START
 from newslens.streaming import analytics as A
 from newslens.streaming import late_pages as L
@@ -388,6 +389,25 @@ def feed_json_api(spark, folder):
     return feeds.read_api(spark, path, "Guardian", one_per_file=False)
 
 
+def feed_stream_paged(spark, folder):
+    """An API read page by page as a stream: half of the pages first, the rest after a restart."""
+    spark.dataSource.register(PagedFeed)
+    result = F.struct(F.col("title").alias("webTitle"), F.col("url").alias("webUrl"))
+    pages = page_feed(spark, folder).groupBy((F.floor(F.col("page_id") / 10) + 1).alias("page")).agg(
+        F.collect_list(result).alias("results")
+    ).select("page", F.struct("results").alias("response"))
+    landed, out, progress = (new_table_path(spark, n) for n in ("pages", "feed", "checkpoint"))
+    half = tables.pages(spark, folder).agg(F.max("page_id")).first()[0] // 20 + 1
+    for some in (F.col("page") <= half, F.col("page") > half):
+        pages.where(some).write.mode("append").partitionBy("page").json(landed)
+        (
+            spark.readStream.format("paged_feed").option("source", "Guardian").load(landed).drop("page")
+            .writeStream.format("parquet").option("path", out).option("checkpointLocation", progress)
+            .trigger(**ONCE).start().awaitTermination()
+        )
+    return spark.read.schema("source string, title string, url string").parquet(out)
+
+
 def filter_links(spark, folder):
     return feeds.without_videos(page_feed(spark, folder)).select("title", "url")
 
@@ -733,6 +753,7 @@ QUERIES: dict[str, Query] = {
     "extract_rejected": extract_rejected,
     "feed_json_api": feed_json_api,
     "feed_rss": feed_rss,
+    "feed_stream_paged": feed_stream_paged,
     "filter_links": filter_links,
     "filter_since": filter_since,
     "fk_orphans": fk_orphans,

@@ -420,6 +420,7 @@ SQL: dict[str, str] = {
         BODY, "SELECT page_id, title, content FROM extracted WHERE title = '' OR content = ''"
     ),
     "feed_json_api": with_(BODY + "," + FEED, "SELECT 'Guardian' AS source, title, url FROM feed"),
+    "feed_stream_paged": with_(BODY + "," + FEED, "SELECT 'Guardian' AS source, title, url FROM feed"),
     "feed_rss": with_(BODY + "," + FEED, "SELECT 'BBC' AS source, title, url FROM feed"),
     "filter_links": with_(
         BODY + "," + FEED, "SELECT title, url FROM feed WHERE url NOT LIKE '%/videos%'"
