@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from newslens import schemas as S
 from newslens.functions.sentiment import Lexicon, load_lexicon
 from newslens.functions.text import preview, word_count
-from newslens.functions.times import next_minute, ratio_or_zero, seconds_between
+from newslens.functions.times import clock, from_epoch, next_minute, ratio_or_zero, seconds_between
 from newslens.operators import extraction as X
 from newslens.operators import metrics as M
 from newslens.operators import quality as Q
@@ -130,6 +130,14 @@ def sentiment_custom_scorer(spark, folder):
     )
 
 
+def sentiment_without_text(spark, folder):
+    """Labels of articles of which some have a null, some an empty text."""
+    part = F.pmod("raw_id", F.lit(5))
+    content = F.when(part == 1, "").when(part != 0, F.col("content"))
+    articles = tables.articles(spark, folder).withColumn("content", content)
+    return Sent.with_sentiment(articles, lexicon(spark)).select("raw_id", "sentiment")
+
+
 def sentiment_distribution(spark, folder):
     return M.sentiment_distribution(scored(spark, folder))
 
@@ -204,6 +212,16 @@ def three_windows(spark, folder):
     return runs.groupBy("run", "window_no", "sentiment").agg(F.count(F.lit(1)).alias("count"))
 
 
+def window_clock(spark, folder):
+    """Windows by the time of day they begin and end at, and back from epoch seconds."""
+    counts = Win.tumbling_counts(tables.events(spark, folder), "ts")
+    return counts.select(
+        from_epoch(F.unix_timestamp("window_start")).alias("window_start"),
+        F.concat_ws("-", clock(F.col("window_start")), clock(F.col("window_end"))).alias("label"),
+        "count",
+    )
+
+
 def filter_since(spark, folder):
     """Messages from the second run on."""
     begin = start_time() + F.expr("INTERVAL 45 MINUTES")
@@ -337,6 +355,49 @@ def varied_hidden(spark, folder):
     return X.removed_counts(varied_pages(spark, folder))
 
 
+def varied_headings(spark, folder):
+    """Titles of pages with headings put before the article, empty ones in between, or after it."""
+    html, case, number = F.col("html"), F.col("page_id") % 4, F.col("page_id").cast("string")
+
+    def before(*markup: Column) -> Column:
+        return F.replace(html, F.lit("<article>"), F.concat(*markup, F.lit("<article>")))
+
+    pages = tables.pages(spark, folder).select(
+        "page_id",
+        "url",
+        F.when(case == 1, before(F.lit("<h2>Heading &amp; more "), number, F.lit("</h2>")))
+        .when(case == 2, before(F.lit("<h1>Old</h1><h3>First "), number, F.lit("</h3><h1></h1>")))
+        .when(case == 3, F.replace(html, F.lit("</article>"), F.lit("</article><h1>After</h1>")))
+        .otherwise(html)
+        .alias("html"),
+    )
+    return X.articles(pages).select("page_id", "title")
+
+
+def varied_blocks(spark, folder):
+    """Texts of pages whose article is a mere block: what the text ratio chooses."""
+    html = F.replace(F.replace("html", F.lit("<article>"), F.lit("<div>")), F.lit("</article>"), F.lit("</div>"))
+    pages = tables.pages(spark, folder).where(F.col("page_id") % 3 == 0).withColumn("html", html)
+    return X.articles(pages).select("page_id", "content")
+
+
+def feed_without_results(spark, folder):
+    """Feeds of which every third response has no results, next to one without entries."""
+    result = F.struct(F.col("title").alias("webTitle"), F.col("url").alias("webUrl"))
+    groups = page_feed(spark, folder).groupBy(F.floor(F.col("page_id") / 10).alias("page")).agg(F.collect_list(result).alias("results"))
+    response = F.when(F.col("page") % 3 == 0, F.lit("{}")).otherwise(
+        F.to_json(F.struct(F.struct("results").alias("response")))
+    )
+    path, empty = new_table_path(spark, "api"), new_table_path(spark, "rss")
+    groups.select(response.alias("value")).write.text(path)
+    page_feed(spark, folder).where("false").select("title", F.col("url").alias("link")).write.format("xml").option(
+        "rowTag", "item"
+    ).option("rootTag", "channel").save(empty)
+    return messages.merge(
+        feeds.read_api(spark, path, "Guardian", one_per_file=False), feeds.read_rss(spark, empty, "BBC")
+    )
+
+
 def varied_links(spark, folder):
     pages = X.with_title(varied_pages(spark, folder))
     feed = pages.select(source_of(F.col("url")).alias("source"), "title", "url")
@@ -754,6 +815,7 @@ QUERIES: dict[str, Query] = {
     "feed_json_api": feed_json_api,
     "feed_rss": feed_rss,
     "feed_stream_paged": feed_stream_paged,
+    "feed_without_results": feed_without_results,
     "filter_links": filter_links,
     "filter_since": filter_since,
     "fk_orphans": fk_orphans,
@@ -789,6 +851,7 @@ QUERIES: dict[str, Query] = {
     "sentiment_per_window": sentiment_per_window,
     "sentiment_share": sentiment_share,
     "sentiment_threshold": sentiment_threshold,
+    "sentiment_without_text": sentiment_without_text,
     "source_avg_length": source_avg_length,
     "source_statistics": source_statistics,
     "source_stats_per_window": source_stats_per_window,
@@ -811,10 +874,13 @@ QUERIES: dict[str, Query] = {
     "tumbling_counts": tumbling_counts,
     "unprocessed_raw": unprocessed_raw,
     "varied_articles": varied_articles,
+    "varied_blocks": varied_blocks,
     "varied_end_marker": varied_end_marker,
+    "varied_headings": varied_headings,
     "varied_hidden": varied_hidden,
     "varied_links": varied_links,
     "varied_rejected": varied_rejected,
+    "window_clock": window_clock,
     "word_count": word_count_per_article,
     "word_counts": word_counts,
     "word_counts_batch": word_counts_batch,

@@ -711,6 +711,57 @@ SQL.update(
         )
     }
 )
+SQL["varied_headings"] = with_(
+    """
+pages AS (
+  SELECT page_id, url, CASE page_id % 4
+      WHEN 1 THEN replace(html, '<article>', '<h2>Heading &amp; more ' || page_id || '</h2><article>')
+      WHEN 2 THEN replace(html, '<article>', '<h1>Old</h1><h3>First ' || page_id || '</h3><h1></h1><article>')
+      WHEN 3 THEN replace(html, '</article>', '</article><h1>After</h1>')
+      ELSE html END AS html
+  FROM pages
+),"""
+    + BODY,
+    """SELECT e.page_id, CASE WHEN a.page_id IS NOT NULL AND e.page_id % 4 = 1 THEN 'Heading & more ' || e.page_id
+         WHEN a.page_id IS NOT NULL AND e.page_id % 4 = 2 THEN 'First ' || e.page_id ELSE e.title END AS title
+       FROM extracted e LEFT JOIN article a ON a.page_id = e.page_id""",
+)
+SQL["varied_blocks"] = with_(
+    """
+pages AS (
+  SELECT page_id, url, replace(replace(html, '<article>', '<div>'), '</article>', '</div>') AS html
+  FROM pages WHERE page_id % 3 = 0
+),"""
+    + BODY
+    + ","
+    + TEXT_BLOCKS.replace("n.tag = 'article'", "n.tag IN ('article', 'div')")
+    + """,
+chosen AS (
+  SELECT b.page_id, b.first, coalesce(b.last, 1000000000) AS last FROM blocks b
+  JOIN ratios r ON r.page_id = b.page_id AND r.first = b.first JOIN limits l ON l.page_id = b.page_id
+  WHERE r.ratio >= l.ratio
+  UNION ALL
+  SELECT page_id, -1, 1000000000 FROM limits l WHERE NOT EXISTS (
+    SELECT 1 FROM ratios r WHERE r.page_id = l.page_id AND r.ratio >= l.ratio)
+)""",
+    f"""SELECT p.page_id, coalesce(t.text, '') AS content FROM pages p LEFT JOIN (
+          SELECT page_id, string_agg(s, ' ' ORDER BY pos) AS text FROM (
+            SELECT k.page_id, k.pos, {strip(entities('k.token'))} AS s FROM kept k WHERE k.kind = 'text'
+              AND EXISTS (SELECT 1 FROM chosen c WHERE c.page_id = k.page_id AND k.pos > c.first AND k.pos < c.last))
+          WHERE s <> '' GROUP BY page_id) t ON t.page_id = p.page_id""",
+)
+SQL["feed_without_results"] = with_(
+    BODY + "," + FEED, "SELECT 'Guardian' AS source, title, url FROM feed WHERE page_id // 10 % 3 <> 0"
+)
+SQL["sentiment_without_text"] = with_(
+    SCORED, "SELECT raw_id, CASE WHEN raw_id % 5 IN (0, 1) THEN 'neutral' ELSE sentiment END AS sentiment FROM scored"
+)
+SQL["window_clock"] = """
+  SELECT time_bucket(INTERVAL '15 minutes', ts) AS window_start,
+         strftime(time_bucket(INTERVAL '15 minutes', ts), '%H:%M') || '-'
+           || strftime(time_bucket(INTERVAL '15 minutes', ts) + INTERVAL '15 minutes', '%H:%M') AS label,
+         count(*) AS count
+  FROM events GROUP BY ALL"""
 SQL["varied_articles"] = with_(
     VARIED + BODY, "SELECT page_id, title, regexp_replace(content, ' +', ' ', 'g') AS content FROM extracted"
 )
