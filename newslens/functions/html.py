@@ -68,6 +68,9 @@ IMPLIED_END = {
 HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")
 BLOCKS = ("p", "div")
 SPINE = ("article", *HEADINGS)
+# Elements that stand for a missing article, in this order, by their class.
+CLASSED = ("div", "section")
+ARTICLE_CLASS = "article|content|main|story"
 TRACKED = (*SPINE, *BLOCKS, *RATIO_SKIPPED_TAGS)
 
 # A token: comment, raw-text element, declaration, tag (quotes respected where they
@@ -348,6 +351,22 @@ def first_article(els: Column) -> Column:
     return F.array_min(spans)
 
 
+def article_by_class(toks: Column, els: Column) -> Column:
+    """The first article; without one the first kept div, without that the first kept section,
+    whose class names an article. Null when there is none of them."""
+
+    def first_of(tag: str) -> Column:
+        named = F.filter(
+            kept_elements(els, (tag,)),
+            lambda e: attribute(F.get(toks, e["first"])["text"], "class").rlike(ARTICLE_CLASS),
+        )
+        return F.array_min(
+            F.transform(named, lambda e: F.struct(e["first"].alias("first"), e["last"].alias("last")))
+        )
+
+    return F.coalesce(first_article(els), *[first_of(tag) for tag in CLASSED])
+
+
 def shown_texts(toks: Column, els: Column) -> Column:
     """What each token shows: its text, a break for a tag, '' for a comment and for
     everything removed. Text on both sides of the latter runs together."""

@@ -107,7 +107,7 @@ def removed_counts(pages: DataFrame) -> DataFrame:
     )
 
 
-def _article_column(repeat_nested: bool) -> Column:
+def _article_column(repeat_nested: bool, by_class: bool) -> Column:
     """``struct(title, content)`` of a page, null without a body."""
 
     def extract(page: Column) -> Column:
@@ -127,17 +127,22 @@ def _article_column(repeat_nested: bool) -> Column:
 
                 return let(H.pieces_of(shown, spans), finish)
 
-            return F.when(H.has_content(toks), let(H.first_article(els), read))
+            article = H.article_by_class(toks, els) if by_class else H.first_article(els)
+            return F.when(H.has_content(toks), let(article, read))
 
-        return _with_text(page, from_body)
+        return _with_text(page, from_body, (*H.SPINE, *H.CLASSED) if by_class else H.SPINE)
 
     return let(_page(), extract)
 
 
-def articles(pages: DataFrame, repeat_nested: bool = False) -> DataFrame:
-    """Title and text of each page, the other columns kept; '' where there is none."""
+def articles(pages: DataFrame, repeat_nested: bool = False, by_class: bool = False) -> DataFrame:
+    """Title and text of each page, the other columns kept; '' where there is none.
+
+    ``by_class`` also takes a div or section for the article whose class says so, before the
+    text ratio chooses.
+    """
     nothing = F.struct(F.lit("").alias("title"), F.lit("").alias("content"))
-    found = F.coalesce(_column(pages, _article_column, repeat_nested), nothing)
+    found = F.coalesce(_column(pages, _article_column, repeat_nested, by_class), nothing)
     # Generated rows: a filter on title or content stays above the extraction, where a
     # filter on a projected column would be pushed into it and extract a second time.
     return pages.select(

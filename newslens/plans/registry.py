@@ -381,6 +381,23 @@ def varied_blocks(spark, folder):
     return X.articles(pages).select("page_id", "content")
 
 
+def varied_cascade(spark, folder):
+    """Pages whose article is a div or a section with a telling class."""
+    html, case = F.col("html"), F.col("page_id") % 3
+
+    def turned(tag: str, opening: str) -> Column:
+        opened = F.replace(html, F.lit("<article>"), F.lit(opening))
+        return F.replace(opened, F.lit("</article>"), F.lit(f"</{tag}>"))
+
+    pages = tables.pages(spark, folder).withColumn(
+        "html",
+        F.when(case == 0, turned("div", '<div class="story-text">'))
+        .when(case == 1, turned("section", "<section class='the main'>"))
+        .otherwise(html),
+    )
+    return X.articles(pages, by_class=True).select("page_id", "title", "content")
+
+
 def feed_without_results(spark, folder):
     """Feeds of which every third response has no results, next to one without entries."""
     result = F.struct(F.col("title").alias("webTitle"), F.col("url").alias("webUrl"))
@@ -875,6 +892,7 @@ QUERIES: dict[str, Query] = {
     "unprocessed_raw": unprocessed_raw,
     "varied_articles": varied_articles,
     "varied_blocks": varied_blocks,
+    "varied_cascade": varied_cascade,
     "varied_end_marker": varied_end_marker,
     "varied_headings": varied_headings,
     "varied_hidden": varied_hidden,

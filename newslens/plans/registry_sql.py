@@ -750,6 +750,7 @@ chosen AS (
               AND EXISTS (SELECT 1 FROM chosen c WHERE c.page_id = k.page_id AND k.pos > c.first AND k.pos < c.last))
           WHERE s <> '' GROUP BY page_id) t ON t.page_id = p.page_id""",
 )
+SQL["varied_cascade"] = with_(BODY, "SELECT page_id, title, content FROM extracted")
 SQL["feed_without_results"] = with_(
     BODY + "," + FEED, "SELECT 'Guardian' AS source, title, url FROM feed WHERE page_id // 10 % 3 <> 0"
 )

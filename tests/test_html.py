@@ -289,3 +289,16 @@ def test_names_and_padded_numbers_of_characters(spark):
     frame = spark.createDataFrame([(1, "u", page)], "page_id long, url string, html string")
     (row,) = X.articles(frame).collect()
     assert row["content"] == "it's … ≂̸ A A &nosuch;"
+
+
+def test_articles_by_class(spark):
+    """The order is article, div, section; the class of a removed element does not count."""
+    pages = [
+        '<body><section class="story">s</section><div class="x main-y">d</div></body>',
+        '<body><div class="content">d</div><article>a</article></body>',
+        '<body><div class="main ads">no</div><section class="x story">s</section></body>',
+        '<body><div class="plain"><p>p text</p></div></body>',
+    ]
+    rows = spark.createDataFrame(list(enumerate(pages)), "page_id int, html string")
+    found = {r["page_id"]: r["content"] for r in X.articles(rows, by_class=True).collect()}
+    assert found == {0: "d", 1: "a", 2: "s", 3: "p text"}
