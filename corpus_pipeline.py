@@ -3,6 +3,15 @@
 A stage takes (spark, docs, sf_dir) and returns a table; all but the last return the columns
 of ``documents``. Each is written as Parquet and read again by the next one, so a lost
 executor never costs more than the stage at hand.
+
+In every stage null texts count as empty ones, rows without an id are told apart by their
+texts, an empty table stays empty, and all columns of the documents are kept, whatever their
+names. Of rows that repeat id and text the first two stages keep all or none, the third one.
+Ties between copies go to the least id, then to the least hash of the text.
+
+In every stage null texts count as empty ones, a null id is an id of its own kind, an empty
+table stays empty, and all columns of the documents are kept, whatever their names. Of rows
+that repeat id and text the first two stages keep all or none, the third one.
 """
 
 from __future__ import annotations

@@ -17,7 +17,8 @@ the original vectors in double precision.
 Defined cases: vectors that are null, empty, zero, or hold null or non-finite components
 take no part, nor do those whose length is not the most frequent one (the smaller of equal
 ones); rows without an id take no part; a repeated id with the same vector is one row;
-ties go to the smaller id; fewer candidates than asked for are all returned.
+ties go to the smaller id; fewer candidates than asked for are all returned; an empty table
+gives no rows; columns other than id and vector are not read.
 """
 
 from __future__ import annotations

@@ -12,8 +12,9 @@ file with ``add_special_tokens=False``.
 
 Defined cases: a null text is an empty one and has no tokens; each input row yields one
 row, also for null or repeated ids; the file's special tokens standing in a text are one
-token each unless ``specials`` is false. Whole texts are encoded; a single word of any
-length takes time n log n.
+token each unless ``specials`` is false; an empty table gives no rows; columns other than
+id and text are not read. Whole texts are encoded; a single word of any length takes time
+n log n.
 """
 
 from __future__ import annotations

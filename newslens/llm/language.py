@@ -9,7 +9,8 @@ corpus; scoring adds up its rows for all n-grams of many texts at once.
 Defined cases: a null text, or one without a letter, gets ``und`` and score 0, as does
 every text when nothing could be learned; rows with a null language are not learned from;
 each input row yields one row, also for null or repeated ids. Ties go to the language
-that sorts first. Whole texts are read.
+that sorts first; an empty table gives no rows; columns other than id, text and lang are
+not read. Whole texts are read.
 """
 
 from __future__ import annotations

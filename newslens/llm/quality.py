@@ -12,7 +12,8 @@ numbers of features and bins alone.
 
 Defined cases: a null text is scored as an empty one; each input row yields one row, also
 for null or repeated ids; without labelled rows of both classes every score is 0.5, so
-that no document is rejected. Whole texts are read.
+that no document is rejected; an empty table gives no rows; columns other than id and text
+are not read, and ``without_poor`` keeps them as they are. Whole texts are read.
 """
 
 from __future__ import annotations

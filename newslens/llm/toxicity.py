@@ -11,7 +11,8 @@ function, fitted on the labelled rows, of the evidence of its segments.
 
 Defined cases: a null or empty text has no words and the score of no evidence; a null or
 repeated doc_id yields one row per input row; without labelled rows of both classes all
-scores are 0. Texts are read whole.
+scores are 0; an empty table gives no rows; columns other than id and text are not read, and
+``without_toxic`` keeps them as they are. Texts are read whole.
 """
 
 from __future__ import annotations
