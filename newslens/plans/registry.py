@@ -796,7 +796,9 @@ def rollup_top_words_exact(spark, folder):
     framed = Win.with_window(tables.articles(spark, folder))
     window = ["window_start", "window_end"]
     counts = W.count_words(W.long_words(framed, window), window)
-    stored = Sum.summary_rows(Sum.summarise(counts, window, 20), "streaming")
+    path = new_table_path(spark, "summaries")
+    Sum.summary_rows(Sum.summarise(counts, window, 20), "streaming").write.parquet(path)
+    stored = spark.read.parquet(path)
     words = W.long_words(tables.articles(spark, folder)).withColumn("count", F.lit(1).cast("bigint"))
     return Sum.exact_top_words(Sum.stored_summaries(stored), words, W.STREAM_TOP)
 

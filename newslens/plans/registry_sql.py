@@ -6,11 +6,14 @@ cut with one alternative per raw-text element.
 
 from __future__ import annotations
 
-from newslens.functions.text import STOP_WORDS
-from newslens.functions.times import RUN_WINDOWS
-from newslens.functions.sentiment import NEGATED, PLAIN
 from newslens.sources.lexicon import SAMPLE
 
+# Fixed values, written out here and not taken from the operators, so that a wrong one shows.
+# The sample lexicon is data, as the tables are.
+STOP_WORDS = ("the", "a", "an", "and", "or", "but", "in", "on", "at", "to", "for", "is", "are", "was", "were")
+RUN_WINDOWS = 3
+PLAIN, NEGATED = 1000, -500
+
 # Fixed value: the characters Python takes for blank.
 BLANKS = (
     r"\x{09}-\x{0D}\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"

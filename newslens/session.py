@@ -46,7 +46,8 @@ def shared_folder(spark: SparkSession) -> str:
     if not folder:
         folder = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        # "local-cluster" has executors of their own, which share no temporary folder.
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         folder = spark.conf.get("newslens.scratch", None)
         if not folder:

@@ -128,9 +128,11 @@ def _drop(spark: SparkSession, path: str) -> None:
 
 def _finished_dates(counts: DataFrame, run: str, closed: int) -> list[str]:
     """Dates of a run all of whose windows are closed: few, as they are deleted one batch later."""
-    dates = counts.where(F.col("run") == run).groupBy("window_date").agg(F.max(micros(F.col("window_end"))).alias("last"))
-    day_over = micros(F.date_add("window_date", 1).cast("timestamp")) <= closed
-    return [str(r["window_date"]) for r in dates.where(day_over & (F.col("last") <= closed)).select("window_date").collect()]
+    # The day itself is over: a filter on folders, so no file of an open day is read.
+    day_over = F.date_add("window_date", 1) <= F.to_date(F.timestamp_micros(F.lit(max(closed, 0))))
+    old = counts.where((F.col("run") == run) & day_over)
+    dates = old.groupBy("window_date").agg(F.max(micros(F.col("window_end"))).alias("last"))
+    return [str(r["window_date"]) for r in dates.where(F.col("last") <= closed).select("window_date").collect()]
 
 
 def write_windows(counts: DataFrame, path: str, run: str, epoch_id: int, top: int, listed: int) -> None:
@@ -159,9 +161,13 @@ def partial_writer(
     batch is a table, so it may join a lexicon of any size.
     """
 
+    length: list[int] = []
+
     def write(batch: DataFrame, epoch_id: int) -> None:
         began, spark, run = time.time(), batch.sparkSession, stream_id(batch)
-        behind = spark.sql(f"SELECT CAST(unix_micros(TIMESTAMP_MICROS(0) + INTERVAL {lateness}) AS BIGINT) AS n").first()["n"]
+        if not length:
+            length.append(spark.sql(f"SELECT unix_micros(timestamp_micros(0) + INTERVAL {lateness}) AS n").first()["n"])
+        behind = length[0]
         batch.persist()
         try:
             last = clock(spark, partials, run, epoch_id)
