@@ -631,12 +631,19 @@ def streamed_results(
 ) -> DataFrame:
     """Stored rows of all windows of a stream that has ended, or of one run from ``start``."""
     stream = landed_messages(spark, folder) if messages is None else messages
-    counts = A.windowed_counts(A.scored_stream(stream, lexicon(spark)), start)
-    path, progress = new_table_path(spark, "analytics"), new_table_path(spark, "checkpoint")
-    query = A.start_analytics(counts, path, progress, ONCE)
+    path, partials, progress = (new_table_path(spark, n) for n in ("analytics", "partials", "checkpoint"))
+    query = P.start_partial_analytics(
+        A.scored_stream(stream, lexicon(spark)), path, partials, progress, ONCE, start=start
+    )
     query.awaitTermination()
-    A.finish(spark, query, path, progress)
-    return spark.read.schema(S.ANALYTICS_RESULTS).parquet(path)
+    P.write_open_windows(spark, query, path, partials)
+    return stored_rows(spark, path)
+
+
+def stored_rows(spark: SparkSession, path: str) -> DataFrame:
+    """The newest row of each window and metric, without the summaries of words."""
+    results = M.latest(spark.read.schema(S.ANALYTICS_RESULTS).parquet(path))
+    return results.where(F.col("metric_name") != Sum.SUMMARY)
 
 
 def stream_three_windows(spark, folder):

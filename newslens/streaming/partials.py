@@ -118,7 +118,9 @@ def all_counts(spark: SparkSession, partials: str) -> DataFrame:
 
 
 def _dated(counts: DataFrame) -> DataFrame:
-    return counts.withColumn("window_date", F.to_date("window_start"))
+    """Counts with their date, the rows of a date in few tasks: else each task would write a file
+    for each date. Of a date that is large several tasks take a part."""
+    return counts.withColumn("window_date", F.to_date("window_start")).hint("rebalance", F.col("window_date"))
 
 
 def _drop(spark: SparkSession, path: str) -> None:
@@ -190,15 +192,13 @@ def partial_writer(
 
             done = micros(F.col("window_end")).between(last["closed"] + 1, closed)
             ready = open_counts(spark, partials).where((F.col("run") == run) & (F.col("epoch_id") <= epoch_id) & done)
-            whole = added(ready).persist()
-            try:
-                if not whole.isEmpty():
-                    write_step(_dated(whole), f"{partials}/counts", run, epoch_id, ("window_date",))
-                    write_windows(whole, path, run, epoch_id, top, listed)
-                    if timing_path:
-                        write_timing(whole, began, timing_path, run, epoch_id)
-            finally:
-                whole.unpersist()
+            if not ready.isEmpty():
+                write_step(_dated(added(ready)), f"{partials}/counts", run, epoch_id, ("window_date",))
+                # Read back rather than kept: the counts of a long batch are many.
+                whole = closed_counts(spark, partials).where((F.col("run") == run) & (F.col("epoch_id") == epoch_id))
+                write_windows(whole, path, run, epoch_id, top, listed)
+                if timing_path:
+                    write_timing(whole, began, timing_path, run, epoch_id)
             tick = spark.range(1).select(F.lit(seen).cast("bigint").alias("seen"), F.lit(closed).cast("bigint").alias("closed"))
             write_step(tick, f"{partials}/clock", run, epoch_id)
             _drop(spark, f"{partials}/clock/run={run}/epoch_id={epoch_id - 2}")
