@@ -21,7 +21,7 @@ def written(spark, tmp_path, monkeypatch):
     return f"{tmp_path}/out"
 
 
-@pytest.mark.parametrize("query", [R.stream_metric_rows])
+@pytest.mark.parametrize("query", [R.stream_metric_rows, R.stream_report])
 def test_no_words_as_state(spark, written, query):
     assert query(spark, FOLDER).count() > 40
     assert glob.glob(f"{written}/checkpoint-*/offsets/*")
