@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -675,6 +675,20 @@ def land_in_order(rows: DataFrame, part: Column, parts: int, path: str, form: st
         one.write.mode("append").format(form).save(path)
 
 
+def land(rows: DataFrame, path: str, form: str) -> None:
+    """The rows as files of as many tasks as hold them. A job that is run after each landing
+    takes them as one batch, however many files they are."""
+    rows.write.mode("append").format(form).save(path)
+
+
+def landed_parts(rows: DataFrame, part: Column, parts: int, path: str) -> Iterator[int]:
+    """Messages part by part: each number is given out when its messages have landed."""
+    numbered = rows.withColumn("_part", part)
+    for i in range(parts):
+        land(numbered.where(F.col("_part") == i).drop("_part"), path, "json")
+        yield i
+
+
 def sent_feed(spark: SparkSession, folder: str) -> DataFrame:
     """Feed messages, one a minute by page number, with the number as their key."""
     feed = page_feed(spark, folder)
@@ -787,14 +801,13 @@ def stream_late_counts(spark, folder):
     at = (F.unix_micros("timestamp") - F.unix_micros(start_time())) / third
     held_back = (at < 1) & (F.pmod(F.unix_micros("timestamp"), F.lit(660_000_000)) == 0)
     part = F.when(held_back, 2).when(at < 1, 0).when(at < 2, 1).otherwise(2)
-    topics = new_table_path(spark, "messages")
-    land_in_order(sent.withColumn("key", F.lit("")), part, 3, topics, "json")
-    path, partials, progress = (new_table_path(spark, n) for n in ("analytics", "partials", "checkpoint"))
-    landed = A.parsed_stream(messages.stream_topics(spark, topics, S.SCRAPED_TOPIC, files_per_batch=1))
+    topics, path, partials, progress = (new_table_path(spark, n) for n in ("messages", "analytics", "partials", "checkpoint"))
     lex = lexicon(spark)
-    P.start_partial_analytics(
-        landed, path, partials, progress, ONCE, score=lambda new: A.scored_batch(new, lex)
-    ).awaitTermination()
+    for _ in landed_parts(sent.withColumn("key", F.lit("")), part, 3, topics):
+        landed = A.parsed_stream(messages.stream_topics(spark, topics, S.SCRAPED_TOPIC))
+        P.start_partial_analytics(
+            landed, path, partials, progress, ONCE, score=lambda new: A.scored_batch(new, lex)
+        ).awaitTermination()
     return P.late_counts(spark, partials)
 
 

@@ -21,6 +21,14 @@ def written(spark, tmp_path, monkeypatch):
     return f"{tmp_path}/out"
 
 
+@pytest.fixture
+def dealt(spark, tmp_path):
+    """Tables of four files each."""
+    for name in ("documents", "pages"):
+        spark.read.parquet(f"{FOLDER}/{name}.parquet").repartition(4).write.parquet(f"{tmp_path}/in/{name}.parquet")
+    return f"{tmp_path}/in"
+
+
 @pytest.mark.parametrize("query", [R.stream_metric_rows, R.stream_report])
 def test_no_words_as_state(spark, written, query):
     assert query(spark, FOLDER).count() > 40
@@ -41,3 +49,15 @@ def test_files_of_counts_do_not_grow_with_dates_times_tasks(spark, tmp_path, mon
     for name in ("open", "counts"):
         files = glob.glob(f"{tmp_path}/partials/{name}/window_date=*/*/*/part-*")
         assert len(files) <= 25, name
+
+
+@pytest.mark.parametrize(
+    ("query", "landed", "parts"),
+    [
+        (R.stream_late_counts, "messages", 3),
+    ],
+)
+def test_tables_land_from_all_tasks(spark, written, dealt, query, landed, parts):
+    """More files than parts that land: a part is not written by a single task."""
+    assert query(spark, dealt).count() > 0
+    assert len(glob.glob(f"{written}/{landed}-*/part-*")) > parts
