@@ -774,20 +774,20 @@ def partial_stream(spark: SparkSession, folder: str, parts: int = 3) -> tuple[Da
     first, last = (sent.agg(f("timestamp")).first()[0] for f in (F.min, F.max))
     share = F.unix_micros("timestamp") - F.unix_micros(F.lit(first))
     length = F.unix_micros(F.lit(last)) - F.unix_micros(F.lit(first)) + 1
-    topics = new_table_path(spark, "messages")
-    land_in_order(sent.withColumn("key", F.lit("")), F.floor(share * parts / length), parts, topics, "json")
-    path, partials, progress = (new_table_path(spark, n) for n in ("analytics", "partials", "checkpoint"))
-    landed = messages.stream_topics(spark, topics, S.SCRAPED_TOPIC, files_per_batch=1)
-    query = P.start_partial_analytics(A.scored_stream(landed, lexicon(spark)), path, partials, progress, ONCE)
-    query.awaitTermination()
+    topics, path, partials, progress = (new_table_path(spark, n) for n in ("messages", "analytics", "partials", "checkpoint"))
+    lex = lexicon(spark)
+    for _ in landed_parts(sent.withColumn("key", F.lit("")), F.floor(share * parts / length), parts, topics):
+        landed = messages.stream_topics(spark, topics, S.SCRAPED_TOPIC)
+        query = P.start_partial_analytics(A.scored_stream(landed, lex), path, partials, progress, ONCE)
+        query.awaitTermination()
     P.write_open_windows(spark, query, path, partials)
-    return M.latest(spark.read.parquet(path)), partials
+    return stored_rows(spark, path), partials
 
 
 def stream_metric_rows_partial(spark, folder):
     """The rows of ``stream_metric_rows`` from partial counts; no state holds words."""
     results, _ = partial_stream(spark, folder)
-    return results.where(F.col("metric_name") != Sum.SUMMARY).select(
+    return results.select(
         "window_start", "window_end", "metric_name", "metric_value", "processing_type"
     )
 

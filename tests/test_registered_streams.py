@@ -55,6 +55,7 @@ def test_files_of_counts_do_not_grow_with_dates_times_tasks(spark, tmp_path, mon
     ("query", "landed", "parts"),
     [
         (R.stream_late_counts, "messages", 3),
+        (R.stream_metric_rows_partial, "messages", 3),
     ],
 )
 def test_tables_land_from_all_tasks(spark, written, dealt, query, landed, parts):
