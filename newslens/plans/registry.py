@@ -689,6 +689,12 @@ def landed_parts(rows: DataFrame, part: Column, parts: int, path: str) -> Iterat
         yield i
 
 
+def page_days(spark: SparkSession, folder: str) -> int:
+    """Days that the feed of all pages lasts, one a minute by page number."""
+    last = tables.pages(spark, folder).agg(F.max("page_id")).first()[0]
+    return (last or 0) // (24 * 60) + 2
+
+
 def sent_feed(spark: SparkSession, folder: str) -> DataFrame:
     """Feed messages, one a minute by page number, with the number as their key."""
     feed = page_feed(spark, folder)
@@ -709,29 +715,29 @@ def stream_late_pages(spark, folder):
         "page_id", "url", "html", (start_time() + minutes).alias("crawled_at")
     )
     again = pages.where(number % 7 == 0).withColumn("crawled_at", F.col("crawled_at") + F.expr("INTERVAL 2 MINUTES"))
+    # Files of one batch hold days of messages here; the lateness covers the whole table.
+    days = page_days(spark, folder)
     # Something that lands long after, so that what still waits is given up. The page has a
     # url, because one without is left out before the watermark sees it.
-    end = spark.range(1).select((start_time() + F.expr("INTERVAL 1000 DAYS")).alias("end"))
-    crawled = new_table_path(spark, "crawled")
-    every = pages.unionByName(again).withColumn("_late", F.when(number % 3 == 0, 1).otherwise(0)).unionByName(
-        end.select(F.lit(-1).cast("bigint").alias("page_id"), F.lit("end").alias("url"),
-                   F.lit("").alias("html"), F.col("end").alias("crawled_at"), F.lit(2).alias("_late"))
-    )
-    land_in_order(every.drop("page_id"), F.col("_late"), 3, crawled, "parquet")
-    topics = new_table_path(spark, "feeds")
-    feed = sent_feed(spark, folder).withColumn("_end", F.lit(0)).unionByName(
-        end.select(F.lit(S.FEED_TOPICS["BBC"]).alias("topic"), F.lit("{}").alias("value"),
-                   F.col("end").alias("timestamp"), F.lit("end").alias("key"), F.lit(1).alias("_end"))
+    end = spark.range(1).select((start_time() + F.make_dt_interval(days=F.lit(3 * days))).alias("end"))
+    last_page = end.select(F.lit("end").alias("url"), F.lit("").alias("html"), F.col("end").alias("crawled_at"))
+    last_record = end.select(
+        F.lit(S.FEED_TOPICS["BBC"]).alias("topic"), F.lit("{}").alias("value"),
+        F.col("end").alias("timestamp"), F.lit("end").alias("key"),
     )
-    land_in_order(feed, F.col("_end"), 2, topics, "json")
-    landed = messages.stream_topics(spark, topics, files_per_batch=1)
-    # Files of one batch hold days of messages here; the lateness covers the whole table.
-    lateness = "500 days"
-    out, progress = new_table_path(spark, "tables"), new_table_path(spark, "checkpoint")
-    L.start_waiting_ingest(
-        L.feed_records(landed, lateness=lateness), L.crawled_pages(spark, crawled, files_per_batch=1),
-        lexicon(spark), out, progress, ONCE, lateness=lateness,
-    ).awaitTermination()
+    every, record = pages.unionByName(again), sent_feed(spark, folder)
+    crawled, topics, out, progress = (new_table_path(spark, n) for n in ("crawled", "feeds", "tables", "checkpoint"))
+    lex = lexicon(spark)
+    for new_pages, new_records in (
+        (every.where(~late).drop("page_id"), record), (every.where(late).drop("page_id"), None), (last_page, last_record)
+    ):
+        land(new_pages, crawled, "parquet")
+        if new_records is not None:
+            land(new_records, topics, "json")
+        L.start_waiting_ingest(
+            L.feed_records(messages.stream_topics(spark, topics), lateness=f"{days} days"),
+            L.crawled_pages(spark, crawled), lex, out, progress, ONCE, lateness=f"{days} days",
+        ).awaitTermination()
     done = spark.read.parquet(f"{out}/processed").select("raw_article_id", "source", F.lit("processed").alias("outcome"), "word_count")
     gone = spark.read.parquet(f"{out}/rejected").where("url IS NOT NULL").select(
         "raw_article_id", "source", F.lit("rejected").alias("outcome"), F.lit(None).cast("int").alias("word_count")

@@ -56,9 +56,24 @@ def test_files_of_counts_do_not_grow_with_dates_times_tasks(spark, tmp_path, mon
     [
         (R.stream_late_counts, "messages", 3),
         (R.stream_metric_rows_partial, "messages", 3),
+        (R.stream_late_pages, "crawled", 3),
+        (R.stream_late_pages, "feeds", 2),
     ],
 )
 def test_tables_land_from_all_tasks(spark, written, dealt, query, landed, parts):
     """More files than parts that land: a part is not written by a single task."""
     assert query(spark, dealt).count() > 0
     assert len(glob.glob(f"{written}/{landed}-*/part-*")) > parts
+
+
+def test_lateness_covers_the_pages(spark, tmp_path):
+    """A feed that lasts longer than any fixed number of days loses no record."""
+    pages = spark.read.parquet(f"{FOLDER}/pages.parquet")
+    far = pages.withColumn("page_id", F.col("page_id") + 3 * 1_000_000 * (F.col("page_id") % 2)).withColumn(
+        "url", F.concat("url", F.lit("?n="), F.col("page_id"))
+    )
+    far.write.parquet(f"{tmp_path}/pages.parquet")
+    rows = R.stream_late_pages(spark, str(tmp_path)).collect()
+    assert len(rows) == pages.count()
+    crawled = far.where(F.col("page_id") % 5 != 4).count()
+    assert sum(r["outcome"] == "processed" for r in rows) == crawled
