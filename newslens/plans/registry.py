@@ -667,14 +667,6 @@ def stream_from_ingest(spark, folder):
     return moods.groupBy("sentiment").agg(F.sum("count").alias("count"))
 
 
-def land_in_order(rows: DataFrame, part: Column, parts: int, path: str, form: str) -> None:
-    """The rows as one file per part, the parts one after the other, as they would land."""
-    numbered = rows.withColumn("_part", part)
-    for i in range(parts):
-        one = numbered.where(F.col("_part") == i).drop("_part").coalesce(1)
-        one.write.mode("append").format(form).save(path)
-
-
 def land(rows: DataFrame, path: str, form: str) -> None:
     """The rows as files of as many tasks as hold them. A job that is run after each landing
     takes them as one batch, however many files they are."""
@@ -746,25 +738,19 @@ def stream_late_pages(spark, folder):
 
 
 def stream_distinct_articles(spark, folder):
-    """Records of a feed that is polled three times, the third time after a restart."""
+    """Records of a feed that is polled three times, each time after a restart."""
     feed = sent_feed(spark, folder).withColumn("poll", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))))
     shift = F.make_dt_interval(mins=F.col("poll") * 10)
     feed = feed.withColumn("timestamp", F.col("timestamp") + shift).withColumn("key", F.concat_ws("-", "key", "poll"))
     topics, out, progress = (new_table_path(spark, n) for n in ("feeds", "distinct", "checkpoint"))
-
-    def poll() -> None:
-        landed = messages.stream_topics(spark, topics, files_per_batch=1)
-        records = L.distinct_records(L.feed_records(landed, lateness="500 days"))
+    lateness = f"{page_days(spark, folder)} days"
+    for _ in landed_parts(feed, F.col("poll"), 3, topics):
+        records = L.distinct_records(L.feed_records(messages.stream_topics(spark, topics), lateness=lateness))
         (
             records.select("source", "title", "url")
             .writeStream.format("parquet").option("path", out).option("checkpointLocation", progress)
             .trigger(**ONCE).start().awaitTermination()
         )
-
-    land_in_order(feed.where("poll < 2"), F.col("poll"), 2, topics, "json")
-    poll()
-    land_in_order(feed.where("poll = 2"), F.lit(0), 1, topics, "json")
-    poll()
     return spark.read.schema("source string, title string, url string").parquet(out)
 
 

@@ -58,6 +58,7 @@ def test_files_of_counts_do_not_grow_with_dates_times_tasks(spark, tmp_path, mon
         (R.stream_metric_rows_partial, "messages", 3),
         (R.stream_late_pages, "crawled", 3),
         (R.stream_late_pages, "feeds", 2),
+        (R.stream_distinct_articles, "feeds", 3),
     ],
 )
 def test_tables_land_from_all_tasks(spark, written, dealt, query, landed, parts):
