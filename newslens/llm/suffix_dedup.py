@@ -28,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -41,6 +42,8 @@ ANCHOR = 25
 BROADCAST_TEXTS = 1_000_000
 #: Parts over which rows that repeat id and text are dealt.
 SALTS = 64
+#: Suffixes from which on a beginning is frequent, and the most frequent beginnings that are sent to all tasks.
+FREQUENT, FREQUENT_BEGINNINGS = 1_000, 100_000
 #: Suffixes that begin inside a passage.
 INSIDE = PASSAGE - ANCHOR + 1
 
@@ -122,6 +125,56 @@ def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _frequent(groups: DataFrame) -> list:
+    """The groups of the beginnings that most suffixes share, in order of their keys.
+
+    The line rises with the number of suffixes, so there are never more than
+    ``FREQUENT_BEGINNINGS``, however large the table is; all others are left to the join.
+    """
+    total = groups.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
+    line = max(FREQUENT, total // FREQUENT_BEGINNINGS + 1)
+    return groups.where(F.col("n") >= line).orderBy("key").select("key", "least.id", "least.whole").collect()
+
+
+SPLIT = "id long, whole long, copied boolean, wanted array<struct<place:int,first_id:long,is_first:boolean>>, rest array<struct<key:long,place:int>>"
+
+
+def _split(frequent: list):
+    """Per text the anchors with a frequent beginning, settled at once, and the rest."""
+    known = np.array([g["key"] for g in frequent], np.int64)
+    least = pa.array([g["id"] for g in frequent], pa.int64())
+    least_whole = pa.array([g["whole"] for g in frequent], pa.int64())
+
+    def parts(flags: np.ndarray, owner: np.ndarray, rows: int) -> pa.Array:
+        return pa.array(np.concatenate(([0], np.cumsum(np.bincount(owner[flags], minlength=rows)))), pa.int32())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.num_rows
+            keys, places = (batch.column(c).flatten().to_numpy(zero_copy_only=False) for c in ("keys", "places"))
+            owner = np.repeat(np.arange(n), pc.list_value_length(batch.column("keys")).to_numpy(zero_copy_only=False))
+            at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+            hit = known[at] == keys
+            group = pa.array(at[hit])
+            whole = batch.column("whole").take(pa.array(owner[hit]))
+            wanted = pa.StructArray.from_arrays(
+                [pa.array(places[hit], pa.int32()), least.take(group), pc.equal(least_whole.take(group), whole)],
+                ["place", "first_id", "is_first"],
+            )
+            rest = pa.StructArray.from_arrays(
+                [pa.array(keys[~hit], pa.int64()), pa.array(places[~hit], pa.int32())], ["key", "place"]
+            )
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("id"), batch.column("whole"), batch.column("copied"),
+                    pa.ListArray.from_arrays(parts(hit, owner, n), wanted), pa.ListArray.from_arrays(parts(~hit, owner, n), rest),
+                ],
+                ["id", "whole", "copied", "wanted", "rest"],
+            )
+
+    return run
+
+
 def _extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The passages around the anchors that have an equal elsewhere, with their characters.
 
@@ -214,14 +267,27 @@ def _spans(documents: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n"), F.min("region").alias("low"), F.max("region").alias("high"),
         F.min(F.struct("id", "whole")).alias("least"), F.max(F.col("copied").cast("int")).alias("any_copied"),
     )
-    groups = groups.where("n > 1 OR any_copied = 1").select("key", F.when(F.col("low") == F.col("high"), F.col("least")).alias("least"))
+    groups = groups.where("n > 1 OR any_copied = 1").select(
+        "key", "n", F.when(F.col("low") == F.col("high"), F.col("least")).alias("least")
+    )
+    # Kept, so that the join below has a plain table on either side. A beginning that very many
+    # suffixes share is looked up within its texts: its suffixes never meet in one task.
+    groups = materialise(groups)
+    frequent = _frequent(groups)
     # The head of a text is one document, so its hash tells whether it is the first.
     place = F.struct("place", F.col("least.id").alias("first_id"), (F.col("least.whole") == F.col("whole")).alias("is_first"))
-    wanted = (
-        suffixes.join(groups, "key")
-        .groupBy("id", "whole")
-        .agg(F.collect_list(place).alias("wanted"), F.first("copied").alias("copied"))
+    if frequent:
+        texts_split = heads.select("id", "whole", copied, "keys", "places").mapInArrow(_split(frequent), SPLIT)
+        suffixes = texts_split.select("id", "whole", "copied", F.inline("rest"))
+    found_once = suffixes.join(groups.drop("n"), "key").groupBy("id", "whole").agg(
+        F.collect_list(place).alias("wanted"), F.first("copied").alias("copied")
     )
+    wanted = found_once
+    if frequent:
+        at_once = texts_split.where(F.size("wanted") > 0).select("id", "whole", "wanted", "copied")
+        wanted = found_once.unionByName(at_once).groupBy("id", "whole").agg(
+            F.flatten(F.collect_list("wanted")).alias("wanted"), F.first("copied").alias("copied")
+        )
     # Made twice below, once for each use: that costs less than keeping it.
     found = texts.join(wanted, ["id", "whole"]).select("id", "whole", "text", "wanted", "copied").mapInArrow(_extend, PASSAGES)
     holders = found.where(F.col("again") < LATER).groupBy("passage").agg(
