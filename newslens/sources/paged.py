@@ -1,8 +1,10 @@
 """A feed of numbered pages as a source of Spark, for batch and stream.
 
 Each page of an API is landed as a folder ``page=<n>`` of responses, one JSON object a line
-or one a file. The stream's offset is the next page to read; a page is a partition of its own,
-so pages are parsed side by side, and a restart goes on after the last page that was taken.
+or one a file. The stream's offset is the next page to read; up to ``PARTS`` pages are a partition
+each, more are dealt over as many partitions in runs of at most ``RUN`` pages, so pages are
+parsed side by side without a task and a result file for every one. A restart goes on after
+the last page that was taken.
 Pages count from 1 on, and a page that is missing holds up those after it until it lands, so
 that none is passed over.
 
@@ -14,13 +16,15 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
 LAYOUT = "source string, title string, url string, page bigint"
 _PAGE = re.compile(r"page=(\d+)")
+#: Partitions that the pages of a batch are dealt over, and the most pages of one.
+PARTS, RUN = 256, 1_000
 
 
 def _files(path: str):
@@ -65,28 +69,34 @@ def results(path: str, page: int, source: str) -> Iterator[tuple[str, str | None
 
 
 @dataclass
-class Page(InputPartition):
-    number: int
+class Pages(InputPartition):
+    numbers: Sequence[int]
 
 
-class _Pages:
+def runs(numbers: Sequence[int]) -> list[Pages]:
+    """The pages in order, in runs of about equal length."""
+    size = min(max(1, -(-len(numbers) // PARTS)), RUN)
+    return [Pages(numbers[i : i + size]) for i in range(0, len(numbers), size)]
+
+
+class _Landed:
     """What batch and stream share: where the pages are, and how one is read."""
 
     def __init__(self, options: dict[str, str]) -> None:
         self.path, self.source = options["path"], options.get("source", "")
 
-    def read(self, partition: Page | None) -> Iterator[tuple]:
-        if partition is None:  # there is no page at all
-            return iter(())
-        return results(self.path, partition.number, self.source)
+    def read(self, partition: Pages | None) -> Iterator[tuple]:
+        # Without any page there is no partition.
+        for number in partition.numbers if partition else ():
+            yield from results(self.path, number, self.source)
 
 
-class PagedReader(_Pages, DataSourceReader):
-    def partitions(self) -> list[Page]:
-        return [Page(n) for n in pages_landed(self.path)]
+class PagedReader(_Landed, DataSourceReader):
+    def partitions(self) -> list[Pages]:
+        return runs(pages_landed(self.path))
 
 
-class PagedStreamReader(_Pages, DataSourceStreamReader):
+class PagedStreamReader(_Landed, DataSourceStreamReader):
     def initialOffset(self) -> dict:
         return {"page": 1}
 
@@ -98,8 +108,8 @@ class PagedStreamReader(_Pages, DataSourceStreamReader):
             following = max(following, number + 1)
         return {"page": following}
 
-    def partitions(self, start: dict, end: dict) -> list[Page]:
-        return [Page(n) for n in range(start["page"], end["page"])]
+    def partitions(self, start: dict, end: dict) -> list[Pages]:
+        return runs(range(start["page"], end["page"]))
 
     def commit(self, end: dict) -> None:
         pass

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from newslens.plans import registry as R
+from newslens.sources import paged
 from newslens.streaming import partials as P
 
 from test_streaming import T0
@@ -78,3 +79,11 @@ def test_lateness_covers_the_pages(spark, tmp_path):
     assert len(rows) == pages.count()
     crawled = far.where(F.col("page_id") % 5 != 4).count()
     assert sum(r["outcome"] == "processed" for r in rows) == crawled
+
+
+def test_many_pages_in_few_partitions():
+    few, many = paged.runs(range(1, 4)), paged.runs(range(1, 10_001))
+    assert [list(p.numbers) for p in few] == [[1], [2], [3]]
+    assert len(many) <= paged.PARTS and [n for p in many for n in p.numbers] == list(range(1, 10_001))
+    assert max(len(p.numbers) for p in paged.runs(range(2_000_000))) <= paged.RUN
+    assert paged.runs([]) == []
