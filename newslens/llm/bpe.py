@@ -7,8 +7,9 @@ built them; this is checked for all distinct pairs at once with arrays of the me
 table. Only words with a failing pair are merged pair by pair.
 
 Words are encoded once per batch and kept in a bounded cache, so the work follows the
-number of distinct words. Results equal those of the ``tokenizers`` library for the same
-file with ``add_special_tokens=False``.
+number of distinct words. A ``WordTable`` does the same for whole slices of texts with
+arrays, and takes the ids of new words from the library's model. Results equal those of the
+``tokenizers`` library for the same file with ``add_special_tokens=False``.
 
 Defined cases: a null text is an empty one and has no tokens; each input row yields one
 row, also for null or repeated ids; the file's special tokens standing in a text are one
@@ -25,9 +26,11 @@ import json
 import re
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,12 +40,16 @@ from newslens.llm.common import slices, strings
 CACHED_WORDS = 400_000
 #: Letters up to which a failing word is merged by looking at all its pairs each time.
 SHORT_WORD = 40
+#: Ids of the words in a worker's table, beyond which it forgets some.
+CACHED_IDS = 4_000_000
 END_OF_WORD = "</w>"
 
 # The cutting rule of the vocabulary file, for the characters up to U+017F.
 _LETTERS = "a-zA-ZªµºÀ-ÖØ-öø-ſ"
 _NUMBERS = "0-9²³¹¼-¾"
 _WORD = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^\\s{_LETTERS}{_NUMBERS}]+")
+#: The same rule for lower-case text, without runs of letters: what else stands between blanks.
+_BETWEEN_LETTERS = f"'s|'t|'re|'ve|'m|'ll|'d|[{_NUMBERS}]|[^\\s{_LETTERS}{_NUMBERS}]+"
 #: A character outside the plain ones, for which the library's own normaliser is asked.
 _UNUSUAL = re.compile("[^\t\n\r -~¡-įı-ſ]")
 
@@ -290,6 +297,85 @@ class WordCache:
                 yield text, [kept[w] for w in text]
 
 
+class WordTable:
+    """Words and their ids as arrays: whole slices of texts are cut, looked up and encoded at once.
+
+    Only words not met before become Python strings; the library's model encodes them.
+    ``marks`` says of a word whether its ends are wanted. Special tokens must hold no blank.
+    """
+
+    def __init__(self, path: str, marks: Callable[[str], bool]) -> None:
+        self.encoder, self.marks = encoder(path), marks
+        self.words = pa.array([], pa.string())
+        self.ids = np.zeros(0, "<u4")
+        self.starts, self.sizes, self.used = (np.zeros(0, np.int64) for _ in range(3))
+        self.marked = np.zeros(0, np.bool_)
+
+    def cut(self, texts: pa.Array) -> pa.Array:
+        """The words of each text, and perhaps empty ones, which have no ids."""
+        odd = pc.match_substring_regex(texts, _UNUSUAL.pattern)
+        if self.encoder.special:
+            names = "|".join(map(re.escape, self.encoder.special))
+            odd = pc.or_(odd, pc.match_substring_regex(texts, names, ignore_case=True))
+        plain = pc.replace_substring_regex(pc.utf8_lower(texts), _BETWEEN_LETTERS, r" \0 ")
+        if pc.any(odd).as_py():
+            words = [" ".join(self.encoder.words(text)) for text in texts.filter(odd).to_pylist()]
+            plain = pc.replace_with_mask(plain, odd, pa.array(words, pa.string()))
+        return pc.ascii_split_whitespace(plain)
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of all texts in a row, where each text begins and the last ends, and the ends of marked words."""
+        if len(self.words) > CACHED_WORDS or len(self.ids) > CACHED_IDS:
+            self._forget()
+        cut = self.cut(texts.cast(pa.string()))
+        code = self._codes(cut.flatten())
+        ends = np.cumsum(self.sizes[code])
+        borders = np.concatenate(([0], ends))[cut.offsets.to_numpy()]
+        return self._gather(code), borders, ends[self.marked[code]]
+
+    def _gather(self, code: np.ndarray) -> np.ndarray:
+        sizes = self.sizes[code]
+        shift = self.starts[code] - (np.cumsum(sizes) - sizes)
+        return self.ids[np.repeat(shift, sizes) + np.arange(sizes.sum())]
+
+    def _codes(self, words: pa.Array) -> np.ndarray:
+        """The place of each word in the table, after new ones were added."""
+        found = pc.index_in(words, value_set=self.words)
+        code = pc.fill_null(found, -1).to_numpy().astype(np.int64)
+        if found.null_count:
+            new = words.filter(pc.is_null(found)).dictionary_encode()
+            code[code < 0] = new.indices.to_numpy() + np.int64(len(self.words))
+            self._learn(new.dictionary)
+        self.used += np.bincount(code, minlength=len(self.words))
+        return code
+
+    def _learn(self, words: pa.Array) -> None:
+        texts = words.to_numpy(zero_copy_only=False).tolist()
+        ids = library_encode(self.encoder, texts)
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        self.starts = np.concatenate((self.starts, len(self.ids) + np.cumsum(sizes) - sizes))
+        self.sizes = np.concatenate((self.sizes, sizes))
+        self.ids = np.concatenate((self.ids, np.fromiter(chain.from_iterable(ids), "<u4", int(sizes.sum()))))
+        self.marked = np.concatenate((self.marked, np.fromiter(map(self.marks, texts), np.bool_, len(texts))))
+        self.used = np.concatenate((self.used, np.zeros(len(texts), np.int64)))
+        self.words = pa.concat_arrays([self.words, words])
+
+    def _forget(self) -> None:
+        """The half of the words that was used most stays; older uses count for less."""
+        half = len(self.words) // 2
+        keep = np.sort(np.argpartition(self.used, len(self.used) - half)[len(self.used) - half :])
+        self.ids = self._gather(keep)
+        self.sizes, self.marked, self.used = self.sizes[keep], self.marked[keep], self.used[keep] // 2
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.words = self.words.take(pa.array(keep))
+
+
+@lru_cache(maxsize=1)
+def word_table(path: str, marks: Callable[[str], bool]) -> WordTable:
+    """The worker's table for a file; it outlives a task."""
+    return WordTable(path, marks)
+
+
 _CACHES: dict[tuple, WordCache] = {}
 
 

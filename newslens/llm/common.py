@@ -79,14 +79,19 @@ def labelled_texts(documents: DataFrame, sample: DataFrame) -> DataFrame:
 
 def slices(texts: list[str], limit: int = BATCH_CHARS) -> Iterator[tuple[int, int]]:
     """Ranges of consecutive texts of at most ``limit`` characters, or one longer text."""
-    start, size = 0, 0
-    for i, text in enumerate(texts):
-        if i > start and size + len(text) > limit:
+    return ranges(list(map(len, texts)), limit)
+
+
+def ranges(sizes: list[int], limit: int) -> Iterator[tuple[int, int]]:
+    """Ranges of consecutive sizes whose sum is at most ``limit``, or one larger size."""
+    start, total = 0, 0
+    for i, size in enumerate(sizes):
+        if i > start and total + size > limit:
             yield start, i
-            start, size = i, 0
-        size += len(text)
-    if start < len(texts):
-        yield start, len(texts)
+            start, total = i, 0
+        total += size
+    if start < len(sizes):
+        yield start, len(sizes)
 
 
 def code_points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:

@@ -26,12 +26,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newslens.llm import bpe
-from newslens.llm.common import pieces, strings
+from newslens.llm.common import ranges
 
 SEQUENCE = 2048
 #: The id that ends each document.
@@ -44,6 +45,8 @@ FULL_STOP = re.compile("[.!?\u0589\u061d\u061f\u06d4\u0700-\u0702\u0964\u0965\u1
 FORCED_STEP = 256
 #: Tokens of the stream that are planned at once.
 BLOCK = 400_000
+#: Bytes of text that are cut and looked up at once; longer texts are taken alone.
+SLICE_BYTES = 4_000_000
 
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
@@ -63,34 +66,35 @@ def best_cuts(places: np.ndarray, costs: np.ndarray) -> list[int]:
     counted.
     """
     n = len(places)
-    # Predecessors at a distance that is a power of two, which need no padding.
-    exact: dict[int, list[int]] = {}
-    size = 1
-    while size <= SEQUENCE:
-        found = np.minimum(np.searchsorted(places, places - size), n - 1)
-        for j in np.flatnonzero(places[found] == places - size).tolist():
-            exact.setdefault(j, []).append(int(found[j]))
-        size *= 2
-    at, price = places.tolist(), costs.tolist()
+    offsets = places - places[0]
+    first = np.searchsorted(places, places - SEQUENCE).tolist()
+    # Predecessors at a distance that is a power of two, which need no padding: those of j end at until[j].
+    number = np.full(int(offsets[-1]) + 1, -1, np.int64)
+    number[offsets] = np.arange(n)
+    back = offsets[:, None] - (1 << np.arange(SEQUENCE.bit_length()))
+    found = np.where(back >= 0, number[np.maximum(back, 0)], -1)
+    exact = found[found >= 0].tolist()
+    until = np.cumsum((found >= 0).sum(axis=1)).tolist()
+    at = places.tolist()
     total, came = [0.0] * n, [0] * n
     # The queue: predecessors by place, with rising cost + place; those before head are too far.
-    keys, who, head = [float(at[0])], [0], 0
-    for j in range(1, n):
-        place = at[j]
-        low = place - SEQUENCE
-        while at[who[head]] < low:
+    keys, who, head, seen = [float(at[0])], [0], 0, 0
+    steps = zip(at, costs.tolist(), first, until)
+    next(steps)
+    for j, (place, cost, least, stop) in enumerate(steps, 1):
+        while who[head] < least:
             head += 1
         best, i = keys[head] + SEQUENCE - place, who[head]
-        if j in exact:
-            for k in exact[j]:
+        if seen != stop:
+            for k in exact[seen:stop]:
                 if total[k] <= best:
                     best, i = total[k], k
-        best += price[j]
+            seen = stop
+        best += cost
         total[j], came[j] = best, i
         best += place
         while len(keys) > head and keys[-1] >= best:
-            keys.pop()
-            who.pop()
+            del keys[-1], who[-1]
         keys.append(best)
         who.append(j)
     chain = [n - 1]
@@ -181,9 +185,16 @@ class Stream:
         return batch
 
 
+def ends_sentence(word: str) -> bool:
+    return FULL_STOP.search(word) is not None
+
+
 def _sentence_ends(words: list[str], kept: list[bytes]) -> np.ndarray:
-    """Numbers of tokens before the places after a full stop, exclamation or question mark."""
-    ends = set(filter(FULL_STOP.search, set(words)))
+    """Numbers of tokens before the places after a full stop, exclamation or question mark.
+
+    For one text cut into words; ``pack`` takes the same places from the table of words.
+    """
+    ends = set(filter(ends_sentence, set(words)))
     if not ends:
         return np.zeros(0, np.int64)
     last = np.fromiter(map(ends.__contains__, words), np.bool_, len(words))
@@ -194,15 +205,19 @@ def pack(documents: DataFrame, path: str) -> DataFrame:
     """One row per piece of a document, with the sequence and the offset it stands at."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = bpe.cache(path, bpe.id_bytes, encode=bpe.library_encode)
+        known = bpe.word_table(path, ends_sentence)
         stream = Stream(TaskContext.get().partitionId() << 32)
         end = np.array([SEPARATOR], "<u4").tobytes()
-        for batch in pieces(batches):
-            ids = batch.column("doc_id").to_pylist()
-            for doc_id, (words, kept) in zip(ids, known.documents(strings(batch, "text"))):
-                stream.add(doc_id, b"".join(kept) + end, _sentence_ends(words, kept))
-                if stream.size >= BLOCK:
-                    yield stream.take(last=False)
+        for batch in batches:
+            texts = pc.fill_null(batch.column("text"), "")
+            for a, b in ranges(pc.binary_length(texts).to_pylist(), SLICE_BYTES):
+                ids, borders, ends = known.encode(texts.slice(a, b - a))
+                inside = np.searchsorted(ends, borders, side="right")
+                for k, doc_id in enumerate(batch.column("doc_id").slice(a, b - a).to_pylist()):
+                    sentences = ends[inside[k] : inside[k + 1]] - borders[k]
+                    stream.add(doc_id, ids[borders[k] : borders[k + 1]].tobytes() + end, sentences)
+                    if stream.size >= BLOCK:
+                        yield stream.take(last=False)
         if stream.size:
             yield stream.take(last=True)
 
